@@ -7,7 +7,7 @@ from candlewick.operators.features import FEATURES
 CANDLE_TICKS = """
 ticks AS (
   SELECT l_suppkey AS instrument_id, date_trunc('day', l_shipdate)::TIMESTAMP AS time,
-         1000 + l_extendedprice / 1000 AS price, l_quantity::BIGINT AS volume,
+         1000 + floor(l_extendedprice / 62.5) / 16 AS price, l_quantity::BIGINT AS volume,
          nullif(l_partkey % 100, 7) AS oi,
          row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS o
   FROM lineitem)"""
@@ -69,9 +69,9 @@ instruments AS (
            AS instrument_type,
          CASE WHEN symbol LIKE '%-28MAR2024' THEN CASE WHEN instrument_id % 3 = 0 THEN 'CE' ELSE 'PE' END END
            AS option_type,
-         CASE WHEN symbol LIKE '%-28MAR2024' THEN (instrument_id * 50 + 20000)::DECIMAL(18,4) END
+         CASE WHEN symbol LIKE '%-28MAR2024' THEN (instrument_id * 50 + 20000)::DOUBLE END
            AS strike_price,
-         CASE WHEN symbol LIKE '%-28MAR2024' THEN DATE '2024-03-28' END AS expiry_date
+         CASE WHEN symbol LIKE '%-28MAR2024' THEN '2024-03-28' END AS expiry_date
   FROM symbols)"""
 
 ALL = "WITH" + CANDLES + IND + "," + INSTRUMENTS
@@ -116,8 +116,7 @@ signals AS (
               WHEN rsi > 70 AND obv < obv0 AND close < ma5 AND volume > 1.5 * avg_vol20 THEN 'sell'
               WHEN close > ma20 AND rsi > rsi0 THEN 'trend_up'
               WHEN close < ma20 AND rsi < rsi0 THEN 'trend_down' ELSE 'hold' END AS signal_type,
-         close, round(rsi, 6) AS rsi, obv, round(tvi, 4) AS tvi, volume, round(ma5, 8) AS ma5,
-         round(ma20, 8) AS ma20, round(avg_vol20, 6) AS avg_vol20
+         close, round(rsi, 6) AS rsi, obv, round(tvi, 4) AS tvi, volume, ma5, ma20, avg_vol20
   FROM framed JOIN instruments USING (instrument_id))
 """
 
@@ -167,7 +166,7 @@ matrix AS (
 
 ML_DIGITS = {
     "rsi": 6, "tvi": 4, "pvi": 6, "pvt": 6, "price_change": 8, "volume_change": 8, "oi_change": 8,
-    "ma5": 8, "ma20": 8, "rsi_change": 6,
+    "rsi_change": 6,
 }
 
 
@@ -204,7 +203,7 @@ tickers AS (
 CUSTOMER_INSTRUMENTS = """
 known AS (
   SELECT c_custkey AS instrument_id, 'NSE_EQ_' || c_custkey::VARCHAR AS symbol, 'index' AS instrument_type,
-         NULL::VARCHAR AS option_type, NULL::DECIMAL(18,4) AS strike_price, NULL::DATE AS expiry_date,
+         NULL::VARCHAR AS option_type, NULL::DOUBLE AS strike_price, NULL::VARCHAR AS expiry_date,
          TIMESTAMP '2024-01-01 00:00:00' AS updated_at
   FROM customer),
 named AS (SELECT DISTINCT 'NSE_EQ_' || (o_custkey * 2)::VARCHAR AS symbol FROM orders),
@@ -314,7 +313,7 @@ SELECT time, instrument_id, timeframe, {SHOWN} FROM ind
 QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY time DESC) = 1""",
     "moving_average": f"""WITH{CANDLES}
 SELECT instrument_id, time,
-       round(avg(close) OVER (PARTITION BY instrument_id ORDER BY time ROWS 19 PRECEDING), 8) AS ma
+       avg(close) OVER (PARTITION BY instrument_id ORDER BY time ROWS 19 PRECEDING) AS ma
 FROM candles""",
     "candles_event_time": f"WITH{EVENTS} " + event_candles(15, "symbol"),
     "candles_1min": f"WITH{EVENTS} " + event_candles(60, "symbol"),
@@ -366,7 +365,7 @@ FROM candles QUALIFY recency <= 100""",
   round(rsi, 6) AS rsi, round(pvi, 6) AS pvi, round(pvt, 6) AS pvt, future_price, target,
   round(price_change, 8) AS price_change, round(volume_change, 8) AS volume_change,
   round(CASE WHEN NOT oi_infinite THEN finite_oi_change END, 8) AS oi_change, oi_infinite,
-  round(ma5, 8) AS ma5, round(ma20, 8) AS ma20, round(rsi_change, 6) AS rsi_change FROM training""",
+  ma5, ma20, round(rsi_change, 6) AS rsi_change FROM training""",
     "ml_features": MATRIX + f" SELECT instrument_id, time, target, {rounded_features()} FROM matrix",
     "ml_scaler": MATRIX + " " + SCALER,
     "ml_scaled": MATRIX + " " + SCALED,
@@ -390,14 +389,14 @@ FROM symbols""",
 SELECT DISTINCT nullif(regexp_extract(symbol, '([A-Z]+)', 1), '') AS underlying, option_type, strike_price,
        expiry_date FROM instruments WHERE expiry_date IS NOT NULL""",
     "contract_slice": f"""WITH{INSTRUMENTS} SELECT instrument_id, symbol FROM instruments
-WHERE symbol LIKE 'BANKNIFTY%' AND expiry_date = DATE '2024-03-28' AND strike_price = 20050 AND option_type = 'PE'""",
+WHERE symbol LIKE 'BANKNIFTY%' AND expiry_date = '2024-03-28' AND strike_price = 20050 AND option_type = 'PE'""",
     "ticker_parse": f"""WITH{TICKERS}
 SELECT p_partkey, ticker,
        CASE kind WHEN 0 THEN 'option' WHEN 1 THEN 'future' WHEN 2 THEN 'index' WHEN 3 THEN 'stock' END
          AS instrument_type,
        CASE WHEN kind = 0 AND strike <> 'n/a' THEN 'CE' END AS option_type,
-       CASE WHEN kind = 0 THEN TRY_CAST(strike AS DECIMAL(18,4)) END AS strike_price,
-       CASE WHEN kind = 1 OR (kind = 0 AND strike <> 'n/a') THEN strptime(day, '%d%b%Y')::DATE END AS expiry_date
+       CASE WHEN kind = 0 THEN TRY_CAST(strike AS DOUBLE) END AS strike_price,
+       CASE WHEN kind = 1 OR (kind = 0 AND strike <> 'n/a') THEN strptime(day, '%d%b%Y')::DATE::VARCHAR END AS expiry_date
 FROM tickers""",
     "symbol_regex_parse": f"WITH{INSTRUMENTS} SELECT * FROM instruments",
     "segment_filter": f"""WITH{TICKERS} SELECT p_partkey, ticker FROM tickers

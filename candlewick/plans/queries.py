@@ -24,6 +24,12 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name, places in digits.items()})
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """Strikes as doubles and dates as text, which every engine prints alike."""
+    casts = {"strike_price": "double", "expiry_date": "string"}
+    return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items() if c in df.columns})
+
+
 # -- indicators ------------------------------------------------------------------
 
 
@@ -56,7 +62,7 @@ def indicators_trailing100(spark, folder):
 
 
 def moving_average_20(spark, folder):
-    return rounded(moving_average(m.daily_candles(spark, folder), 20), ma=8)
+    return moving_average(m.daily_candles(spark, folder), 20)
 
 
 # -- candles ---------------------------------------------------------------------
@@ -101,11 +107,11 @@ def candle_range(spark, folder):
 
 
 def _enriched(spark, folder):
-    return joins.enriched_candles(
+    return plain(joins.enriched_candles(
         m.daily_candles(spark, folder),
         m.supplier_instruments(spark, folder),
         m.daily_indicators(spark, folder),
-    )
+    ))
 
 
 def enriched_candles(spark, folder):
@@ -113,7 +119,7 @@ def enriched_candles(spark, folder):
 
 
 def enriched_candles_plain(spark, folder):
-    return joins.enriched_candles(m.daily_candles(spark, folder), m.supplier_instruments(spark, folder))
+    return plain(joins.enriched_candles(m.daily_candles(spark, folder), m.supplier_instruments(spark, folder)))
 
 
 def latest_n(spark, folder):
@@ -173,9 +179,6 @@ def _signals(spark, folder, **options):
         ),
         rsi=6,
         tvi=4,
-        ma5=8,
-        ma20=8,
-        avg_vol20=6,
     )
 
 
@@ -204,11 +207,13 @@ def signal_type_counts(spark, folder):
 
 def market_summary(spark, folder):
     return rounded(
-        summary.market_summary(
-            m.daily_candles(spark, folder),
-            m.daily_indicators(spark, folder),
-            m.supplier_instruments(spark, folder),
-            all_data=True,
+        plain(
+            summary.market_summary(
+                m.daily_candles(spark, folder),
+                m.daily_indicators(spark, folder),
+                m.supplier_instruments(spark, folder),
+                all_data=True,
+            )
         ),
         rsi=6,
         tvi=4,
@@ -226,7 +231,7 @@ def _training(spark, folder):
     return features.training_set(m.daily_candles(spark, folder), m.daily_indicators(spark, folder))
 
 
-ML_DIGITS = dict(rsi=6, tvi=4, pvi=6, pvt=6, price_change=8, volume_change=8, oi_change=8, ma5=8, ma20=8, rsi_change=6)
+ML_DIGITS = dict(rsi=6, tvi=4, pvi=6, pvt=6, price_change=8, volume_change=8, oi_change=8, rsi_change=6)
 
 
 def ml_target(spark, folder):
@@ -289,7 +294,7 @@ def underlying_list(spark, folder):
 
 
 def contract_catalog(spark, folder):
-    return instruments.contract_catalog(m.supplier_instruments(spark, folder))
+    return plain(instruments.contract_catalog(m.supplier_instruments(spark, folder)))
 
 
 def contract_slice(spark, folder):
@@ -320,11 +325,11 @@ def _tickers(spark, folder):
 
 
 def ticker_parse(spark, folder):
-    return _tickers(spark, folder).withColumns(ticker_fields(F.col("ticker")))
+    return plain(_tickers(spark, folder).withColumns(ticker_fields(F.col("ticker"))))
 
 
 def symbol_regex_parse(spark, folder):
-    return m.supplier_symbols(spark, folder).withColumns(contract_fields(F.col("symbol")))
+    return plain(m.supplier_symbols(spark, folder).withColumns(contract_fields(F.col("symbol"))))
 
 
 def segment_filter(spark, folder):
@@ -381,17 +386,17 @@ def _order_tickers(spark, folder):
 
 
 def instrument_upsert(spark, folder):
-    return instruments.upsert_instruments(
+    return plain(instruments.upsert_instruments(
         _order_tickers(spark, folder), _customer_instruments(spark, folder), m.AS_OF
-    )
+    ))
 
 
 def instrument_get_or_create(spark, folder):
-    return instruments.get_or_create(
+    return plain(instruments.get_or_create(
         _order_tickers(spark, folder).withColumnRenamed("ticker", "symbol"),
         _customer_instruments(spark, folder),
         m.AS_OF,
-    )
+    ))
 
 
 # -- ticks ---------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ history are finished by :meth:`Series.running`, which carries slice totals forwa
 
 What is sent to every executor is bounded whatever the data: at most ``MAX_SLICES``
 instruments can hold more than a ``1 / MAX_SLICES`` share of the rows, and they are
-described by at most ``2 * CELLS_PER_SLICE * MAX_SLICES`` cells.
+described by at most ``2 * CELLS_PER_SLICE * MAX_SLICES`` cells on each of two levels.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from candlewick.functions.numbers import micros
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 4096
 CELLS_PER_SLICE = 16
+GRID_LEVELS = 2
 
 _SLICE, _OWN = "_slice", "_own"
 
@@ -175,56 +176,61 @@ def open_series(
 def _cut(
     df: DataFrame, counted: DataFrame, key: str, order: str, before: int, after: int, unit: int
 ) -> DataFrame:
-    at = _position(df, order)
-    # Instruments above the limit, with an even grid of cells over their time range.
-    hot = (
-        counted.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_low"), F.max(at).alias("_high"))
-        .where(F.col("_n") > unit)
-        .select(
-            key,
-            "_low",
-            F.expr(
-                f"greatest(1, (_high - _low) div ({CELLS_PER_SLICE} * (_n div {unit} + 1)) + 1)"
-            ).alias("_width"),
-        )
-    )
-    placed = (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn("_at", at)
-        .withColumn("_cell", F.expr("(_at - _low) div _width"))
-        .drop("_at", "_low", "_width")
-    )
-    cells = (
-        placed.where(F.col("_cell").isNotNull())
-        .groupBy(key, "_cell")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    """Add to each row the slice it belongs to and copies for the slices that look at it."""
+    path = [key]
+    rows, tallied = df.withColumn("_at", _position(df, order)), df.select(
+        key, _position(df, order).alias("_at")
     )
+    measured = counted.select(key, _position(counted, order).alias("_at"))
+    # An even grid over the time range of each instrument above the limit, then over each
+    # of its cells that is still above it, for bursts and stray times.
+    for level in range(GRID_LEVELS):
+        grid = F.broadcast(_grid(measured, path, unit))
+        cell = f"_cell{level}"
+        rows = _place(rows.join(grid, path, "left"), cell, inner=level > 0)
+        # Only the rows of hot instruments are ever counted by cell.
+        tallied = _place(tallied.join(grid, path, "left" if level else "inner"), cell, inner=level > 0)
+        measured, path = tallied, [*path, cell]
+    cells = tallied.groupBy(*path).agg(F.count(F.lit(1)).alias("_n"))
+    plain = F.array(F.struct(F.lit(0).cast("bigint").alias("slice"), F.lit(True).alias("own")))
     return (
-        placed.join(F.broadcast(_slices_of(cells, key, before, after, unit)), [key, "_cell"], "left")
-        .withColumn(
-            "_target",
-            F.explode(
-                F.coalesce(
-                    "_targets",
-                    F.array(F.struct(F.lit(0).cast("bigint").alias("slice"), F.lit(True).alias("own"))),
-                )
-            ),
-        )
+        rows.join(F.broadcast(_slices_of(cells, path, before, after, unit)), path, "left")
+        .withColumn("_target", F.explode(F.coalesce("_targets", plain)))
         .withColumn(_SLICE, F.col("_target.slice"))
         .withColumn(_OWN, F.col("_target.own"))
-        .drop("_cell", "_targets", "_target")
+        .drop("_at", "_targets", "_target", *path[1:])
     )
 
 
-def _slices_of(cells: DataFrame, key: str, before: int, after: int, unit: int) -> DataFrame:
+def _grid(rows: DataFrame, path: list[str], unit: int) -> DataFrame:
+    """Origin and cell width for every group of rows above the limit."""
+    cells = f"{CELLS_PER_SLICE} * (_n div {unit} + 1)"
+    return (
+        rows.groupBy(*path)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+        .where(F.col("_n") > unit)
+        .select(*path, "_low", F.expr(f"(_high - _low) div ({cells}) + 1").alias("_width"))
+    )
+
+
+def _place(rows: DataFrame, cell: str, inner: bool) -> DataFrame:
+    position = F.expr("(_at - _low) div _width")
+    if inner:
+        position = F.coalesce(position, F.lit(0))
+    return rows.withColumn(cell, position).drop("_low", "_width")
+
+
+def _slices_of(
+    cells: DataFrame, path: list[str], before: int, after: int, unit: int
+) -> DataFrame:
     """Group consecutive cells into slices and list the slices that need each cell.
 
     Cells are cut where the row count passes a multiple of ``unit``; a cut that would
     leave fewer rows than a frame can reach is dropped, so that a frame never needs
     more than the adjoining slice.
     """
-    along = Window.partitionBy(key).orderBy("_cell")
+    key = path[0]
+    along = Window.partitionBy(key).orderBy(*path[1:])
     whole = Window.partitionBy(key)
     piece = Window.partitionBy(key, "_slice")
     sized = (
@@ -255,4 +261,4 @@ def _slices_of(cells: DataFrame, key: str, before: int, after: int, unit: int) -
         F.when(ahead, target(here + 1, False)),
         F.when(behind, target(here - 1, False)),
     )
-    return numbered.select(key, "_cell", F.array_compact(listed).alias("_targets"))
+    return numbered.select(*path, F.array_compact(listed).alias("_targets"))

@@ -48,10 +48,12 @@ def candle_stream(stream: DataFrame, timeframe: str = "15sec", lateness: str = "
     """
     rank = F.struct("time", "seq")
     return (
-        stream.withWatermark("time", lateness)
+        # Watermarks are only defined on zoned timestamps.
+        stream.withColumn("time", F.col("time").cast("timestamp"))
+        .withWatermark("time", lateness)
         .groupBy("instrument_id", F.window("time", f"{SECONDS[timeframe]} seconds").alias("_window"))
         .agg(*[column.alias(name) for name, column in candle_columns(rank).items()])
-        .withColumn("time", F.col("_window.start"))
+        .withColumn("time", F.col("_window.start").cast("timestamp_ntz"))
         .select(*CANDLES.names)
     )
 

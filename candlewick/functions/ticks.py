@@ -17,45 +17,31 @@ MIN_FIELDS = 10
 PRICES = ("open", "high", "low", "close")
 
 
-def _json_columns(fields: Column, arrival: Column) -> dict[str, Column]:
-    def present(key: str) -> Column:
-        return F.coalesce(F.map_contains_key(fields, key), F.lit(False))
+def _given(key: str) -> Column:
+    """Whether a JSON tick has the key, be it with a null."""
+    return F.coalesce(F.map_contains_key("_fields", key), F.lit(False))
+
+
+def _texts() -> dict[str, Column]:
+    """The raw text of each value, from the JSON object or from its position."""
+    is_json = F.col("_fields").isNotNull()
+    field = lambda position: F.try_element_at("_parts", F.lit(position))
+    texts = {
+        name: F.when(is_json, F.when(_given(name), F.col("_fields")[name]).otherwise("0")).otherwise(
+            field(5 + i)
+        )
+        for i, name in enumerate((*PRICES, "volume"))
+    }
+    texts["open_interest"] = F.when(is_json, F.col("_fields")["oi"]).otherwise(field(10))
+    return texts
 
-    def value(key: str, read) -> Column:
-        return F.when(present(key), read(fields[key])).otherwise(F.lit(0))
 
-    # A later key overrides an earlier one even when its own value cannot be read.
-    stamp = F.lit(None).cast("timestamp_ntz")
+def _json_time() -> Column:
+    """The text of the last time key given, even one that cannot be read."""
+    text = F.lit(None).cast("string")
     for key in TIME_KEYS:
-        stamp = F.when(present(key), iso_time(fields[key])).otherwise(stamp)
-    columns = {name: value(name, number) for name in PRICES}
-    columns["volume"] = value("volume", whole)
-    columns["open_interest"] = F.when(present("oi"), whole(fields["oi"]))
-    columns["time"] = F.coalesce(stamp, arrival)
-    columns["reject_reason"] = F.when(
-        F.greatest(*[columns[n].isNull() for n in (*PRICES, "volume")])
-        | (present("oi") & columns["open_interest"].isNull()),
-        "unreadable number",
-    )
-    return columns
-
-
-def _positional_columns(parts: Column) -> dict[str, Column]:
-    field = lambda position: F.try_element_at(parts, F.lit(position))
-    columns = {name: number(field(5 + i)) for i, name in enumerate(PRICES)}
-    columns["volume"] = whole(field(9))
-    columns["open_interest"] = whole(field(10))
-    columns["time"] = day_and_clock(field(3), field(4))
-    columns["reject_reason"] = (
-        F.when(F.size(parts) < MIN_FIELDS, "too few fields")
-        .when(columns["time"].isNull(), "unreadable time")
-        .when(
-            F.greatest(*[columns[n].isNull() for n in (*PRICES, "volume")])
-            | ((field(10) != "") & columns["open_interest"].isNull()),
-            "unreadable number",
-        )
-    )
-    return columns
+        text = F.when(_given(key), F.col("_fields")[key]).otherwise(text)
+    return text
 
 
 def decode_ticks(envelopes: DataFrame) -> DataFrame:
@@ -64,35 +50,50 @@ def decode_ticks(envelopes: DataFrame) -> DataFrame:
     Every input row is kept: ``reject_reason`` is null for a usable tick and says what
     is wrong otherwise. Works on static and streaming frames.
     """
-    data = F.col("data")
-    looks_json = F.trim(data).startswith("{")
-    fields = F.col("_fields")
-    as_json = _json_columns(fields, F.col("timestamp"))
-    as_text = _positional_columns(F.split(data, ","))
-    typed = {
-        "time": "timestamp_ntz",
-        **{name: "double" for name in PRICES},
-        "volume": "bigint",
-        "open_interest": "bigint",
-    }
-    return (
-        envelopes.withColumn(
-            "_fields", F.when(looks_json, F.from_json(data, "map<string,string>"))
-        )
-        .select(
-            "seq",
-            channel_symbol(F.col("channel")).alias("symbol"),
-            *[
-                F.when(fields.isNotNull(), as_json[name])
-                .otherwise(as_text[name])
-                .cast(kind)
-                .alias(name)
-                for name, kind in typed.items()
-            ],
-            F.when(fields.isNotNull(), as_json["reject_reason"])
-            .otherwise(as_text["reject_reason"])
-            .alias("reject_reason"),
+    is_json = F.col("_fields").isNotNull()
+    split = envelopes.withColumn(
+        "_fields", F.when(F.ltrim("data").startswith("{"), F.from_json("data", "map<string,string>"))
+    ).withColumn("_parts", F.when(F.col("_fields").isNull(), F.split("data", ",")))
+    raw = split.select(
+        "seq",
+        channel_symbol(F.col("channel")).alias("symbol"),
+        F.when(is_json, F.coalesce(iso_time(_json_time()), F.col("timestamp")))
+        .otherwise(
+            day_and_clock(
+                F.try_element_at("_parts", F.lit(3)), F.try_element_at("_parts", F.lit(4))
+            )
         )
+        .alias("time"),
+        *[text.alias(f"_{name}") for name, text in _texts().items()],
+        F.when(is_json, _given("oi")).otherwise(F.try_element_at("_parts", F.lit(10)) != "").alias(
+            "_has_interest"
+        ),
+        (~is_json & (F.coalesce(F.size("_parts"), F.lit(0)) < MIN_FIELDS)).alias("_short"),
+    )
+    typed = raw.select(
+        "seq",
+        "symbol",
+        "time",
+        *[number(F.col(f"_{name}")).alias(name) for name in PRICES],
+        whole(F.col("_volume")).alias("volume"),
+        whole(F.col("_open_interest")).alias("open_interest"),
+        "_has_interest",
+        "_short",
+    )
+    unreadable = F.greatest(*[F.col(name).isNull() for name in (*PRICES, "volume")]) | (
+        F.col("_has_interest") & F.col("open_interest").isNull()
+    )
+    return typed.select(
+        "seq",
+        "symbol",
+        "time",
+        *PRICES,
+        "volume",
+        "open_interest",
+        F.when(F.col("_short"), "too few fields")
+        .when(F.col("time").isNull(), "unreadable time")
+        .when(unreadable, "unreadable number")
+        .alias("reject_reason"),
     )
 
 

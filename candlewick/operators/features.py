@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.numbers import clip, finite, micros, relative_change
+from candlewick.functions.numbers import clip, micros, relative_change
 from candlewick.operators.indicators import full_average
 from candlewick.operators.joins import with_indicators
 from candlewick.operators.series import Running, open_series
@@ -45,6 +45,7 @@ def training_set(
     candles: DataFrame,
     indicators: DataFrame,
     timeframe: str = "1min",
+    counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Candles with indicators, target and derived features; rows with any undefined value go.
@@ -56,7 +57,11 @@ def training_set(
         "time", "instrument_id", *RAW
     )
     series = open_series(
-        joined, before=19, after=HORIZON, counted=candles, rows_per_slice=rows_per_slice
+        joined,
+        before=19,
+        after=HORIZON,
+        counted=candles if counted is None else counted,
+        rows_per_slice=rows_per_slice,
     )
     # A missing open interest is bridged: the change counts from the last known one.
     frame = series.running(
@@ -91,15 +96,15 @@ def training_set(
 
 def feature_matrix(training: DataFrame) -> DataFrame:
     """(instrument_id, time, target, 17 features): finite rows only, clipped."""
-    return (
-        training.select(
-            "instrument_id",
-            "time",
-            "target",
-            *[finite(F.col(name).cast("double")).alias(name) for name in FEATURES],
-        )
-        .dropna()
-        .withColumns({name: clip(F.col(name), FEATURE_BOUND) for name in FEATURES})
+    # Null, NaN and both infinities all fail the one comparison. One test over an array
+    # keeps the generated code small enough to be compiled to machine code.
+    values = F.array(*[F.col(name).cast("double") for name in FEATURES])
+    finite = F.forall(values, lambda value: F.abs(value) < F.lit(float("inf")))
+    return training.where(finite).select(
+        "instrument_id",
+        "time",
+        "target",
+        *[clip(F.col(name).cast("double"), FEATURE_BOUND).alias(name) for name in FEATURES],
     )
 
 

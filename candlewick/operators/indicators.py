@@ -75,7 +75,10 @@ def _with_indicators(series: Series) -> DataFrame:
 
 
 def indicators(
-    candles: DataFrame, timeframe: str = "1min", rows_per_slice: int | None = None
+    candles: DataFrame,
+    timeframe: str = "1min",
+    counted: DataFrame | None = None,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """OBV, RSI, TVI, PVI and PVT at every candle, each over the candle's whole past.
 
@@ -85,10 +88,12 @@ def indicators(
     * tvi: running (close - mean10) * volume / mean10(volume); null where undefined
     * pvi: starts at 100 and follows the close only where volume rises
     * pvt: running relative close change times volume; null where undefined
+
+    ``counted`` and ``rows_per_slice`` are those of :func:`open_series`.
     """
     needed = candles.select("instrument_id", "time", "close", "volume")
     series = open_series(
-        needed, before=RSI_PERIOD, counted=candles, rows_per_slice=rows_per_slice
+        needed, before=RSI_PERIOD, counted=counted, rows_per_slice=rows_per_slice
     )
     return _labelled(_with_indicators(series), timeframe)
 
@@ -117,6 +122,7 @@ def moving_average(
     candles: DataFrame,
     window: int,
     instrument_id: int | None = None,
+    counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """(instrument_id, time, ma) over the last ``window`` closes, fewer at the start."""
@@ -125,7 +131,9 @@ def moving_average(
     needed = candles.select("instrument_id", "time", "close")
     if instrument_id is not None:
         needed = needed.where(F.col("instrument_id") == instrument_id)
-    series = open_series(needed, before=window - 1, rows_per_slice=rows_per_slice)
+    series = open_series(
+        needed, before=window - 1, counted=counted, rows_per_slice=rows_per_slice
+    )
     return series.close(
         series.frame.withColumn("ma", partial_average(F.col("close"), series, window))
     ).select("instrument_id", "time", "ma")

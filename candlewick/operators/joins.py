@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from candlewick.schemas import INDICATOR_COLUMNS
 
 
+PRICES = ("open", "high", "low", "close", "volume", "open_interest")
+
+
 def of_timeframe(indicators: DataFrame, timeframe: str) -> DataFrame:
     return indicators.where(F.col("timeframe") == timeframe).select(
         "time", "instrument_id", *INDICATOR_COLUMNS
@@ -39,18 +42,40 @@ def enriched_candles(
     """Candles with instrument attributes and, when given, the indicators of ``timeframe``."""
     shown = ("symbol", "instrument_type", "option_type", "strike_price")
     frame = with_instruments(candles, instruments, *shown)
-    columns = ["time", *shown, "open", "high", "low", "close", "volume", "open_interest"]
+    columns = ["time", *shown, *PRICES]
     if indicators is not None:
         frame = with_indicators(frame, indicators, timeframe)
         columns += INDICATOR_COLUMNS
     return frame.select(*columns)
 
 
-def latest(enriched: DataFrame, limit: int = 100, symbol: str | None = None) -> DataFrame:
-    """The newest rows, of one symbol when it is given; equal times go by symbol."""
+def latest(
+    candles: DataFrame,
+    instruments: DataFrame,
+    indicators: DataFrame,
+    timeframe: str = "1min",
+    limit: int = 100,
+    symbol: str | None = None,
+) -> DataFrame:
+    """The newest rows of :func:`enriched_candles`, of one symbol when it is given.
+
+    Equal times go by symbol. The rows are picked before the indicators join, which
+    keeps their number, so that only their own indicators are ever looked up.
+    """
     if symbol is not None:
-        enriched = enriched.where(F.col("symbol") == symbol)
-    return enriched.orderBy(F.desc("time"), "symbol").limit(limit)
+        instruments = instruments.where(F.col("symbol") == symbol)
+    shown = ("symbol", "instrument_type", "option_type", "strike_price")
+    picked = (
+        with_instruments(candles, instruments, *shown).orderBy(F.desc("time"), "symbol").limit(limit)
+    )
+    # No more rows than the limit.
+    keys = F.broadcast(picked.select("time", "instrument_id"))
+    readings = of_timeframe(indicators, timeframe).join(keys, ["time", "instrument_id"], "left_semi")
+    return (
+        picked.join(readings, ["time", "instrument_id"], "left")
+        .select("time", *shown, *PRICES, *INDICATOR_COLUMNS)
+        .orderBy(F.desc("time"), "symbol")
+    )
 
 
 def resolve_symbols(ticks: DataFrame, instruments: DataFrame) -> DataFrame:

@@ -33,16 +33,18 @@ def candle_columns(order: Column) -> dict[str, Column]:
 
 
 def candles(
-    ticks: DataFrame,
-    seconds: int,
-    by: Sequence[str] = ("instrument_id",),
-    order: Sequence[str] = ("time", "seq"),
+    ticks: DataFrame, seconds: int, by: Sequence[str] = ("instrument_id",), seq: str = "seq"
 ) -> DataFrame:
-    """Candles by event time: a tick belongs to the interval that contains it."""
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    return ticks.groupBy(*by, floor_time(F.col("time"), seconds).alias("_start")).agg(
-        *[column.alias(name) for name, column in candle_columns(rank).items()]
-    ).withColumnRenamed("_start", "time")
+    """Candles by event time: a tick belongs to the interval that contains it.
+
+    The first and the last tick of an interval are told by ``seq``, the arrival order.
+    A whole number keeps the aggregation in hash maps; a struct would make Spark sort.
+    """
+    return (
+        ticks.groupBy(*by, floor_time(F.col("time"), seconds).alias("_start"))
+        .agg(*[column.alias(name) for name, column in candle_columns(F.col(seq)).items()])
+        .withColumnRenamed("_start", "time")
+    )
 
 
 def _partial_groups(

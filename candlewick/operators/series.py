@@ -160,8 +160,8 @@ def open_series(
     """Prepare ``df`` for windows over ``key`` ordered by ``order`` (never null, unique per key).
 
     ``before`` and ``after`` are the largest numbers of rows that any bounded frame
-    reaches back and ahead. ``counted`` may name a cheaper frame with the same rows per
-    key, such as the candles under a join, to take the counts from.
+    reaches back and ahead. ``counted`` may name a frame that is cheaper to count and has
+    at least as many rows per key, such as the ticks behind candles.
     """
     limit = max(rows_per_slice or ROWS_PER_SLICE, 2 * (before + after), 1)
     counted = df if counted is None else counted

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators.indicators import partial_average
+from candlewick.operators.indicators import latest_candles, partial_average
 from candlewick.operators.joins import with_indicators
-from candlewick.operators.series import open_series
+from candlewick.operators.series import Series, open_series
 
 # RSI bands, the volume surge factor and the frame lengths.
 OVERSOLD, OVERBOUGHT = 30, 70
@@ -57,24 +57,36 @@ def scalping_signals(
     timeframe: str = "1min",
     symbol: str | None = None,
     limit: int | None = 100,
+    counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Every candle with its signal, newest first and cut to ``limit`` unless that is None.
 
-    ``candles`` are those of ``timeframe``. Windows always stay within one instrument
-    and see its whole history, whatever the limit.
+    ``candles`` are those of ``timeframe``. Windows always stay within one instrument and
+    see all the rows they reach, whatever the limit.
     """
     chosen = instruments.select("instrument_id", "symbol")
     if symbol is not None:
         chosen = chosen.where(F.col("symbol") == symbol)
         # Filter before the windows, so that only this instrument is ever shuffled.
         candles = candles.join(chosen.select("instrument_id"), "instrument_id", "left_semi")
-    joined = with_indicators(
-        candles.select("time", "instrument_id", "close", "volume"), indicators, timeframe
-    ).select("time", "instrument_id", "close", "volume", "rsi", "obv", "tvi")
-    series = open_series(
-        joined, before=SLOW - 1, counted=candles, rows_per_slice=rows_per_slice
+    candles = candles.select("time", "instrument_id", "close", "volume")
+    if limit is not None:
+        # No instrument has more than ``limit`` rows among the newest, and their frames
+        # reach back by less than SLOW rows; the rest need not be joined or shuffled.
+        candles = latest_candles(candles, limit + SLOW - 1).drop("recency")
+    joined = with_indicators(candles, indicators, timeframe).select(
+        "time", "instrument_id", "close", "volume", "rsi", "obv", "tvi"
     )
+    if limit is not None:
+        series = Series(joined, "instrument_id", "time", sliced=False)
+    else:
+        series = open_series(
+            joined,
+            before=SLOW - 1,
+            counted=candles if counted is None else counted,
+            rows_per_slice=rows_per_slice,
+        )
     framed = series.close(
         series.frame.select(
             "*",

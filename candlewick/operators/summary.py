@@ -23,6 +23,7 @@ def market_summary(
     as_of: str | datetime | None = None,
     all_data: bool = False,
     direction: str = "next",
+    counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Every candle of the last 30 minutes (or of all time) with its change and RSI band.
@@ -39,7 +40,11 @@ def market_summary(
         prices, readings = recent(prices, as_of), recent(readings, as_of)
     ahead = direction == "next"
     series = open_series(
-        prices, before=int(not ahead), after=int(ahead), rows_per_slice=rows_per_slice
+        prices,
+        before=int(not ahead),
+        after=int(ahead),
+        counted=counted,
+        rows_per_slice=rows_per_slice,
     )
     step = F.lead if ahead else F.lag
     compared = series.close(

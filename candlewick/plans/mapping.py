@@ -16,6 +16,7 @@ from candlewick.operators.resample import candles
 from candlewick.schemas import CANDLES, INSTRUMENTS, conform
 
 DAY = 24 * 60 * 60
+PART_SPAN = 2**21
 
 # The clock of every query that asks for "now".
 AS_OF = "2024-01-31 00:00:00"
@@ -28,6 +29,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def supplier_ticks(spark: SparkSession, folder: str) -> DataFrame:
     # Sixteenths, so that sums and means of prices are exact in any order.
     price = 1000 + F.floor(F.col("l_extendedprice") / 62.5) / 16
+    # Order, line and part as one number; orders and lines alone do not tell ticks apart.
+    line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * PART_SPAN + F.col("l_partkey") % PART_SPAN
     return table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("instrument_id"),
         F.col("l_shipdate").alias("time"),
@@ -35,25 +38,23 @@ def supplier_ticks(spark: SparkSession, folder: str) -> DataFrame:
         price.alias("close"),
         F.col("l_quantity").cast("bigint").alias("volume"),
         F.nullif(F.col("l_partkey") % 100, F.lit(7)).alias("open_interest"),
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_quantity",
-        "l_extendedprice",
+        line.alias("seq"),
     )
 
 
 def daily_candles(spark: SparkSession, folder: str) -> DataFrame:
-    made = candles(
-        supplier_ticks(spark, folder),
-        DAY,
-        order=("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"),
-    )
-    return made.select(*CANDLES.names)
+    return candles(supplier_ticks(spark, folder), DAY).select(*CANDLES.names)
+
+
+def tick_count_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticks bound the candles of an instrument and are counted without making any."""
+    return supplier_ticks(spark, folder).select("instrument_id", "time")
 
 
 def daily_indicators(spark: SparkSession, folder: str) -> DataFrame:
-    return indicators(daily_candles(spark, folder), "1min")
+    return indicators(
+        daily_candles(spark, folder), "1min", counted=tick_count_frame(spark, folder)
+    )
 
 
 def supplier_symbols(spark: SparkSession, folder: str) -> DataFrame:

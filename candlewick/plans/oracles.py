@@ -9,7 +9,7 @@ ticks AS (
   SELECT l_suppkey AS instrument_id, date_trunc('day', l_shipdate)::TIMESTAMP AS time,
          1000 + floor(l_extendedprice / 62.5) / 16 AS price, l_quantity::BIGINT AS volume,
          nullif(l_partkey % 100, 7) AS oi,
-         row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS o
+         (l_orderkey * 8 + l_linenumber) * 2097152 + l_partkey % 2097152 AS o
   FROM lineitem)"""
 
 CANDLES = CANDLE_TICKS + """,
@@ -86,9 +86,9 @@ ticks AS (
 
 def event_candles(seconds: int, by: str) -> str:
     return f"""SELECT {by}, time_bucket(INTERVAL '{seconds} seconds', time) AS time,
-       arg_min(price, row(time, seq)) AS open, max(price) AS high, min(price) AS low,
-       arg_max(price, row(time, seq)) AS close, sum(volume)::BIGINT AS volume,
-       arg_max_null(oi, row(time, seq)) AS open_interest
+       arg_min(price, seq) AS open, max(price) AS high, min(price) AS low,
+       arg_max(price, seq) AS close, sum(volume)::BIGINT AS volume,
+       arg_max_null(oi, seq) AS open_interest
 FROM ticks GROUP BY 1, 2"""
 
 

@@ -62,7 +62,9 @@ def indicators_trailing100(spark, folder):
 
 
 def moving_average_20(spark, folder):
-    return moving_average(m.daily_candles(spark, folder), 20)
+    return moving_average(
+        m.daily_candles(spark, folder), 20, counted=m.tick_count_frame(spark, folder)
+    )
 
 
 # -- candles ---------------------------------------------------------------------
@@ -122,13 +124,16 @@ def enriched_candles_plain(spark, folder):
     return plain(joins.enriched_candles(m.daily_candles(spark, folder), m.supplier_instruments(spark, folder)))
 
 
-def latest_n(spark, folder):
-    return rounded(joins.latest(_enriched(spark, folder)), rsi=6, tvi=4, pvi=6, pvt=6)
-
-
-def latest_n_symbol(spark, folder):
+def _latest(spark, folder, **options):
     return rounded(
-        joins.latest(_enriched(spark, folder), symbol="BANKNIFTY_20050PE-28MAR2024"),
+        plain(
+            joins.latest(
+                m.daily_candles(spark, folder),
+                m.supplier_instruments(spark, folder),
+                m.daily_indicators(spark, folder),
+                **options,
+            )
+        ),
         rsi=6,
         tvi=4,
         pvi=6,
@@ -136,6 +141,14 @@ def latest_n_symbol(spark, folder):
     )
 
 
+def latest_n(spark, folder):
+    return _latest(spark, folder)
+
+
+def latest_n_symbol(spark, folder):
+    return _latest(spark, folder, symbol="BANKNIFTY_20050PE-28MAR2024")
+
+
 def latest_100_per_instrument(spark, folder):
     return latest_candles(m.daily_candles(spark, folder))
 
@@ -175,6 +188,7 @@ def _signals(spark, folder, **options):
             m.daily_candles(spark, folder),
             m.daily_indicators(spark, folder),
             m.supplier_instruments(spark, folder),
+            counted=m.tick_count_frame(spark, folder),
             **options,
         ),
         rsi=6,
@@ -200,6 +214,7 @@ def signal_type_counts(spark, folder):
             m.daily_candles(spark, folder),
             m.daily_indicators(spark, folder),
             m.supplier_instruments(spark, folder),
+            counted=m.tick_count_frame(spark, folder),
             limit=None,
         )
     )
@@ -213,6 +228,7 @@ def market_summary(spark, folder):
                 m.daily_indicators(spark, folder),
                 m.supplier_instruments(spark, folder),
                 all_data=True,
+                counted=m.tick_count_frame(spark, folder),
             )
         ),
         rsi=6,
@@ -228,7 +244,11 @@ def market_summary_export(spark, folder):
 
 
 def _training(spark, folder):
-    return features.training_set(m.daily_candles(spark, folder), m.daily_indicators(spark, folder))
+    return features.training_set(
+        m.daily_candles(spark, folder),
+        m.daily_indicators(spark, folder),
+        counted=m.tick_count_frame(spark, folder),
+    )
 
 
 ML_DIGITS = dict(rsi=6, tvi=4, pvi=6, pvt=6, price_change=8, volume_change=8, oi_change=8, rsi_change=6)
@@ -531,7 +551,11 @@ def _tables(spark, folder):
         "user_id", "instrument_id"
     )
     signals = scalping_signals(
-        daily, m.daily_indicators(spark, folder), m.supplier_instruments(spark, folder), limit=None
+        daily,
+        m.daily_indicators(spark, folder),
+        m.supplier_instruments(spark, folder),
+        limit=None,
+        counted=m.tick_count_frame(spark, folder),
     )
     return {
         "instruments": m.supplier_instruments(spark, folder),

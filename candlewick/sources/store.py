@@ -8,7 +8,7 @@ those days; where the catalog's table format has MERGE, use that instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,7 +97,7 @@ class Store:
         self, name: str, batch: DataFrame, key: Sequence[str], order: Sequence[str]
     ) -> None:
         """Append the first row of each key that the table does not hold yet."""
-        incoming = _dated(name, merge.first_version(batch, key, order))
+        incoming = self.durable(_dated(name, merge.first_version(batch, key, order)))
         new = incoming.join(
             self._days_of(name, incoming).select(*key), list(key), "left_anti"
         )
@@ -114,7 +114,8 @@ class Store:
 
     def retain(self, name: str, days: int = 7, as_of: datetime | None = None) -> None:
         """Drop rows older than ``days``: whole days as folders, the boundary day by rewriting."""
-        oldest = (as_of or datetime.utcnow()) - timedelta(days=days)
+        as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+        oldest = as_of - timedelta(days=days)
         if not self.exists(name):
             return
         for folder, day in _day_folders(self.spark, self.path(name)):
@@ -124,7 +125,7 @@ class Store:
         stale = boundary.where(F.col("time") < F.lit(str(oldest)).cast("timestamp_ntz"))
         if stale.isEmpty():
             return
-        kept = self.durable(filters.retained(boundary, str(as_of or datetime.utcnow()), days))
+        kept = self.durable(filters.retained(boundary, as_of, days))
         if kept.isEmpty():
             _delete(self.spark, f"{self.path(name)}/date={oldest.date()}")
         else:
@@ -140,15 +141,22 @@ class Store:
         return df.checkpoint()
 
     def _days_of(self, name: str, batch: DataFrame) -> DataFrame:
-        """The table's rows on the days of ``batch``; the day list prunes the scan at run time."""
-        return self._read(name).join(batch.select("date").distinct(), "date", "left_semi")
+        """The table's rows on the days of ``batch``.
+
+        The days come to the driver, one value per calendar day however many rows there
+        are, because a literal list prunes the folders to read in every case.
+        """
+        days = [row["date"] for row in batch.select("date").distinct().collect()]
+        return self._read(name).where(F.col("date").isin(days))
 
     def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool = False) -> None:
-        writer = df.write.mode(mode)
+        timed = _timed(name)
+        # Rebalancing gathers each day into few files and splits days too large for one task.
+        writer = (df.hint("rebalance", "date") if timed else df).write.mode(mode)
+        if timed:
+            writer = writer.partitionBy("date")
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
-        if _timed(name):
-            writer = writer.partitionBy("date")
         writer.parquet(self.path(name))
 
 

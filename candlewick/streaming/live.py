@@ -7,6 +7,7 @@ and stop; otherwise a query runs until it is stopped or awaited with a time limi
 from __future__ import annotations
 
 from collections.abc import Callable
+from time import monotonic
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,13 +47,12 @@ def candle_stream(stream: DataFrame, timeframe: str = "15sec", lateness: str = "
 
     Ticks later than ``lateness`` are dropped, so choose it as large as the feed needs.
     """
-    rank = F.struct("time", "seq")
     return (
         # Watermarks are only defined on zoned timestamps.
         stream.withColumn("time", F.col("time").cast("timestamp"))
         .withWatermark("time", lateness)
         .groupBy("instrument_id", F.window("time", f"{SECONDS[timeframe]} seconds").alias("_window"))
-        .agg(*[column.alias(name) for name, column in candle_columns(rank).items()])
+        .agg(*[column.alias(name) for name, column in candle_columns(F.col("seq")).items()])
         .withColumn("time", F.col("_window.start").cast("timestamp_ntz"))
         .select(*CANDLES.names)
     )
@@ -71,6 +71,29 @@ def start(
     return writer.trigger(**trigger).start()
 
 
+def run_until(
+    query: StreamingQuery, seconds: float | None = None, items: int | None = None
+) -> int:
+    """Let ``query`` run until that many seconds or input rows have passed, then stop it.
+
+    Rows are counted between micro-batches, so the last one is always finished. Returns
+    the number of rows taken in.
+    """
+    deadline = None if seconds is None else monotonic() + seconds
+    taken, counted = 0, -1
+    while not query.awaitTermination(0.2):
+        for progress in query.recentProgress:
+            if progress.batchId > counted:
+                taken, counted = taken + progress.numInputRows, progress.batchId
+        if (items is not None and taken >= items) or (deadline is not None and monotonic() >= deadline):
+            query.stop()
+            break
+    for progress in query.recentProgress:
+        if progress.batchId > counted:
+            taken, counted = taken + progress.numInputRows, progress.batchId
+    return taken
+
+
 def store_candles(store: Store, timeframe: str) -> Callable[[DataFrame, int], None]:
     """Upsert finished candles of :func:`candle_stream`."""
 

@@ -115,9 +115,14 @@ def test_enriched_and_latest(spark, names):
     view = enriched_candles(frame, names, indicators(frame))
     assert view.count() == 40 and len(view.columns) == 16
     assert len(enriched_candles(frame, names).columns) == 11
-    top = latest(view, 3).collect()
+    rows = {(r.symbol, r.time): r for r in view.collect()}
+    top = latest(frame, names, indicators(frame), limit=3).collect()
     assert [r.symbol for r in top] == ["A", "B", "A"]
-    assert {r.symbol for r in latest(view, 5, symbol="B").collect()} == {"B"}
+    assert [r.time for r in top] == sorted((t for _, t in rows), reverse=True)[:3]
+    assert all(rows[r.symbol, r.time] == r for r in top)
+    assert {r.symbol for r in latest(frame, names, indicators(frame), limit=5, symbol="B").collect()} == {"B"}
+    few = indicators(frame).where("instrument_id = 2")
+    assert [r.obv is None for r in latest(frame, names, few, limit=3).collect()] == [True, False, True]
 
 
 def test_unknown_symbols(spark, names):

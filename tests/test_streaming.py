@@ -144,3 +144,22 @@ def test_ticks_are_upserted_and_indicators_refreshed(spark, feed):
     newest = store.indicators().groupBy("instrument_id").agg(F.max("time").alias("time"))
     last = store.indicators().join(newest, ["instrument_id", "time"]).select(*store.indicators().columns)
     assert_same_rows(last, latest_indicators(store.candles()), ["instrument_id"])
+
+
+def test_runs_stop_after_rows_or_seconds(spark, feed):
+    store, path, _ = feed
+    seen = []
+    query = live.start(
+        live.tick_envelopes(spark, str(path / "in"), files_per_batch=1),
+        lambda batch, number: seen.append(batch.count()),
+        str(path / "cp"),
+        interval="0 seconds",
+    )
+    taken = live.run_until(query, seconds=60, items=100)
+    assert not query.isActive
+    assert 100 <= taken <= sum(seen) <= 240
+    again = live.start(
+        live.tick_envelopes(spark, str(path / "in")), lambda batch, number: None, str(path / "cp2")
+    )
+    live.run_until(again, seconds=1)
+    assert not again.isActive

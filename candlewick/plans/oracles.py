@@ -125,7 +125,9 @@ compared AS (
   SELECT *, lead(close) OVER (PARTITION BY instrument_id ORDER BY time) AS other FROM candles),
 summary AS (
   SELECT symbol, instrument_type, option_type, strike_price, close AS latest_price, c.time AS latest_time,
-         round((close - other) / nullif(other, 0) * 100, 2) AS price_change_pct, volume, open_interest,
+         -- halves away from zero, exactly: prices are whole sixteenths
+         sign(close - other) * ((20000 * abs(close - other) * 16)::BIGINT + (other * 16)::BIGINT)
+           // (2 * (other * 16)::BIGINT) / 100.0 AS price_change_pct, volume, open_interest,
          round(rsi, 6) AS rsi, round(tvi, 4) AS tvi, obv,
          CASE WHEN rsi > 70 THEN 'Overbought' WHEN rsi < 30 THEN 'Oversold' ELSE 'Neutral' END AS rsi_signal
   FROM compared c JOIN instruments USING (instrument_id)
@@ -175,7 +177,7 @@ def rounded_features() -> str:
 
 
 SCALER = " UNION ALL ".join(
-    f"SELECT instrument_id, '{f}' AS feature, round(avg({f}), 4) AS mean, round(stddev_pop({f}), 4) AS std"
+    f"SELECT instrument_id, '{f}' AS feature, round(avg({f}), 6) AS mean, round(stddev_pop({f}), 6) AS std"
     " FROM matrix GROUP BY instrument_id"
     for f in FEATURES
 )

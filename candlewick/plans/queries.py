@@ -276,7 +276,7 @@ def ml_features(spark, folder):
 
 def ml_scaler(spark, folder):
     fitted = features.fit_scaler(features.feature_matrix(_training(spark, folder)))
-    return rounded(fitted, mean=4, std=4)
+    return rounded(fitted, mean=6, std=6)
 
 
 def ml_scaled(spark, folder):

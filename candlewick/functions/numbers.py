@@ -10,8 +10,12 @@ NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def number(text: Column) -> Column:
-    """Text to double, null when it is not a number."""
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    """Text to double, null when it is not a number.
+
+    Like the other readers here it mentions its input once: Spark copies expressions
+    into pushed-down filters, where a nested input would be evaluated per mention.
+    """
+    return F.regexp_extract(text, NUMBER_PATTERN, 0).try_cast("double")
 
 
 def whole(text: Column) -> Column:
@@ -21,19 +25,15 @@ def whole(text: Column) -> Column:
 
 def day_and_clock(day: Column, clock: Column) -> Column:
     """``yyyyMMdd`` and an unpadded ``HHmm`` as a zone-less timestamp, null when malformed."""
-    clock = F.trim(clock)
-    padded = F.when(F.length(clock) < 4, F.lpad(clock, 4, "0")).otherwise(clock)
-    text = F.concat(F.trim(day), padded)
-    return F.when(
-        text.rlike(r"^\d{12}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmm"))
-    ).cast("timestamp_ntz")
+    padded = F.concat(F.trim(day), F.lit(":0000"), F.trim(clock))
+    text = F.regexp_replace(padded, r"^(\d{8}):0{0,4}?(\d{4})$", "$1$2")
+    return F.try_to_timestamp(text, F.lit("yyyyMMddHHmm")).cast("timestamp_ntz")
 
 
 def iso_time(text: Column) -> Column:
     """ISO date or date-time; an offset is applied, and no offset means UTC."""
-    return F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:?\d{2}.*)?)?$"), text.try_cast("timestamp")
-    ).cast("timestamp_ntz")
+    shaped = F.regexp_extract(text, r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:?\d{2}.*)?)?$", 0)
+    return shaped.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def finite(value: Column) -> Column:

@@ -27,13 +27,13 @@ DAY_SPELLINGS = (
 
 def compact_day(text: Column) -> Column:
     """``28MAR2024`` (any case) as a date, null when malformed."""
-    return F.when(text.rlike(COMPACT_DAY), F.try_to_date(text, "dMMMyyyy"))
+    return F.try_to_date(F.regexp_extract(text, COMPACT_DAY, 0), "dMMMyyyy")
 
 
 def normalized_day(text: Column) -> Column:
     """Any accepted spelling as upper-case ``ddMMMyyyy``; other input only upper-cased."""
     parsed = F.coalesce(
-        *[F.when(text.rlike(shape), F.try_to_date(text, fmt)) for shape, fmt in DAY_SPELLINGS]
+        *[F.try_to_date(F.regexp_extract(text, shape, 0), fmt) for shape, fmt in DAY_SPELLINGS]
     )
     return F.upper(F.coalesce(F.date_format(parsed, "ddMMMyyyy"), text))
 

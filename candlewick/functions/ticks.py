@@ -70,9 +70,7 @@ def decode_ticks(envelopes: DataFrame) -> DataFrame:
         ),
         (~is_json & (F.coalesce(F.size("_parts"), F.lit(0)) < MIN_FIELDS)).alias("_short"),
     )
-    typed = raw.select(
-        "seq",
-        "symbol",
+    values = F.struct(
         "time",
         *[number(F.col(f"_{name}")).alias(name) for name in PRICES],
         whole(F.col("_volume")).alias("volume"),
@@ -80,6 +78,9 @@ def decode_ticks(envelopes: DataFrame) -> DataFrame:
         "_has_interest",
         "_short",
     )
+    # Generating the one row keeps a filter on the outcome from being pushed below the
+    # decoding, where it would parse every payload once per column it looks at.
+    typed = raw.select("seq", "symbol", F.inline(F.array(values)))
     unreadable = F.greatest(*[F.col(name).isNull() for name in (*PRICES, "volume")]) | (
         F.col("_has_interest") & F.col("open_interest").isNull()
     )

@@ -25,7 +25,7 @@ from pyspark.sql.window import WindowSpec
 
 from candlewick.functions.numbers import micros
 
-ROWS_PER_SLICE = 2_000_000
+ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 4096
 CELLS_PER_SLICE = 16
 GRID_LEVELS = 2

@@ -177,16 +177,13 @@ def assign_split(features: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
     )
 
 
-def scaled_split(
-    features: DataFrame, fit_on: str = "all", seed: int = SPLIT_SEED
-) -> tuple[DataFrame, DataFrame]:
-    """(scaled rows with their split, scaler), fitted on all rows or on the train rows only."""
+def fitting_rows(features: DataFrame, fit_on: str = "all", seed: int = SPLIT_SEED) -> DataFrame:
+    """The rows a scaler is fitted on: all of them, or the train rows only."""
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
-    parted = assign_split(features, seed)
-    base = features if fit_on == "all" else parted.where(F.col("split") == "train")
-    scaler = fit_scaler(base)
-    return assign_split(scale(features, scaler), seed), scaler
+    if fit_on == "all":
+        return features
+    return assign_split(features, seed).where(F.col("split") == "train").drop("split")
 
 
 def ml_slice(dataset: DataFrame, **contract) -> DataFrame:

@@ -18,17 +18,21 @@ SIGNAL_KEY = ("instrument_id", "time", "signal_type")
 
 def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     rest = [name for name in df.columns if name not in key]
+    if len(order) == 1 and order[0] in rest:
+        # Column by column the buffers stay plain values, which Spark keeps in hash maps.
+        chosen = df.groupBy(*key).agg(*[pick(name, order[0]).alias(name) for name in rest])
+        return chosen.select(*df.columns)
     chosen = df.groupBy(*key).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
     return chosen.select(*[c if c in key else f"_row.{c}" for c in df.columns])
 
 
 def last_version(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """For each key the row that is greatest by ``order`` (unique within the key)."""
+    """For each key the row that is greatest by ``order`` (unique within the key, not null)."""
     return _pick(df, key, order, F.max_by)
 
 
 def first_version(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """For each key the row that is least by ``order`` (unique within the key)."""
+    """For each key the row that is least by ``order`` (unique within the key, not null)."""
     return _pick(df, key, order, F.min_by)
 
 

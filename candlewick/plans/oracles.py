@@ -467,6 +467,7 @@ FROM customer UNION ALL SELECT s_name, NULL, 'supplier', s_nationkey FROM suppli
 SELECT 'trading_signals', count(*) FROM candles UNION ALL """
     + over_tables("SELECT '{name}', count(*) FROM {cte}"),
     "dq_instrument_counts": f"WITH{CANDLES} SELECT instrument_id, count(*) AS row_count FROM candles GROUP BY 1",
+    "dq_timeframe_counts": f"WITH{CANDLES}{IND} SELECT timeframe, count(*) AS row_count FROM ind GROUP BY 1",
     "dq_completeness": f"""WITH{CANDLES}{IND},
 sample AS (SELECT time, instrument_id FROM candles ORDER BY time DESC, instrument_id LIMIT 100)
 SELECT *, has_tvi AND has_obv AND has_rsi AND has_pvi AND has_pvt AS complete FROM (

@@ -576,6 +576,10 @@ def dq_instrument_counts(spark, folder):
     return quality.instrument_counts(m.daily_candles(spark, folder))
 
 
+def dq_timeframe_counts(spark, folder):
+    return quality.timeframe_counts(m.daily_indicators(spark, folder))
+
+
 def dq_completeness(spark, folder):
     return quality.completeness(m.daily_candles(spark, folder), m.daily_indicators(spark, folder))
 
@@ -665,6 +669,7 @@ QUERIES: dict[str, Query] = {
     "union_by_name": union_by_name,
     "dq_counts": dq_counts,
     "dq_instrument_counts": dq_instrument_counts,
+    "dq_timeframe_counts": dq_timeframe_counts,
     "dq_completeness": dq_completeness,
     "dq_freshness": dq_freshness,
     "dq_session_coverage": dq_session_coverage,

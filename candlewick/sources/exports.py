@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators.features import FEATURES, scaled_split
+from candlewick.operators.features import FEATURES, assign_split, fit_scaler, fitting_rows, scale
 
 
 def to_csv(df: DataFrame, path: str) -> None:
@@ -18,11 +18,17 @@ def to_json(df: DataFrame, path: str) -> None:
 
 
 def training_tables(features: DataFrame, path: str, fit_on: str = "all") -> None:
-    """``train`` and ``test`` rows, the ``scaler`` and the ordered ``features`` under ``path``."""
-    scaled, scaler = scaled_split(features, fit_on)
-    scaled.write.mode("overwrite").partitionBy("split").parquet(f"{path}/matrix")
-    scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+    """Scaled ``matrix`` rows by split, the ``scaler`` and the ordered ``features`` under ``path``.
+
+    Features and scaler are written before they are used, so each is computed once.
+    """
     spark = features.sparkSession
+    features.write.mode("overwrite").parquet(f"{path}/unscaled")
+    stored = spark.read.parquet(f"{path}/unscaled")
+    fit_scaler(fitting_rows(stored, fit_on)).write.mode("overwrite").parquet(f"{path}/scaler")
+    scaler = spark.read.parquet(f"{path}/scaler")
+    scaled = assign_split(scale(stored, scaler))
+    scaled.write.mode("overwrite").partitionBy("split").parquet(f"{path}/matrix")
     names = spark.createDataFrame(list(enumerate(FEATURES)), "position int, feature string")
     names.write.mode("overwrite").parquet(f"{path}/features")
 

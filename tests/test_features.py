@@ -12,9 +12,9 @@ from candlewick.operators.features import (
     assign_split,
     feature_matrix,
     fit_scaler,
+    fitting_rows,
     ml_slice,
     scale,
-    scaled_split,
     training_set,
 )
 from candlewick.operators.indicators import indicators
@@ -107,14 +107,14 @@ def test_split_is_stable_and_about_a_fifth(data):
 
 def test_fit_on_train_only(data):
     matrix = feature_matrix(training_set(*data))
-    scaled, scaler = scaled_split(matrix, fit_on="train")
+    scaler = fit_scaler(fitting_rows(matrix, "train"))
     train = assign_split(matrix).where("split = 'train'")
     want = {r.instrument_id: r.m for r in train.groupBy("instrument_id").agg(F.avg("close").alias("m")).collect()}
     got = {r.instrument_id: r["mean"] for r in scaler.where("feature = 'close'").collect()}
     assert got == pytest.approx(want)
-    assert scaled.count() == matrix.count()
+    assert fitting_rows(matrix).count() == matrix.count()
     with pytest.raises(ValueError):
-        scaled_split(matrix, fit_on="test")
+        fitting_rows(matrix, "test")
 
 
 def test_slice_uses_only_columns_that_exist(spark):

@@ -135,29 +135,25 @@ def fit_scaler(features: DataFrame) -> DataFrame:
     )
 
 
-def _wide(scaler: DataFrame) -> DataFrame:
-    return scaler.groupBy("instrument_id").agg(
-        *[
-            F.max(F.when(F.col("feature") == name, F.col(source))).alias(f"_{name}_{source}")
-            for name in FEATURES
-            for source in ("mean", "std")
-        ]
-    )
+def _by_position(scaler: DataFrame) -> DataFrame:
+    """One row per instrument: its (mean, divisor) pairs in feature order."""
+    place = F.array_position(F.array(*[F.lit(name) for name in FEATURES]), F.col("feature"))
+    divisor = F.when(F.col("std") == 0, 1.0).otherwise(F.col("std"))
+    pairs = F.struct(place.alias("place"), F.col("mean"), divisor.alias("divisor"))
+    return scaler.groupBy("instrument_id").agg(F.sort_array(F.collect_list(pairs)).alias("_fit"))
 
 
 def scale(features: DataFrame, scaler: DataFrame) -> DataFrame:
     """Features minus mean over deviation, by instrument; a zero deviation divides by one."""
-    joined = features.join(_wide(scaler), "instrument_id")
+    joined = features.join(_by_position(scaler), "instrument_id")
+    fit = F.col("_fit")
     return joined.select(
         "instrument_id",
         "time",
         "target",
         *[
-            (
-                (F.col(name) - F.col(f"_{name}_mean"))
-                / F.when(F.col(f"_{name}_std") == 0, 1.0).otherwise(F.col(f"_{name}_std"))
-            ).alias(name)
-            for name in FEATURES
+            ((F.col(name) - fit[i]["mean"]) / fit[i]["divisor"]).alias(name)
+            for i, name in enumerate(FEATURES)
         ],
     )
 

@@ -33,6 +33,17 @@ def with_indicators(
     return candles.join(of_timeframe(indicators, timeframe), ["time", "instrument_id"], how)
 
 
+def with_readings_of(picked: DataFrame, indicators: DataFrame, timeframe: str) -> DataFrame:
+    """Left join of indicators to a few ``picked`` candles, as left by a row limit.
+
+    The picked keys, no more than the limit, go to the indicators rather than all the
+    indicators to a shuffle.
+    """
+    keys = F.broadcast(picked.select("time", "instrument_id"))
+    readings = of_timeframe(indicators, timeframe).join(keys, ["time", "instrument_id"], "left_semi")
+    return picked.join(readings, ["time", "instrument_id"], "left")
+
+
 def enriched_candles(
     candles: DataFrame,
     instruments: DataFrame,
@@ -68,11 +79,8 @@ def latest(
     picked = (
         with_instruments(candles, instruments, *shown).orderBy(F.desc("time"), "symbol").limit(limit)
     )
-    # No more rows than the limit.
-    keys = F.broadcast(picked.select("time", "instrument_id"))
-    readings = of_timeframe(indicators, timeframe).join(keys, ["time", "instrument_id"], "left_semi")
     return (
-        picked.join(readings, ["time", "instrument_id"], "left")
+        with_readings_of(picked, indicators, timeframe)
         .select("time", *shown, *PRICES, *INDICATOR_COLUMNS)
         .orderBy(F.desc("time"), "symbol")
     )

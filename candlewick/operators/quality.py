@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.numbers import floor_time, micros
 from candlewick.operators.filters import clock, in_session
-from candlewick.operators.joins import with_indicators
+from candlewick.operators.joins import with_readings_of
 from candlewick.schemas import INDICATOR_COLUMNS, TABLES
 
 # The report's section titles in their order.
@@ -84,7 +84,7 @@ def completeness(candles: DataFrame, indicators: DataFrame, timeframe: str = "1m
     """One row: which indicators occur in the latest 100 candles, and whether all do."""
     # The newest candles are picked before the join: a left join on a unique key keeps their number.
     sample = candles.select("time", "instrument_id").orderBy(F.desc("time"), "instrument_id").limit(SAMPLE_ROWS)
-    found = with_indicators(sample, indicators, timeframe).agg(
+    found = with_readings_of(sample, indicators, timeframe).agg(
         F.count(F.lit(1)).alias("sampled"),
         *[(F.count(name) > 0).alias(f"has_{name}") for name in INDICATOR_COLUMNS],
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators import filters, joins, merge, summary
 from candlewick.schemas import TABLES, candle_table, conform
+from candlewick.sources import folders
 
 
 class Store:
@@ -29,7 +30,7 @@ class Store:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return _exists(self.spark, self.path(name))
+        return folders.exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return self._read(name).select(*TABLES[name].names)
@@ -118,16 +119,16 @@ class Store:
         oldest = as_of - timedelta(days=days)
         if not self.exists(name):
             return
-        for folder, day in _day_folders(self.spark, self.path(name)):
+        for folder, day in folders.day_folders(self.spark, self.path(name)):
             if day < oldest.date():
-                _delete(self.spark, folder)
+                folders.delete(self.spark, folder)
         boundary = self._read(name).where(F.col("date") == F.lit(oldest.date()))
         stale = boundary.where(F.col("time") < F.lit(str(oldest)).cast("timestamp_ntz"))
         if stale.isEmpty():
             return
         kept = self.durable(filters.retained(boundary, as_of, days))
         if kept.isEmpty():
-            _delete(self.spark, f"{self.path(name)}/date={oldest.date()}")
+            folders.delete(self.spark, f"{self.path(name)}/date={oldest.date()}")
         else:
             self._write(name, kept, "overwrite", dynamic=True)
 
@@ -171,28 +172,3 @@ def _copy(schema):
 def _dated(name: str, df: DataFrame) -> DataFrame:
     made = conform(df, TABLES[name])
     return made.withColumn("date", F.to_date("time")) if _timed(name) else made
-
-
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    system, target = _file_system(spark, path)
-    return system.exists(target)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    system, target = _file_system(spark, path)
-    system.delete(target, True)
-
-
-def _day_folders(spark: SparkSession, path: str) -> list[tuple[str, date]]:
-    system, target = _file_system(spark, path)
-    found = []
-    for status in system.listStatus(target):
-        name = status.getPath().getName()
-        if name.startswith("date="):
-            found.append((status.getPath().toString(), date.fromisoformat(name[5:])))
-    return found

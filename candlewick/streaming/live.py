@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.functions.ticks import accepted, decode_ticks
-from candlewick.operators.indicators import latest_indicators
+from candlewick.operators import merge
+from candlewick.operators.indicators import latest_candles, latest_indicators
 from candlewick.operators.joins import resolve_symbols
 from candlewick.operators.resample import (
     SECONDS,
@@ -24,7 +25,8 @@ from candlewick.operators.resample import (
     open_candles,
 )
 from candlewick.schemas import CANDLES, TICK_ENVELOPE
-from candlewick.sources.store import Store, _delete, _exists
+from candlewick.sources import folders
+from candlewick.sources.store import Store
 
 
 def tick_envelopes(
@@ -112,23 +114,39 @@ def store_ticks(store: Store, timeframe: str = "1min") -> Callable[[DataFrame, i
     return handle
 
 
-def refresh_indicators(store: Store, timeframe: str = "1min") -> Callable[[DataFrame, int], None]:
+def refresh_indicators(
+    store: Store, state: str, timeframe: str = "1min"
+) -> Callable[[DataFrame, int], None]:
     """Recompute the newest indicators of the instruments in each batch.
 
-    Each comes from the instrument's newest 100 stored candles, so run it on ticks that
-    :func:`store_ticks` has stored, as :func:`store_and_refresh` does.
+    Each comes from the instrument's newest 100 candles. These are kept under ``state``,
+    after batch n as ``n``, so that a batch reads a hundred rows per instrument and not
+    the candle table, which is only read for the first one.
     """
+    spark = store.spark
 
-    def handle(batch: DataFrame, _: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        earlier = f"{state}/{batch_id - 1}"
+        if folders.exists(spark, earlier):
+            known = spark.read.parquet(earlier)
+        else:
+            known = latest_candles(store.candles(timeframe)).drop("recency")
+        merged = merge.upserted(known, batch, merge.CANDLE_KEY, ("seq",))
+        newest = store.durable(latest_candles(merged).drop("recency"))
+        newest.write.mode("overwrite").parquet(f"{state}/{batch_id}")
         touched = batch.select("instrument_id").distinct()
-        candles = store.candles(timeframe).join(touched, "instrument_id", "left_semi")
+        candles = newest.join(touched, "instrument_id", "left_semi")
         store.upsert_indicators(latest_indicators(candles, timeframe))
+        folders.delete(spark, f"{state}/{batch_id - 2}")
 
     return handle
 
 
-def store_and_refresh(store: Store, timeframe: str = "1min") -> Callable[[DataFrame, int], None]:
-    steps = store_ticks(store, timeframe), refresh_indicators(store, timeframe)
+def store_and_refresh(
+    store: Store, state: str, timeframe: str = "1min"
+) -> Callable[[DataFrame, int], None]:
+    """Upsert the ticks of each batch, then refresh their instruments' indicators."""
+    steps = store_ticks(store, timeframe), refresh_indicators(store, state, timeframe)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         held = store.durable(batch)
@@ -150,12 +168,12 @@ def store_arrival_candles(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         earlier = f"{state}/{batch_id - 1}"
-        standing = spark.read.parquet(earlier) if _exists(spark, earlier) else None
+        standing = spark.read.parquet(earlier) if folders.exists(spark, earlier) else None
         groups = store.durable(
             arrival_step(store.durable(batch), standing, SECONDS[timeframe], by="instrument_id")
         )
         store.upsert_candles(closed_candles(groups, "instrument_id"), timeframe, order=("time",))
         open_candles(groups, "instrument_id").write.mode("overwrite").parquet(f"{state}/{batch_id}")
-        _delete(spark, f"{state}/{batch_id - 2}")
+        folders.delete(spark, f"{state}/{batch_id - 2}")
 
     return handle

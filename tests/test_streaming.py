@@ -137,7 +137,7 @@ def test_a_repeated_batch_leaves_the_same_candles(spark, feed):
 
 def test_ticks_are_upserted_and_indicators_refreshed(spark, feed):
     store, path, static = feed
-    run(stream_of(spark, path, store), live.store_and_refresh(store), path / "cp")
+    run(stream_of(spark, path, store), live.store_and_refresh(store, str(path / "newest")), path / "cp")
     known = live.ticks(static, store.instruments())
     want = known.groupBy("time", "instrument_id").agg(F.max_by("close", "seq").alias("close"))
     assert_same_rows(store.candles().select("time", "instrument_id", "close"), want, ["time", "instrument_id"])

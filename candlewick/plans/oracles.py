@@ -398,7 +398,8 @@ SELECT p_partkey, ticker,
          AS instrument_type,
        CASE WHEN kind = 0 AND strike <> 'n/a' THEN 'CE' END AS option_type,
        CASE WHEN kind = 0 THEN TRY_CAST(strike AS DOUBLE) END AS strike_price,
-       CASE WHEN kind = 1 OR (kind = 0 AND strike <> 'n/a') THEN strptime(day, '%d%b%Y')::DATE::VARCHAR END AS expiry_date
+       CASE WHEN kind = 1 OR (kind = 0 AND strike <> 'n/a')
+            THEN strptime(day, '%d%b%Y')::DATE::VARCHAR END AS expiry_date
 FROM tickers""",
     "symbol_regex_parse": f"WITH{INSTRUMENTS} SELECT * FROM instruments",
     "segment_filter": f"""WITH{TICKERS} SELECT p_partkey, ticker FROM tickers

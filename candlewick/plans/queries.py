@@ -108,20 +108,21 @@ def candle_range(spark, folder):
 # -- joins and top-n ---------------------------------------------------------------
 
 
-def _enriched(spark, folder):
-    return plain(joins.enriched_candles(
+def enriched_candles(spark, folder):
+    view = joins.enriched_candles(
         m.daily_candles(spark, folder),
         m.supplier_instruments(spark, folder),
         m.daily_indicators(spark, folder),
-    ))
-
-
-def enriched_candles(spark, folder):
-    return rounded(_enriched(spark, folder), rsi=6, tvi=4, pvi=6, pvt=6)
+    )
+    return rounded(plain(view), rsi=6, tvi=4, pvi=6, pvt=6)
 
 
 def enriched_candles_plain(spark, folder):
-    return plain(joins.enriched_candles(m.daily_candles(spark, folder), m.supplier_instruments(spark, folder)))
+    return plain(
+        joins.enriched_candles(
+            m.daily_candles(spark, folder), m.supplier_instruments(spark, folder)
+        )
+    )
 
 
 def _latest(spark, folder, **options):
@@ -427,21 +428,33 @@ def _json_envelopes(spark, folder):
     way = F.col("event_id") % 6
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     price = F.col("value").cast("string")
-    quoted = lambda key, value: F.concat(F.lit(f'"{key}":"'), value, F.lit('"'))
-    plain = lambda key, value: F.concat(F.lit(f'"{key}":'), value)
-    prices = F.concat_ws(",", *[plain(k, price) for k in ("open", "high", "low", "close")])
+
+    def quoted(key, value):
+        return F.concat(F.lit(f'"{key}":"'), value, F.lit('"'))
+
+    def bare(key, value):
+        return F.concat(F.lit(f'"{key}":'), value)
+
+    prices = F.concat_ws(",", *[bare(k, price) for k in ("open", "high", "low", "close")])
     k = F.get_json_object("props", "$.k")
-    body = (
-        F.when(way == 0, F.concat_ws(",", quoted("time", iso), prices, quoted("volume", F.concat(k, F.lit(".7")))))
+    time, close = quoted("time", iso), bare("close", price)
+    members = (
+        F.when(way == 0, F.array(time, prices, quoted("volume", F.concat(k, F.lit(".7")))))
         .when(
             way == 1,
-            F.concat_ws(",", quoted("time", F.lit("2020-01-01")), quoted("dt", F.concat(iso, F.lit("+05:30"))), prices, plain("oi", k)),
+            F.array(
+                quoted("time", F.lit("2020-01-01")),
+                quoted("dt", F.concat(iso, F.lit("+05:30"))),
+                prices,
+                bare("oi", k),
+            ),
         )
-        .when(way == 2, F.concat_ws(",", quoted("time", iso), quoted("dt", F.lit("soon")), prices))
-        .when(way == 3, F.concat_ws(",", prices, plain("volume", k), quoted("oi", F.lit("9.9"))))
-        .when(way == 4, F.concat_ws(",", quoted("timestamp", F.lit("2024-02-03 04:05:06")), plain("close", price)))
-        .otherwise(F.concat_ws(",", quoted("time", iso), quoted("open", F.lit("cheap")), plain("close", price)))
+        .when(way == 2, F.array(time, quoted("dt", F.lit("soon")), prices))
+        .when(way == 3, F.array(prices, bare("volume", k), quoted("oi", F.lit("9.9"))))
+        .when(way == 4, F.array(quoted("timestamp", F.lit("2024-02-03 04:05:06")), close))
+        .otherwise(F.array(time, quoted("open", F.lit("cheap")), close))
     )
+    body = F.concat_ws(",", members)
     return m.table(spark, folder, "events").select(
         F.col("event_id").alias("seq"),
         F.concat("event_type", F.lit(".x.JSON")).alias("channel"),
@@ -533,10 +546,14 @@ def insert_ignore(spark, folder):
 def union_by_name(spark, folder):
     """Two tables of different columns under each other, absent columns null."""
     left = m.table(spark, folder, "customer").select(
-        F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.lit("customer").alias("__source_file")
+        F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("balance"),
+        F.lit("customer").alias("__source_file"),
     )
     right = m.table(spark, folder, "supplier").select(
-        F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.lit("supplier").alias("__source_file")
+        F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nation"),
+        F.lit("supplier").alias("__source_file"),
     )
     return left.unionByName(right, allowMissingColumns=True)
 

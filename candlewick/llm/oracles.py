@@ -151,7 +151,22 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+TOP_K = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, p.vec_id,
+    list_sum(list_transform(list_zip(q.v, p.v), lambda x: x[1] * x[2]))::BIGINT AS score
+  FROM sound q JOIN sound p ON q.vec_id % 20 = 0 AND q.vec_id <> p.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_exact_top_k": TOP_K,
     "op6_url_filter": URL_FILTER,
     "op8_line_dedup": LINE_DEDUP,
     "op10_quality_rules": QUALITY_RULES,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import lines, pieces, quality, secrets, sharding, urls
+from candlewick.llm import lines, pieces, quality, secrets, sharding, topk, urls
 from candlewick.llm.common import sha256_text, table
 from candlewick.llm.oracles import ORACLES
 
@@ -36,6 +36,14 @@ def op3_secret_scan(spark, folder):
     )
 
 
+def op4_exact_top_k(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", topk.whole_vector("embedding", 64).alias("v"))
+    found = topk.top_k(
+        vectors, vectors.where(F.col("vec_id") % 20 == 0), 20, id_col="vec_id", vector_col="v"
+    )
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_sharding(spark, folder):
     placed = sharding.shard(table(spark, folder, "documents"))
     return placed.select(
@@ -83,6 +91,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op3_secret_scan,
+        op4_exact_top_k,
         op5_sharding,
         op6_url_filter,
         op7_sentencepiece,

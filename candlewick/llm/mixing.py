@@ -27,7 +27,9 @@ from candlewick.llm.common import free_name, id_or_lowest, stored, texts
 
 DOMAINS = ("clean", "noisy", "toxic")
 TARGETS = {"clean": 0.90, "noisy": 0.08, "toxic": 0.02}
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
+#: Word hashes met in fewer labelled documents say nothing; their log-odds are zero.
+LEAST = 5
 #: Labelled documents that the weights of the features are fitted on at most, by least hash.
 SAMPLE = 20_000
 SHRINK = 10.0
@@ -47,7 +49,7 @@ def bag(data: bytes) -> tuple[int, bytes, list[float]]:
     if not n:
         return 0, b"", [0.0] * 5
     codes = np.fromiter(map(xxhash.xxh64_intdigest, set(words)), np.uint64)
-    own = np.unique(codes & np.uint64(BUCKETS - 1)).astype(np.uint16)
+    own = np.unique(codes & np.uint64(BUCKETS - 1)).astype(np.uint32)
     upper = sum(map(len, words)) and int(
         np.count_nonzero(np.frombuffer(data, np.uint8) - 65 < np.uint8(26))
     )
@@ -88,7 +90,7 @@ class Classifier:
     def features(self, bags: list[bytes], forms: list[list[float]]) -> np.ndarray:
         out = np.zeros((len(bags), len(DOMAINS) * 3 + 5))
         for i, (data, form) in enumerate(zip(bags, forms, strict=True)):
-            own = self.odds[:, np.frombuffer(data, np.uint16)]
+            own = self.odds[:, np.frombuffer(data, np.uint32)]
             if own.shape[1]:
                 top = -np.sort(-own, axis=1)[:, :2]
                 out[i, :6] = top.ravel() if top.shape[1] == 2 else np.repeat(top.ravel(), 2)
@@ -117,7 +119,7 @@ def _class_counts(batches):
     counts = np.zeros((len(DOMAINS), BUCKETS), np.int64)
     for batch in batches:
         for data, domain in zip(batch.column("bag").to_pylist(), batch.column("domain").to_pylist(), strict=True):
-            counts[domain, np.frombuffer(data, np.uint16)] += 1
+            counts[domain, np.frombuffer(data, np.uint32)] += 1
     hit = np.flatnonzero(counts.any(axis=0))
     yield pa.record_batch(
         [pa.array(hit), *(pa.array(c[hit]) for c in counts)], ["bucket", *(f"c{k}" for k in range(len(DOMAINS)))]
@@ -143,8 +145,10 @@ def fit_classifier(bags: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     # At most BUCKETS rows come back, whatever the number of documents.
     counts = np.zeros((len(DOMAINS), BUCKETS))
     summed = rows.where(half).select("bag", "domain").mapInArrow(_class_counts, fields)
-    for r in summed.groupBy("bucket").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(len(DOMAINS))]).collect():
-        counts[:, r["bucket"]] = [r[f"c{k}"] for k in range(len(DOMAINS))]
+    names = [f"c{k}" for k in range(len(DOMAINS))]
+    found = summed.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names])
+    found = found.where(sum((F.col(c) for c in names), F.lit(0)) >= LEAST).toArrow()
+    counts[:, found["bucket"].to_numpy()] = [found[c].to_numpy() for c in names]
     sizes = {r["domain"]: r["n"] for r in rows.where(half).groupBy("domain").agg(F.count("*").alias("n")).collect()}
     share = np.array([sizes.get(k, 0) for k in range(len(DOMAINS))], float)
     sample = rows.where(~half).orderBy("draw", "id").limit(SAMPLE).select("bag", "form", "domain").toPandas()
@@ -155,7 +159,8 @@ def fit_classifier(bags: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     seen = counts.sum(axis=0)
     for k in range(len(DOMAINS)):
         inside, outside = counts[k] + SHRINK * share[k], seen - counts[k] + SHRINK * (1 - share[k])
-        model.odds[k] = np.log(inside / outside) - np.log(share[k] / (1 - share[k]))
+        odds = np.log(inside / outside) - np.log(share[k] / (1 - share[k]))
+        model.odds[k] = np.where(seen > 0, odds, 0)
     x = model.features(list(sample["bag"]), [list(f) for f in sample["form"]])
     model.mean, model.scale = x.mean(axis=0), np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
     model.weights = _softmax_fit(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import lines, pieces, quality, secrets, sharding, topk, urls
+from candlewick.llm import jaccard, lines, mixing, pieces, quality, secrets, sharding, topk, urls
 from candlewick.llm.common import sha256_text, table
 from candlewick.llm.oracles import ORACLES
 
@@ -20,6 +20,16 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_mixing(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    mix = mixing.mixed(docs, table(spark, folder, "labels"))
+    return mix.select(
+        "doc_id", F.col("mix.tokens").alias("n_tokens"),
+        *[F.col("mix.p")[k].alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)],
+        F.col("mix.rate").alias("rate"), F.col("mix.copies").alias("copies"),
+    )
+
+
 def op3_secret_scan(spark, folder):
     spans = F.col("secrets")
     scanned = secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
@@ -76,6 +86,10 @@ def op8_line_dedup(spark, folder):
     )
 
 
+def op9_ngram_jaccard(spark, folder):
+    return jaccard.near_classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     m = F.col("measures")
@@ -90,12 +104,14 @@ def op10_quality_rules(spark, folder):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_mixing,
         op3_secret_scan,
         op4_exact_top_k,
         op5_sharding,
         op6_url_filter,
         op7_sentencepiece,
         op8_line_dedup,
+        op9_ngram_jaccard,
         op10_quality_rules,
     )
 }

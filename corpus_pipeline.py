@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import lines, pieces, quality
+from candlewick.llm import jaccard, lines, mixing, pieces, quality
 from candlewick.llm.common import free_name, scratch_root, table
 from candlewick.llm.queries import piece_model
 
@@ -28,6 +28,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left
 
 
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one with the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
+#: Parts of the corpus by domain. All clean text stays, once, and the others are thinned out.
+TARGETS = {"clean": 0.94, "noisy": 0.05, "toxic": 0.01}
+
+
+def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose drawn number of copies is zero go."""
+    mix = free_name(docs, "mix")
+    labels = table(spark, sf_dir, "labels")
+    mixed = mixing.mixed(docs, labels, TARGETS, cap=1.0, fill="clean", name=mix)
+    return mixed.where(F.col(mix)["copies"] > 0).select(*[f"`{c}`" for c in docs.columns])
+
+
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and whether they decode to it."""
     done = pieces.encoded(docs.select("doc_id", "lang", "source", "text"), piece_model())
@@ -41,6 +58,8 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_jaccard),
+    ("mixing to target weights", mixing_to_targets),
     ("sentencepiece", sentencepiece),
 ]
 

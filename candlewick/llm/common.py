@@ -78,8 +78,9 @@ def id_or_lowest(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(NO_ID)).cast("long")
 
 
-def id_back(column: str) -> Column:
-    return F.when(F.col(column) != NO_ID, F.col(column))
+def id_back(column: Column | str) -> Column:
+    column = F.col(column) if isinstance(column, str) else column
+    return F.when(column != NO_ID, column)
 
 
 def texts(array: pa.Array) -> list[bytes]:

@@ -340,10 +340,18 @@ def _exact(docs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
             (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "n_texts",
         )
     )
-    rows = dealt.join(stored(sets, "sets"), "node")
+    return verified_pairs(dealt.join(stored(sets, "sets"), "node"))
+
+
+def verified_pairs(rows: DataFrame) -> DataFrame:
+    """(node, other, n_links) from rows (pair, side, node, n_texts, shingles).
+
+    All nodes of a pair of blocks are compared with each other; where there are two sides, only
+    across. Links are counted in rows without ``other``, and connected nodes are edges in the rest.
+    """
     sorted_rows = rows.repartition("pair").sortWithinPartitions("pair")
     # Sets may be long: an RDD hands rows over by bytes, Arrow by number.
-    return docs.sparkSession.createDataFrame(
+    return rows.sparkSession.createDataFrame(
         sorted_rows.rdd.mapPartitions(_verified), "node binary, other binary, n_links long"
     )
 

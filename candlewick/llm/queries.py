@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import jaccard, lines, mixing, pieces, quality, secrets, sharding, topk, urls
+from candlewick.llm import jaccard, lines, mixing, passages, pieces, quality, secrets, sharding, topk, urls
 from candlewick.llm.common import sha256_text, table
 from candlewick.llm.oracles import ORACLES
 
@@ -30,6 +30,17 @@ def op1_mixing(spark, folder):
     )
 
 
+def op2_substring_dedup(spark, folder):
+    marked = passages.marked_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("repeats.removed")
+    return marked.select(
+        "doc_id", F.col("repeats.class_id").alias("class_id"),
+        F.col("repeats.n_stretches").alias("n_stretches"),
+        F.size(spans).cast("long").alias("n_removed"),
+        F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("removed"),
+    )
+
+
 def op3_secret_scan(spark, folder):
     spans = F.col("secrets")
     scanned = secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
@@ -105,6 +116,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op2_substring_dedup,
         op3_secret_scan,
         op4_exact_top_k,
         op5_sharding,

@@ -210,7 +210,11 @@ def _first_wave(classes: DataFrame) -> DataFrame:
 
 
 def _second_wave(classes: DataFrame, labels: DataFrame, runs: int) -> DataFrame:
-    """All levels of all runs, leaving out what is linked already."""
+    """All levels of all runs, leaving out what is linked already.
+
+    A bucket is compared when all but SMALL of its members are linked with each other: the rest
+    then go to every block of it, which stays in proportion to its rows. Other buckets are split.
+    """
     known = classes.join(labels, "node", "left").select(
         "node", "sig", F.coalesce("label", "node").alias("label")
     )
@@ -219,41 +223,41 @@ def _second_wave(classes: DataFrame, labels: DataFrame, runs: int) -> DataFrame:
     rows = stored(
         _descend(known.select(roots.alias("path"), "node", "sig")).join(known.drop("sig"), "node"), "paths"
     )
-    edges = []
+    found = None
     for depth in range(1, MAX_DEPTH + 1):
-        sizes = _sizes(rows)
+        parts = rows.groupBy("path", "label").agg(F.count("*").alias("n"))
+        sizes = stored(
+            parts.groupBy("path").agg(
+                F.sum("n").alias("size"), F.max("n").alias("most"),
+                F.max_by("label", F.struct("n", "label")).alias("main"),
+            ).where(F.col("most") < F.col("size")),
+            "sizes",
+        )
+        ready = (F.col("size") - F.col("most") <= SMALL) | F.lit(depth == MAX_DEPTH)
         placed = rows.join(sizes, "path")
-        small = placed.where(F.col("size") <= SMALL).select(F.col("path").alias("bucket"), "node", "label")
-        edges.append(stored(_compared(small, classes), "wave"))
-        large = stored(placed.where(F.col("size") > SMALL), "large")
+        edges = stored(_compared(_blocks_of(placed.where(ready)), classes), "wave")
+        found = edges if found is None else found.union(edges)
+        large = stored(placed.where(~ready).select("path", "node"), "large")
         discard(rows)
         discard(sizes)
         if large.isEmpty():
             break
-        if depth == MAX_DEPTH:
-            edges.append(stored(_compared(_blocks_of(large), classes), "wave"))
-            break
         rows = stored(
             _descend(large.join(known.drop("label"), "node")).join(known.drop("sig"), "node"), "paths"
         )
-    found = edges[0]
-    for more in edges[1:]:
-        found = found.union(more)
+        discard(large)
     return found
 
 
-def _blocks_of(large: DataFrame) -> DataFrame:
-    """Blocks of buckets that no sampling has split: the largest linked part is dealt out, and all
-    others go to every block, so each pair that is not linked meets in one."""
-    parts = large.groupBy("path", "label").agg(F.count("*").alias("n"))
-    main = parts.groupBy("path").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+def _blocks_of(placed: DataFrame) -> DataFrame:
+    """Blocks of buckets: the largest linked part is dealt out, and all others go to every block,
+    so each pair that is not linked meets in one."""
     blocks = F.ceil(F.col("size") / SMALL).cast("long")
     own = F.array(F.pmod(F.xxhash64("node"), blocks))
-    placed = large.join(stored(main, "main"), "path").withColumn(
-        "block",
-        F.explode(F.when(F.col("label") == F.col("main"), own).otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))),
-    )
-    return placed.select(F.xxhash64("path", "block").alias("bucket"), "node", "label")
+    everywhere = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    block = F.explode(F.when(F.col("label") == F.col("main"), own).otherwise(everywhere))
+    dealt = placed.select("path", "node", "label", block.alias("block"))
+    return dealt.select(F.xxhash64("path", "block").alias("bucket"), "node", "label")
 
 
 # -- exact comparison ----------------------------------------------------------------

@@ -36,10 +36,10 @@ def with_indicators(
 def with_readings_of(picked: DataFrame, indicators: DataFrame, timeframe: str) -> DataFrame:
     """Left join of indicators to a few ``picked`` candles, as left by a row limit.
 
-    The picked keys, no more than the limit, go to the indicators rather than all the
-    indicators to a shuffle.
+    Only the indicators of the picked keys take part. Spark broadcasts the keys when their
+    measured size allows it.
     """
-    keys = F.broadcast(picked.select("time", "instrument_id"))
+    keys = picked.select("time", "instrument_id")
     readings = of_timeframe(indicators, timeframe).join(keys, ["time", "instrument_id"], "left_semi")
     return picked.join(readings, ["time", "instrument_id"], "left")
 
@@ -75,6 +75,7 @@ def latest(
     """
     if symbol is not None:
         instruments = instruments.where(F.col("symbol") == symbol)
+        indicators = indicators.join(instruments.select("instrument_id"), "instrument_id", "left_semi")
     shown = ("symbol", "instrument_type", "option_type", "strike_price")
     picked = (
         with_instruments(candles, instruments, *shown).orderBy(F.desc("time"), "symbol").limit(limit)

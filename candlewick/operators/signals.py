@@ -68,8 +68,9 @@ def scalping_signals(
     chosen = instruments.select("instrument_id", "symbol")
     if symbol is not None:
         chosen = chosen.where(F.col("symbol") == symbol)
-        # Filter before the windows, so that only this instrument is ever shuffled.
+        # Filter both sides before the windows, so that only this instrument is ever shuffled.
         candles = candles.join(chosen.select("instrument_id"), "instrument_id", "left_semi")
+        indicators = indicators.join(chosen.select("instrument_id"), "instrument_id", "left_semi")
     candles = candles.select("time", "instrument_id", "close", "volume")
     if limit is not None:
         # No instrument has more than ``limit`` rows among the newest, and their frames

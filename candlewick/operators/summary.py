@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import finite
@@ -13,9 +13,18 @@ from candlewick.operators.joins import of_timeframe, with_instruments
 from candlewick.operators.series import open_series
 from candlewick.operators.signals import rsi_band
 
+# Prices that fit are compared as decimals, so that halves are rounded exactly.
 PRICE = "decimal(18,6)"
 
 
+def change_percent(price: Column, other: Column) -> Column:
+    """Change from ``other`` to ``price`` in per cent, two decimals; null from a price of zero."""
+    exact, base = price.try_cast(PRICE), other.try_cast(PRICE)
+    fits = (exact.cast("double") == price) & (base.cast("double") == other)
+    decimal = F.round(F.try_divide(exact - base, base) * 100, 2).cast("double")
+    return F.when(fits, decimal).otherwise(F.round(F.try_divide(price - other, other) * 100, 2))
+
+
 def market_summary(
     candles: DataFrame,
     indicators: DataFrame,
@@ -50,7 +59,6 @@ def market_summary(
     compared = series.close(
         series.frame.withColumn("_other", step("close").over(series.window))
     ).where(F.col("_other").isNotNull())
-    price, other = F.col("close").cast(PRICE), F.col("_other").cast(PRICE)
     shown = ("symbol", "instrument_type", "option_type", "strike_price")
     # Symbols are unique, so joining on the id equals joining on the symbol.
     return with_instruments(
@@ -59,7 +67,7 @@ def market_summary(
         *shown,
         F.col("close").alias("latest_price"),
         F.col("time").alias("latest_time"),
-        F.round(F.try_divide(price - other, other) * 100, 2).cast("double").alias("price_change_pct"),
+        change_percent(F.col("close"), F.col("_other")).alias("price_change_pct"),
         "volume",
         "open_interest",
         "rsi",

@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.symbols import contract_fields
@@ -89,9 +89,68 @@ def event_ticks(spark: SparkSession, folder: str) -> DataFrame:
         F.col("value").alias("open"),
         F.col("value").alias("close"),
         F.get_json_object("props", "$.k").cast("bigint").alias("volume"),
-        F.nullif(F.get_json_object("props", "$.k").cast("bigint"), F.lit(13)).alias("open_interest"),
     ).select(
         "*",
+        F.nullif("volume", F.lit(13)).alias("open_interest"),
         # Unique, because the shift is under eight.
         (F.col("_shifted") * 8 + F.col("_shifted") - F.col("event_id")).alias("seq"),
     ).drop("_shifted")
+
+
+def trending_candles(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily candles with a close that runs down and up in turns, by one a day.
+
+    Each turn begins with a jump and twenty times the volume, so that all signals occur.
+    """
+    along = Window.partitionBy("instrument_id").orderBy("time")
+    place = F.col("_place") % 40
+    step = F.when(place < 16, -1).when(place == 16, 4).when(place < 32, 1).when(place == 32, -4).otherwise(0)
+    return (
+        daily_candles(spark, folder)
+        .withColumn("_place", F.row_number().over(along))
+        .withColumn("close", 2000.0 + F.sum(step.cast("double")).over(along))
+        .withColumn("volume", F.when(place.isin(16, 32), F.col("volume") * 20).otherwise(F.col("volume")))
+        .select(*CANDLES.names)
+    )
+
+
+#: Header of each made candle file: in order, with columns changed about, backwards, and without one.
+FILE_HEADERS = (
+    "Ticker,Date,Time,Open,High,Low,Close,Volume,OI",
+    "Ticker,Date,Time,Close,High,Low,Open,OI,Volume",
+    "OI,Volume,Close,Low,High,Open,Time,Date,Ticker",
+    "Ticker,Date,Time,High,Low,Close,Volume,OI",
+)
+
+
+def candle_file_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as lines of four candle files, some with an unreadable volume."""
+    part = F.col("l_partkey")
+    cells = {
+        "Ticker": F.concat(F.lit("S"), F.col("l_suppkey")),
+        "Date": F.date_format("l_shipdate", "yyyyMMdd"),
+        "Time": (915 + part % 45).cast("string"),
+        "Open": (part % 1000).cast("string"),
+        "High": (part % 1000 + 2).cast("string"),
+        "Low": (part % 1000 - 1).cast("string"),
+        "Close": (part % 1000 + 1).cast("string"),
+        "Volume": F.when(part % 50 == 0, F.lit("oops")).otherwise(F.col("l_quantity").cast("bigint").cast("string")),
+        "OI": F.when(part % 7 == 0, F.lit("")).otherwise((part % 100).cast("string")),
+    }
+    file = F.col("l_suppkey") % len(FILE_HEADERS)
+    line = F.concat_ws(",", *[cells[name] for name in FILE_HEADERS[0].split(",")])
+    for k, header in enumerate(FILE_HEADERS[1:], 1):
+        line = F.when(file == k, F.concat_ws(",", *[cells[name] for name in header.split(",")])).otherwise(line)
+    rows = table(spark, folder, "lineitem").select(
+        file.alias("_file"),
+        line.alias("value"),
+        (((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * PART_SPAN + part % PART_SPAN) + 1).alias("source_row"),
+    )
+    heads = spark.createDataFrame(
+        [(k, header, 0) for k, header in enumerate(FILE_HEADERS)], "_file long, value string, source_row long"
+    )
+    name = F.concat(F.lit("file_"), F.col("_file"), F.lit(".csv"))
+    return heads.unionByName(rows).select(
+        "value", name.alias("source_path"), name.alias("source_file"),
+        F.lit(0).cast("long").alias("source_block"), "source_row",
+    )

@@ -120,6 +120,41 @@ signals AS (
   FROM framed JOIN instruments USING (instrument_id))
 """
 
+TRENDING = CANDLES.replace("\ncandles AS", "\ndaily AS") + """,
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY instrument_id ORDER BY time) % 40 AS place FROM daily),
+candles AS (
+  SELECT time, instrument_id, open, high, low,
+         2000.0::DOUBLE + sum(CASE WHEN place < 16 THEN -1 WHEN place = 16 THEN 4 WHEN place < 32 THEN 1
+                                   WHEN place = 32 THEN -4 ELSE 0 END)
+           OVER (PARTITION BY instrument_id ORDER BY time)::DOUBLE AS close,
+         CASE WHEN place IN (16, 32) THEN volume * 20 ELSE volume END AS volume, open_interest
+  FROM placed)"""
+
+TRENDING_SIGNALS = SIGNALS.replace(CANDLES, TRENDING)
+
+FILE_ROWS = """
+WITH cells AS (
+  SELECT 'S' || l_suppkey AS ticker, l_suppkey % 4 AS f, l_partkey AS p,
+         date_trunc('day', l_shipdate)::TIMESTAMP
+           + to_minutes(9 * 60 + 15 + (l_partkey % 45)) AS time,
+         (l_partkey % 1000) AS o, l_quantity::BIGINT AS q,
+         (l_orderkey * 8 + l_linenumber) * 2097152 + l_partkey % 2097152 + 1 AS source_row
+  FROM lineitem),
+parsed AS (
+  SELECT ticker AS symbol, time, CASE WHEN f < 3 THEN o::DOUBLE END AS open, (o + 2)::DOUBLE AS high,
+         (o - 1)::DOUBLE AS low, (o + 1)::DOUBLE AS close, CASE WHEN p % 50 <> 0 THEN q END AS volume,
+         CASE WHEN p % 7 <> 0 THEN p % 100 END AS open_interest,
+         CASE WHEN f = 3 THEN 'no column Open' WHEN p % 50 = 0 THEN 'unreadable number' END AS reject_reason,
+         'file_' || f || '.csv' AS source_file, source_row
+  FROM cells)
+"""
+
+FILE_COUNTS = FILE_ROWS + """, counts AS (
+  SELECT source_file, count(*) FILTER (WHERE reject_reason IS NULL) AS accepted,
+         count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected FROM parsed GROUP BY source_file)
+"""
+
 SUMMARY = ALL + """,
 compared AS (
   SELECT *, lead(close) OVER (PARTITION BY instrument_id ORDER BY time) AS other FROM candles),
@@ -284,8 +319,7 @@ report AS (
 
 RESOLVE = """
 WITH known AS (
-  SELECT c_custkey AS instrument_id, 'user_' || c_custkey::VARCHAR AS symbol
-  FROM customer WHERE c_mktsegment = 'BUILDING'),
+  SELECT c_custkey AS instrument_id, 'user_' || (c_custkey * 2)::VARCHAR AS symbol FROM customer),
 ticks AS (
   SELECT (event_id + (event_id * 7) % 5) * 8 + (event_id * 7) % 5 AS seq, ts AS time, value AS close,
          'user_' || user_id::VARCHAR AS symbol FROM events)
@@ -357,6 +391,13 @@ FROM candles QUALIFY recency <= 100""",
     "signals_latest": SIGNALS + "SELECT * FROM signals ORDER BY time DESC, symbol LIMIT 100",
     "signals_symbol": SIGNALS + f"SELECT * FROM signals WHERE symbol = {WANTED_SYMBOL} ORDER BY time DESC LIMIT 200",
     "signal_counts": SIGNALS + "SELECT signal_type, count(*) AS signals FROM signals GROUP BY 1",
+    "signals_trending": TRENDING_SIGNALS + "SELECT * FROM signals",
+    "signal_counts_trending": TRENDING_SIGNALS + "SELECT signal_type, count(*) AS signals FROM signals GROUP BY 1",
+    "signals_buy": TRENDING_SIGNALS + "SELECT * FROM signals WHERE signal_type = 'buy'",
+    "signals_sell": TRENDING_SIGNALS + "SELECT * FROM signals WHERE signal_type = 'sell'",
+    "signals_sink": TRENDING_SIGNALS
+    + """SELECT time, instrument_id, signal_type, close AS signal_value, TIMESTAMP '2024-01-31 00:00:00' AS created_at
+FROM signals JOIN instruments USING (symbol)""",
     "market_summary": SUMMARY + "SELECT * FROM summary",
     "market_summary_export": SUMMARY
     + "SELECT * FROM summary WHERE NOT (symbol IS NULL OR option_type IS NULL OR strike_price IS NULL "
@@ -463,6 +504,22 @@ SELECT time, instrument_id, CASE WHEN s.seq IS NULL THEN i.close ELSE s.close EN
 FROM standing s FULL JOIN incoming i USING (time, instrument_id)""",
     "union_by_name": """SELECT c_name AS name, c_acctbal AS balance, 'customer' AS __source_file, NULL::INTEGER AS nation
 FROM customer UNION ALL SELECT s_name, NULL, 'supplier', s_nationkey FROM supplier""",
+    "historical_parse": FILE_ROWS + "SELECT * FROM parsed",
+    "historical_file_counts": FILE_COUNTS + "SELECT * FROM counts",
+    "historical_import_counts": FILE_COUNTS
+    + "SELECT count(*) FILTER (WHERE rejected = 0) AS imported, count(*) FILTER (WHERE rejected > 0) AS failed FROM counts",
+    "historical_whole_files": FILE_ROWS
+    + """SELECT symbol, time, open, close, source_row FROM parsed WHERE (symbol, time::DATE) NOT IN (
+  SELECT (symbol, time::DATE) FROM parsed WHERE reject_reason IS NOT NULL)""",
+    "combine_by_header": FILE_ROWS
+    + """SELECT ticker AS "Ticker", CASE WHEN f < 3 THEN o::VARCHAR END AS "Open", (o + 1)::VARCHAR AS "Close",
+       CASE WHEN p % 50 = 0 THEN 'oops' ELSE q::VARCHAR END AS "Volume",
+       CASE WHEN p % 7 <> 0 THEN (p % 100)::VARCHAR END AS "OI", 'file_' || f || '.csv' AS __source_file, source_row
+FROM cells WHERE f <> 1""",
+    "ticker_list": """SELECT p_partkey AS source_row, 0 AS source_column, 'T' || p_partkey AS ticker FROM part
+UNION ALL SELECT p_partkey, 2, upper(p_type) FROM part""",
+    "request_list": """SELECT 'S' || p_partkey AS symbol, '01MAR2024' AS start_date, '28MAR2024' AS end_date,
+       '28MAR2024' AS expiry, p_partkey * 50 AS low, p_partkey * 50 + p_size * 10 AS high FROM part""",
     "dq_counts": QUALITY
     + """ SELECT 'instruments' AS table_name, count(*) AS row_count FROM supplier UNION ALL
 SELECT 'trading_signals', count(*) FROM candles UNION ALL """

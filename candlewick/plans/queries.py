@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from candlewick.functions.symbols import contract_fields, in_segment, normalized_day, ticker_fields
 from candlewick.functions.ticks import accepted, decode_ticks, rejected
 from candlewick.operators import features, filters, instruments, joins, merge, quality, summary
-from candlewick.operators.indicators import latest_candles, latest_indicators, moving_average
+from candlewick.operators.indicators import indicators, latest_candles, latest_indicators, moving_average
 from candlewick.operators.resample import arrival_candles, candles
-from candlewick.operators.signals import scalping_signals, signal_counts, signal_rows
+from candlewick.operators.signals import of_type, scalping_signals, signal_counts, signal_rows
 from candlewick.plans import mapping as m
+from candlewick.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,28 +156,25 @@ def latest_100_per_instrument(spark, folder):
 
 
 def unknown_symbols(spark, folder):
-    """Events of users against the customers of one market segment, taken as instruments."""
+    """Events of users against the customers, taken as instruments."""
     ticks = m.event_ticks(spark, folder).select(
         "seq", "time", "close", F.concat(F.lit("user_"), F.col("user_id")).alias("symbol")
     )
-    return joins.unknown_symbols(ticks, _building_customers(spark, folder))
+    return joins.unknown_symbols(ticks, _known_customers(spark, folder))
 
 
 def resolved_symbols(spark, folder):
     ticks = m.event_ticks(spark, folder).select(
         "seq", "time", "close", F.concat(F.lit("user_"), F.col("user_id")).alias("symbol")
     )
-    return joins.resolve_symbols(ticks, _building_customers(spark, folder))
+    return joins.resolve_symbols(ticks, _known_customers(spark, folder))
 
 
-def _building_customers(spark, folder):
-    return (
-        m.table(spark, folder, "customer")
-        .where(F.col("c_mktsegment") == "BUILDING")
-        .select(
-            F.col("c_custkey").alias("instrument_id"),
-            F.concat(F.lit("user_"), F.col("c_custkey")).alias("symbol"),
-        )
+def _known_customers(spark, folder):
+    """Customers as instruments whose symbols name every second user."""
+    return m.table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("instrument_id"),
+        F.concat(F.lit("user_"), F.col("c_custkey") * 2).alias("symbol"),
     )
 
 
@@ -221,6 +219,42 @@ def signal_type_counts(spark, folder):
     )
 
 
+def _trending_signals(spark, folder):
+    made = m.trending_candles(spark, folder)
+    return rounded(
+        scalping_signals(
+            made, indicators(made, "1min"), m.supplier_instruments(spark, folder), limit=None,
+            counted=m.tick_count_frame(spark, folder),
+        ),
+        rsi=6,
+        tvi=4,
+    )
+
+
+def signals_trending(spark, folder):
+    """Signals of candles in which all five kinds occur."""
+    return _trending_signals(spark, folder)
+
+
+def signal_counts_trending(spark, folder):
+    return signal_counts(_trending_signals(spark, folder))
+
+
+def signals_buy(spark, folder):
+    return of_type(_trending_signals(spark, folder), "buy")
+
+
+def signals_sell(spark, folder):
+    return of_type(_trending_signals(spark, folder), "sell")
+
+
+def signals_sink(spark, folder):
+    """Signals in the layout of their table; the figures in ``extra`` are not rounded alike elsewhere."""
+    return signal_rows(
+        _trending_signals(spark, folder), m.supplier_instruments(spark, folder), filters.clock(m.AS_OF)
+    ).drop("extra")
+
+
 def market_summary(spark, folder):
     return rounded(
         plain(
@@ -558,6 +592,70 @@ def union_by_name(spark, folder):
     return left.unionByName(right, allowMissingColumns=True)
 
 
+# -- files ------------------------------------------------------------------------------------
+
+
+def _parsed(spark, folder):
+    lines = m.candle_file_lines(spark, folder)
+    return files.parse_candles(files.named_fields(files.with_headers(lines), files.CANDLE_FILE))
+
+
+def historical_parse(spark, folder):
+    """Candle files whose columns stand in different orders, one of them lacking a column."""
+    return _parsed(spark, folder).drop("source_block")
+
+
+def historical_file_counts(spark, folder):
+    return files.file_counts(_parsed(spark, folder))
+
+
+def historical_import_counts(spark, folder):
+    return files.import_counts(_parsed(spark, folder))
+
+
+def historical_whole_files(spark, folder):
+    """Rows of files that hold no unusable row, were there a file for each supplier and day."""
+    parsed = _parsed(spark, folder)
+    by_day = parsed.withColumn("source_file", F.concat_ws("/", "symbol", F.to_date("time")))
+    return files.whole_files(by_day).select("symbol", "time", "open", "close", "source_row")
+
+
+def combine_by_header(spark, folder):
+    """The files under each other by column name, but for the output's own file."""
+    rows = files.combined_rows(m.candle_file_lines(spark, folder), "file_1.csv")
+    names = ("Ticker", "Open", "Close", "Volume", "OI")
+    return rows.select(
+        *[F.col("row")[n].alias(n) for n in names], F.col("source_file").alias("__source_file"), "source_row"
+    )
+
+
+def ticker_list(spark, folder):
+    lines = m.table(spark, folder, "part").select(
+        F.concat(F.lit(" T"), "p_partkey", F.lit(", ,"), F.upper("p_type"), F.lit(",")).alias("value"),
+        F.lit("tickers.txt").alias("source_file"),
+        F.lit(0).alias("source_block"),
+        F.col("p_partkey").alias("source_row"),
+    )
+    return files.split_tickers(lines).select("source_row", "source_column", "ticker")
+
+
+def request_list(spark, folder):
+    key = F.col("p_partkey")
+    rows = m.table(spark, folder, "part").select(
+        F.concat_ws(
+            ",", (key * 50 + F.col("p_size") * 10).cast("string"), F.lit("28-Mar-2024"),
+            F.concat(F.lit("S"), key), F.lit("01-Mar-24"), F.lit("28MAR2024"), (key * 50).cast("string"),
+        ).alias("value"),
+        key.alias("source_row"),
+    )
+    head = spark.createDataFrame([("High,Expiry,Symbol,StartDate,EndDate,Low", -1)], "value string, source_row long")
+    lines = head.unionByName(rows).select(
+        "value", "source_row", F.lit("in.csv").alias("source_path"), F.lit("in.csv").alias("source_file"),
+        F.lit(0).cast("long").alias("source_block"),
+    )
+    return files.parse_requests(files.named_fields(files.with_headers(lines), files.REQUEST_FILE))
+
+
 # -- data quality ------------------------------------------------------------------------------
 
 
@@ -656,6 +754,11 @@ QUERIES: dict[str, Query] = {
     "signals_latest": signals_latest,
     "signals_symbol": signals_symbol,
     "signal_counts": signal_type_counts,
+    "signals_trending": signals_trending,
+    "signal_counts_trending": signal_counts_trending,
+    "signals_buy": signals_buy,
+    "signals_sell": signals_sell,
+    "signals_sink": signals_sink,
     "market_summary": market_summary,
     "market_summary_export": market_summary_export,
     "ml_target": ml_target,
@@ -684,6 +787,13 @@ QUERIES: dict[str, Query] = {
     "upsert_last_wins": upsert_last_wins,
     "insert_ignore": insert_ignore,
     "union_by_name": union_by_name,
+    "historical_parse": historical_parse,
+    "historical_file_counts": historical_file_counts,
+    "historical_import_counts": historical_import_counts,
+    "historical_whole_files": historical_whole_files,
+    "combine_by_header": combine_by_header,
+    "ticker_list": ticker_list,
+    "request_list": request_list,
     "dq_counts": dq_counts,
     "dq_instrument_counts": dq_instrument_counts,
     "dq_timeframe_counts": dq_timeframe_counts,

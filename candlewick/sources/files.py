@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,28 +15,76 @@ from candlewick.functions.symbols import normalized_day
 CANDLE_FILE = ("Ticker", "Date", "Time", "Open", "High", "Low", "Close", "Volume", "OI")
 REQUEST_FILE = ("Symbol", "StartDate", "EndDate", "Expiry", "Low", "High")
 COMBINED_PREFIX = "combined_master"
+COMBINED_NAME = "combined_master.csv"
 
 # Where a row stands in its input: these three columns order rows as the files do.
 ROW_ORDER = ("source_file", "source_block", "source_row")
 
+# Column names that a combined frame may have at most; more means files without a header.
+MAX_COLUMNS = 10_000
 
-def _texts(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def _with_order(df: DataFrame) -> DataFrame:
-    return df.select(
-        *df.columns,
+def read_lines(spark: SparkSession, path: str | list[str], suffix: str | None = ".csv") -> DataFrame:
+    """The lines of text files with their position; in folders only files with ``suffix``."""
+    reader = spark.read
+    if suffix:
+        reader = reader.option("pathGlobFilter", f"*{suffix}")
+    return reader.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_row"),
     )
 
 
+def _fields(line: Column) -> Column:
+    """The fields of a CSV line; quotes around a field are taken off."""
+    bare = F.transform(F.split(line, _COMMA), lambda f: F.regexp_replace(f, r'^\s*"(.*)"\s*$', "$1"))
+    return F.transform(bare, lambda f: F.replace(f, F.lit('""'), F.lit('"')))
+
+
+def with_headers(lines: DataFrame) -> DataFrame:
+    """Data lines as ``fields`` beside the ``header`` of their file, an array of names.
+
+    The header is the first line of a file. Blank lines are no rows.
+    """
+    first = (
+        lines.where(F.col("source_block") == 0)
+        .groupBy("source_path")
+        .agg(F.min_by("value", "source_row").alias("_header"), F.min("source_row").alias("_header_row"))
+    )
+    clean = F.transform(_fields(F.ltrim(F.col("_header"), F.lit("\ufeff"))), F.trim)
+    return (
+        lines.join(first, "source_path")
+        .where((F.col("source_row") != F.col("_header_row")) & (F.trim("value") != ""))
+        .select("source_path", *ROW_ORDER, clean.alias("header"), _fields(F.col("value")).alias("fields"))
+    )
+
+
+def named_fields(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The fields called ``names``, wherever the file has them, and ``missing``: those it lacks.
+
+    An empty field is null.
+    """
+    wanted = F.array(*map(F.lit, names))
+    field = {
+        name: F.nullif(F.get("fields", F.array_position("header", name).cast("int") - 1), F.lit(""))
+        for name in names
+    }
+    return rows.select(
+        *[value.alias(name) for name, value in field.items()],
+        F.array_except(wanted, "header").alias("missing"),
+        *ROW_ORDER,
+    )
+
+
 def read_candle_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Candle files as text columns with their position; combined files are passed over."""
-    raw = spark.read.csv(path, schema=_texts(CANDLE_FILE), header=True)
-    return _with_order(raw).where(~F.col("source_file").startswith(COMBINED_PREFIX))
+    lines = read_lines(spark, path).where(~F.col("source_file").startswith(COMBINED_PREFIX))
+    return named_fields(with_headers(lines), CANDLE_FILE)
 
 
 def parse_candles(raw: DataFrame) -> DataFrame:
@@ -53,7 +101,8 @@ def parse_candles(raw: DataFrame) -> DataFrame:
     volume = F.when(empty("Volume"), F.lit(0)).otherwise(whole(F.col("Volume")))
     interest = F.when(~empty("OI"), whole(F.col("OI")))
     reason = (
-        F.when(empty("Ticker"), "no symbol")
+        F.when(F.size("missing") > 0, F.concat(F.lit("no column "), F.array_join("missing", ", ")))
+        .when(empty("Ticker"), "no symbol")
         .when(time.isNull(), "unreadable time")
         .when(
             F.greatest(*[price.isNull() for price in prices.values()])
@@ -95,51 +144,45 @@ def import_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """(source_path, header): the first line of every file to combine."""
-    lines = spark.read.text(f"{folder}/*.csv").select(
-        "value",
-        F.col("_metadata.file_path").alias("source_path"),
-        F.col("_metadata.file_name").alias("name"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return (
-        lines.where((F.col("block") == 0) & ~F.col("name").startswith(COMBINED_PREFIX))
-        .groupBy("source_path")
-        .agg(F.min_by("value", "row").alias("header"))
-    )
+def combined_rows(lines: DataFrame, output_name: str = COMBINED_NAME) -> DataFrame:
+    """Every row of the files as a map from column name to text, with its file.
+
+    Only the file that carries the output's own name is left out.
+    """
+    rows = with_headers(lines.where(F.col("source_file") != output_name))
+    width = F.size("header")
+    padded = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.nullif(F.get("fields", i), F.lit("")))
+    return rows.select(F.map_from_arrays("header", padded).alias("row"), *ROW_ORDER)
 
 
-def combine_csvs(spark: SparkSession, folder: str) -> DataFrame:
+def combine_csvs(
+    spark: SparkSession, folder: str, output_name: str = COMBINED_NAME, columns: Sequence[str] | None = None
+) -> DataFrame:
     """All files of a folder under each other with a ``__source_file`` column.
 
-    Columns go by name and are null where a file lacks them. Only the distinct header
-    texts reach the driver, to name the columns.
+    Columns go by name and are null where a file lacks them. Unless ``columns`` are given, the
+    different column names come to the driver, which must know them to make a frame.
     """
-    headers = csv_headers(spark, folder)
-    texts = [row["header"] for row in headers.select("header").distinct().orderBy("header").collect()]
-    if not texts:
+    rows = combined_rows(read_lines(spark, folder), output_name)
+    if columns is None:
+        found = rows.select(F.explode(F.map_keys("row")).alias("name")).distinct().limit(MAX_COLUMNS + 1)
+        columns = sorted(row["name"] for row in found.collect())
+        if len(columns) > MAX_COLUMNS:
+            raise ValueError(f"more than {MAX_COLUMNS} column names in {folder}: do the files have headers?")
+    if not columns:
         raise ValueError(f"no files to combine in {folder}")
-    combined = None
-    for text in texts:
-        part = spark.read.csv(f"{folder}/*.csv", schema=_texts(text.split(",")), header=True)
-        part = part.select(
-            *part.columns,
-            F.col("_metadata.file_name").alias("__source_file"),
-            F.col("_metadata.file_path").alias("source_path"),
-        ).where(~F.col("__source_file").startswith(COMBINED_PREFIX))
-        if len(texts) > 1:
-            alike = headers.where(F.col("header") == text).select("source_path")
-            part = part.join(alike, "source_path", "left_semi")
-        part = part.drop("source_path")
-        combined = part if combined is None else combined.unionByName(part, allowMissingColumns=True)
-    return combined
+    return rows.select(
+        *[F.col("row")[name].alias(name) for name in columns], F.col("source_file").alias("__source_file")
+    )
 
 
 def read_tickers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Tickers of comma- and line-separated lists, blanks dropped, with their position."""
-    split = _with_order(spark.read.text(path)).select(
+    return split_tickers(read_lines(spark, path, suffix=None))
+
+
+def split_tickers(lines: DataFrame) -> DataFrame:
+    split = lines.select(
         F.posexplode(F.split("value", ",")).alias("source_column", "ticker"), *ROW_ORDER
     )
     return split.withColumn("ticker", F.trim("ticker")).where(F.col("ticker") != "")
@@ -150,7 +193,12 @@ TICKER_ORDER = (*ROW_ORDER, "source_column")
 
 def read_requests(spark: SparkSession, path: str | list[str], head: int | None = None) -> DataFrame:
     """Request lists with normalised dates and whole strikes, optionally only the first rows."""
-    raw = _with_order(spark.read.csv(path, schema=_texts(REQUEST_FILE), header=True))
+    return parse_requests(named_fields(with_headers(read_lines(spark, path, suffix=None)), REQUEST_FILE), head)
+
+
+def parse_requests(raw: DataFrame, head: int | None = None) -> DataFrame:
+    """Typed requests from text columns; rows of files that lack a column are left out."""
+    raw = raw.where(F.size("missing") == 0)
     if head is not None:
         raw = raw.orderBy(*ROW_ORDER).limit(head)
     return raw.select(
@@ -164,5 +212,8 @@ def read_requests(spark: SparkSession, path: str | list[str], head: int | None =
 
 
 def read_dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """An exported CSV data set."""
-    return spark.read.csv(path, schema=schema, header=True)
+    """An exported CSV data set; columns go by name, and one that is missing is null."""
+    raw = named_fields(with_headers(read_lines(spark, path, suffix=None)), schema.names)
+    return raw.select(
+        *[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema.fields]
+    )

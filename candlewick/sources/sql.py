@@ -42,13 +42,17 @@ def register_functions(store: Store) -> None:
     """
     spark = store.spark
     store.register_views()
-    signals = [
-        scalping_signals(
-            store.candles(timeframe), store.indicators(), store.instruments(), timeframe, limit=None
-        ).withColumn("timeframe", F.lit(timeframe))
-        for timeframe in TIMEFRAMES
-    ]
-    reduce(DataFrame.unionByName, signals).createOrReplaceTempView("scalping_signals")
+
+    def signals_view() -> None:
+        signals = [
+            scalping_signals(
+                store.candles(timeframe), store.indicators(), store.instruments(), timeframe, limit=None
+            ).withColumn("timeframe", F.lit(timeframe))
+            for timeframe in TIMEFRAMES
+        ]
+        reduce(DataFrame.unionByName, signals).createOrReplaceTempView("scalping_signals")
+
+    store.keep_views(signals_view)
     columns = ", ".join(part.split()[0] for part in SCALPING.replace("(18,4)", "").split(", "))
     functions = {
         f"get_latest_scalping_data(p_limit INT DEFAULT 100) RETURNS TABLE ({SCALPING})": _newest(

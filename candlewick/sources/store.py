@@ -7,13 +7,16 @@ those days; where the catalog's table format has MERGE, use that instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators import filters, joins, merge, summary
+from candlewick.operators.indicators import LATEST_ROWS, latest_candles
 from candlewick.schemas import TABLES, candle_table, conform
 from candlewick.sources import folders
 
@@ -21,6 +24,7 @@ from candlewick.sources import folders
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._views: list[Callable[[], None]] = []
 
     # -- reading ---------------------------------------------------------------
 
@@ -64,8 +68,49 @@ class Store:
         days = self._read(name).where(F.col("date").between(low, high)).select(*TABLES[name].names)
         return filters.candle_range(days, instrument_id, start, end)
 
+    def newest_candles(
+        self, instruments: DataFrame, timeframe: str = "1min", rows: int = LATEST_ROWS
+    ) -> DataFrame:
+        """The newest ``rows`` candles of each of ``instruments`` (instrument_id).
+
+        Days are read from the newest back, four times as many whenever some instrument
+        has too few rows in them, until all have enough or no day is left.
+        """
+        name = candle_table(timeframe)
+        days = sorted(d for _, d in folders.day_folders(self.spark, self.path(name))) if self.exists(name) else []
+        span = 8
+        while True:
+            table = self._read(name)
+            if span < len(days):
+                table = table.where(F.col("date") >= F.lit(days[-span]))
+            found = latest_candles(
+                table.join(instruments, "instrument_id", "left_semi").select(*TABLES[name].names), rows
+            ).drop("recency")
+            if span >= len(days):
+                return found
+            full = found.groupBy("instrument_id").count().where(F.col("count") >= rows)
+            if instruments.join(full, "instrument_id", "left_anti").isEmpty():
+                return found
+            span *= 4
+
     def register_views(self, as_of: str | datetime | None = None, all_data: bool = True) -> None:
-        """Temp views: the tables plus scalping_data, first_two_hours_data and market_summary."""
+        """Temp views: the tables plus scalping_data, first_two_hours_data and market_summary.
+
+        They are made anew after every write of this store, so that queries see it. After writes
+        by others call :meth:`refresh_views`.
+        """
+        self.keep_views(lambda: self._register(as_of, all_data))
+
+    def keep_views(self, register: Callable[[], None]) -> None:
+        """Call ``register`` now and after every write."""
+        register()
+        self._views.append(register)
+
+    def refresh_views(self) -> None:
+        for register in self._views:
+            register()
+
+    def _register(self, as_of: str | datetime | None, all_data: bool) -> None:
         for name in TABLES:
             self.read(name).createOrReplaceTempView(name)
         minute, ind, dim = self.candles(), self.indicators(), self.instruments()
@@ -77,7 +122,8 @@ class Store:
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Replace a whole table; ``df`` may read the table itself."""
-        self._write(name, self.durable(_dated(name, df)), "overwrite")
+        with self.durable(_dated(name, df)) as made:
+            self._write(name, made, "overwrite")
 
     def append(self, name: str, df: DataFrame) -> None:
         self._write(name, _dated(name, df), "append")
@@ -89,20 +135,21 @@ class Store:
 
         Repeating a batch changes nothing. Only the days of the batch are read and rewritten.
         """
-        incoming = self.durable(_dated(name, merge.last_version(batch, key, order)))
-        kept = self._days_of(name, incoming).join(incoming.select(*key), list(key), "left_anti")
-        merged = self.durable(kept.unionByName(incoming))
-        self._write(name, merged, "overwrite", dynamic=True)
+        with self.durable(_dated(name, merge.last_version(batch, key, order))) as incoming:
+            kept = self._days_of(name, incoming).join(incoming.select(*key), list(key), "left_anti")
+            with self.durable(kept.unionByName(incoming)) as merged:
+                self._write(name, merged, "overwrite", dynamic=True)
 
     def insert_ignore(
         self, name: str, batch: DataFrame, key: Sequence[str], order: Sequence[str]
     ) -> None:
         """Append the first row of each key that the table does not hold yet."""
-        incoming = self.durable(_dated(name, merge.first_version(batch, key, order)))
-        new = incoming.join(
-            self._days_of(name, incoming).select(*key), list(key), "left_anti"
-        )
-        self._write(name, self.durable(new), "append")
+        with self.durable(_dated(name, merge.first_version(batch, key, order))) as incoming:
+            new = incoming.join(
+                self._days_of(name, incoming).select(*key), list(key), "left_anti"
+            )
+            with self.durable(new) as rows:
+                self._write(name, rows, "append")
 
     def upsert_candles(self, batch: DataFrame, timeframe: str, order: Sequence[str] = ("seq",)) -> None:
         self.upsert(candle_table(timeframe), batch, merge.CANDLE_KEY, order)
@@ -122,24 +169,28 @@ class Store:
         for folder, day in folders.day_folders(self.spark, self.path(name)):
             if day < oldest.date():
                 folders.delete(self.spark, folder)
+        self.refresh_views()
         boundary = self._read(name).where(F.col("date") == F.lit(oldest.date()))
         stale = boundary.where(F.col("time") < F.lit(str(oldest)).cast("timestamp_ntz"))
         if stale.isEmpty():
             return
-        kept = self.durable(filters.retained(boundary, as_of, days))
-        if kept.isEmpty():
-            folders.delete(self.spark, f"{self.path(name)}/date={oldest.date()}")
-        else:
-            self._write(name, kept, "overwrite", dynamic=True)
-
-    def durable(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` out so that later steps neither recompute it nor read what they replace."""
-        context = self.spark.sparkContext
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(
-                self.spark.conf.get("spark.checkpoint.dir", f"{self.root}/_checkpoints")
-            )
-        return df.checkpoint()
+        with self.durable(filters.retained(boundary, as_of, days)) as kept:
+            if kept.isEmpty():
+                folders.delete(self.spark, f"{self.path(name)}/date={oldest.date()}")
+                self.refresh_views()
+            else:
+                self._write(name, kept, "overwrite", dynamic=True)
+
+    @contextmanager
+    def durable(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` written out below the root, so that later steps neither recompute it nor read
+        what they replace; the files go when the block ends."""
+        path = f"{self.root}/_scratch/{uuid4().hex}"
+        df.write.parquet(path)
+        try:
+            yield self.spark.read.schema(df.schema).parquet(path)
+        finally:
+            folders.delete(self.spark, path)
 
     def _days_of(self, name: str, batch: DataFrame) -> DataFrame:
         """The table's rows on the days of ``batch``.
@@ -159,6 +210,7 @@ class Store:
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(self.path(name))
+        self.refresh_views()
 
 
 def _timed(name: str) -> bool:

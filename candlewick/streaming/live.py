@@ -114,44 +114,45 @@ def store_ticks(store: Store, timeframe: str = "1min") -> Callable[[DataFrame, i
     return handle
 
 
+def resolving(
+    store: Store, handle: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """``handle`` for batches of raw envelopes: each batch meets the instruments known by then,
+    so those added while the stream runs count from their next tick on."""
+
+    def resolve(batch: DataFrame, batch_id: int) -> None:
+        handle(ticks(batch, store.instruments()), batch_id)
+
+    return resolve
+
+
 def refresh_indicators(
-    store: Store, state: str, timeframe: str = "1min"
+    store: Store, timeframe: str = "1min"
 ) -> Callable[[DataFrame, int], None]:
     """Recompute the newest indicators of the instruments in each batch.
 
-    Each comes from the instrument's newest 100 candles. These are kept under ``state``,
-    after batch n as ``n``, so that a batch reads a hundred rows per instrument and not
-    the candle table, which is only read for the first one.
+    Each comes from the instrument's newest 100 candles, with those of the batch. They are
+    read from the candle table, so imported and corrected candles count; of the table only
+    the newest days are read, as far back as these instruments need.
     """
-    spark = store.spark
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        earlier = f"{state}/{batch_id - 1}"
-        if folders.exists(spark, earlier):
-            known = spark.read.parquet(earlier)
-        else:
-            known = latest_candles(store.candles(timeframe)).drop("recency")
-        merged = merge.upserted(known, batch, merge.CANDLE_KEY, ("seq",))
-        newest = store.durable(latest_candles(merged).drop("recency"))
-        newest.write.mode("overwrite").parquet(f"{state}/{batch_id}")
+    def handle(batch: DataFrame, _: int) -> None:
         touched = batch.select("instrument_id").distinct()
-        candles = newest.join(touched, "instrument_id", "left_semi")
-        store.upsert_indicators(latest_indicators(candles, timeframe))
-        folders.delete(spark, f"{state}/{batch_id - 2}")
+        known = store.newest_candles(touched, timeframe)
+        newest = latest_candles(merge.upserted(known, batch, merge.CANDLE_KEY, ("seq",)))
+        store.upsert_indicators(latest_indicators(newest.drop("recency"), timeframe))
 
     return handle
 
 
-def store_and_refresh(
-    store: Store, state: str, timeframe: str = "1min"
-) -> Callable[[DataFrame, int], None]:
+def store_and_refresh(store: Store, timeframe: str = "1min") -> Callable[[DataFrame, int], None]:
     """Upsert the ticks of each batch, then refresh their instruments' indicators."""
-    steps = store_ticks(store, timeframe), refresh_indicators(store, state, timeframe)
+    steps = store_ticks(store, timeframe), refresh_indicators(store, timeframe)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        held = store.durable(batch)
-        for step in steps:
-            step(held, batch_id)
+        with store.durable(batch) as held:
+            for step in steps:
+                step(held, batch_id)
 
     return handle
 
@@ -169,11 +170,12 @@ def store_arrival_candles(
     def handle(batch: DataFrame, batch_id: int) -> None:
         earlier = f"{state}/{batch_id - 1}"
         standing = spark.read.parquet(earlier) if folders.exists(spark, earlier) else None
-        groups = store.durable(
-            arrival_step(store.durable(batch), standing, SECONDS[timeframe], by="instrument_id")
-        )
-        store.upsert_candles(closed_candles(groups, "instrument_id"), timeframe, order=("time",))
-        open_candles(groups, "instrument_id").write.mode("overwrite").parquet(f"{state}/{batch_id}")
+        with (
+            store.durable(batch) as held,
+            store.durable(arrival_step(held, standing, SECONDS[timeframe], by="instrument_id")) as groups,
+        ):
+            store.upsert_candles(closed_candles(groups, "instrument_id"), timeframe, order=("time",))
+            open_candles(groups, "instrument_id").write.mode("overwrite").parquet(f"{state}/{batch_id}")
         folders.delete(spark, f"{state}/{batch_id - 2}")
 
     return handle

@@ -52,3 +52,17 @@ def test_signals(spark, store, timeframe, symbol):
     named = "NULL" if symbol is None else f"'{symbol}'"
     got = spark.sql(f"SELECT * FROM generate_scalping_signals_flexible('{timeframe}', {named}, 30)")
     assert rows(got) == rows(want)
+
+
+def test_views_see_later_writes(spark, tmp_path):
+    made = Store(spark, str(tmp_path))
+    register_functions(made)
+    assert spark.sql("SELECT * FROM scalping_data").count() == 0
+    made.append("instruments", spark.createDataFrame([(1, "S1", "stock", None, None, None, None)], INSTRUMENTS))
+    frame = candle_frame(spark, random_candles(5, {1: 40, 2: 40}, gappy=False))
+    made.upsert_candles(frame, "1min", order=("time",))
+    assert spark.sql("SELECT * FROM scalping_data").count() == 40
+    made.upsert_candles(frame, "1min", order=("time",))
+    made.append("instruments", spark.createDataFrame([(2, "S2", "stock", None, None, None, None)], INSTRUMENTS))
+    assert spark.sql("SELECT * FROM get_latest_scalping_data(70)").count() == 70
+    assert spark.sql("SELECT * FROM scalping_signals").count() == 80

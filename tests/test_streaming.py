@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.indicators import latest_indicators
 from candlewick.operators.resample import arrival_candles, candles
-from candlewick.schemas import INSTRUMENTS, TICK_ENVELOPE
+from candlewick.schemas import CANDLES, INSTRUMENTS, TICK_ENVELOPE
 from candlewick.sources.store import Store
 from candlewick.streaming import live
 from helpers import assert_same_rows
@@ -137,7 +137,7 @@ def test_a_repeated_batch_leaves_the_same_candles(spark, feed):
 
 def test_ticks_are_upserted_and_indicators_refreshed(spark, feed):
     store, path, static = feed
-    run(stream_of(spark, path, store), live.store_and_refresh(store, str(path / "newest")), path / "cp")
+    run(stream_of(spark, path, store), live.store_and_refresh(store), path / "cp")
     known = live.ticks(static, store.instruments())
     want = known.groupBy("time", "instrument_id").agg(F.max_by("close", "seq").alias("close"))
     assert_same_rows(store.candles().select("time", "instrument_id", "close"), want, ["time", "instrument_id"])
@@ -146,6 +146,26 @@ def test_ticks_are_upserted_and_indicators_refreshed(spark, feed):
     assert_same_rows(last, latest_indicators(store.candles()), ["instrument_id"])
 
 
+def test_backfilled_candles_and_new_instruments_count(spark, feed):
+    store, path, static = feed
+    handle = live.resolving(store, live.store_and_refresh(store))
+    handle(static.where("seq < 120"), 0)
+    ids = [r.instrument_id for r in store.instruments().collect()]
+    back = [(T0.replace(tzinfo=None) - timedelta(days=40, minutes=i), ids[0], 50.0, 50.0, 50.0, 50.0 + i % 3, 10, None) for i in range(30)]
+    store.upsert_candles(spark.createDataFrame(back, CANDLES), "1min", order=("time",))
+    new = spark.createDataFrame([(99, "NEW", "stock", None, None, None, None)], INSTRUMENTS)
+    store.append("instruments", new)
+    fresh = spark.createDataFrame(
+        [(500, "NEW.JSON", json.dumps({"time": "2024-03-01T12:00:00", "close": 3}), T0)], TICK_ENVELOPE
+    )
+    handle(static.where("seq >= 120").unionByName(fresh), 1)
+    newest = store.indicators().groupBy("instrument_id").agg(F.max("time").alias("time"))
+    last = store.indicators().join(newest, ["instrument_id", "time"]).select(*store.indicators().columns)
+    assert 99 in {r.instrument_id for r in last.collect()}
+    assert_same_rows(last, latest_indicators(store.candles()), ["instrument_id"])
+    assert not (path / "store" / "_scratch").exists() or not any((path / "store" / "_scratch").iterdir())
+
+
 def test_runs_stop_after_rows_or_seconds(spark, feed):
     store, path, _ = feed
     seen = []

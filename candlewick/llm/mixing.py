@@ -42,6 +42,22 @@ _SYMBOLS = b"#*$%&|<>!"
 # -- features ----------------------------------------------------------------------
 
 
+_STEP = 0xFFFF
+
+
+def packed(own: np.ndarray) -> bytes:
+    """Ascending numbers as 16-bit gaps; a gap of _STEP or more takes several, of which only the last is less."""
+    whole, rest = np.divmod(np.diff(own, prepend=0), _STEP)
+    out = np.full(len(own) + int(whole.sum()), _STEP, np.uint16)
+    out[np.cumsum(whole + 1) - 1] = rest
+    return out.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    gaps = np.frombuffer(data, np.uint16)
+    return np.cumsum(gaps, dtype=np.int64)[gaps != _STEP]
+
+
 def bag(data: bytes) -> tuple[int, bytes, list[float]]:
     """Number of words, hashes of the different words, and measures of form."""
     words = [w.strip(_EDGES) for w in data.lower().split()]
@@ -49,7 +65,7 @@ def bag(data: bytes) -> tuple[int, bytes, list[float]]:
     if not n:
         return 0, b"", [0.0] * 5
     codes = np.fromiter(map(xxhash.xxh64_intdigest, set(words)), np.uint64)
-    own = np.unique(codes & np.uint64(BUCKETS - 1)).astype(np.uint32)
+    own = np.unique(codes & np.uint64(BUCKETS - 1)).astype(np.int64)
     upper = sum(map(len, words)) and int(
         np.count_nonzero(np.frombuffer(data, np.uint8) - 65 < np.uint8(26))
     )
@@ -58,7 +74,7 @@ def bag(data: bytes) -> tuple[int, bytes, list[float]]:
         min(symbols / n, 3.0), min(upper / n, 5.0), len(set(words)) / n, min(len(data) / n, 20.0),
         float(np.log1p(n)),
     ]
-    return n, own.tobytes(), form
+    return n, packed(own), form
 
 
 def _bags(text: pa.Array) -> pa.Array:
@@ -90,7 +106,7 @@ class Classifier:
     def features(self, bags: list[bytes], forms: list[list[float]]) -> np.ndarray:
         out = np.zeros((len(bags), len(DOMAINS) * 3 + 5))
         for i, (data, form) in enumerate(zip(bags, forms, strict=True)):
-            own = self.odds[:, np.frombuffer(data, np.uint32)]
+            own = self.odds[:, unpacked(data)]
             if own.shape[1]:
                 top = -np.sort(-own, axis=1)[:, :2]
                 out[i, :6] = top.ravel() if top.shape[1] == 2 else np.repeat(top.ravel(), 2)
@@ -119,7 +135,7 @@ def _class_counts(batches):
     counts = np.zeros((len(DOMAINS), BUCKETS), np.int64)
     for batch in batches:
         for data, domain in zip(batch.column("bag").to_pylist(), batch.column("domain").to_pylist(), strict=True):
-            counts[domain, np.frombuffer(data, np.uint32)] += 1
+            counts[domain, unpacked(data)] += 1
     hit = np.flatnonzero(counts.any(axis=0))
     yield pa.record_batch(
         [pa.array(hit), *(pa.array(c[hit]) for c in counts)], ["bucket", *(f"c{k}" for k in range(len(DOMAINS)))]

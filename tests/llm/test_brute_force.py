@@ -263,3 +263,12 @@ def test_components(spark, monkeypatch, per_task):
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
     want = {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), **dict.fromkeys((203, 204, 205), 203)}
     assert len(got) == len(want) and {r["node"]: r["label"] for r in got} == want
+
+
+def test_word_bags_survive_packing():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5, 400):
+        own = np.unique(rng.integers(0, mixing.BUCKETS, n))
+        assert (mixing.unpacked(mixing.packed(own)) == own).all()
+    edges = np.array([0, 65534, 131069, 262139])
+    assert (mixing.unpacked(mixing.packed(edges)) == edges).all()

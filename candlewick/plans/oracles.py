@@ -383,6 +383,10 @@ FROM candles JOIN instruments USING (instrument_id)""",
     "latest_100_per_instrument": f"""WITH{CANDLES}
 SELECT *, (row_number() OVER (PARTITION BY instrument_id ORDER BY time DESC))::INTEGER AS recency
 FROM candles QUALIFY recency <= 100""",
+    "latest_5000_per_instrument": f"WITH{CANDLES}"
+    + """ SELECT * FROM (
+  SELECT *, (row_number() OVER (PARTITION BY instrument_id ORDER BY time DESC))::INTEGER AS recency FROM candles)
+WHERE recency <= 5000""",
     "unknown_symbols": RESOLVE
     + "SELECT symbol, seq, time, close FROM ticks WHERE symbol NOT IN (SELECT symbol FROM known)",
     "resolved_symbols": RESOLVE
@@ -411,6 +415,16 @@ FROM signals JOIN instruments USING (symbol)""",
   ma5, ma20, round(rsi_change, 6) AS rsi_change FROM training""",
     "ml_features": MATRIX + f" SELECT instrument_id, time, target, {rounded_features()} FROM matrix",
     "ml_scaler": MATRIX + " " + SCALER,
+    "ml_scaler_train": MATRIX
+    + """, train AS (
+  SELECT * FROM matrix
+  WHERE ('0x' || substr(md5('42|' || instrument_id || '|' || epoch_us(time)), 1, 8))::BIGINT % 10 >= 2)
+"""
+    + SCALER.replace("FROM matrix", "FROM train"),
+    "ml_slice": TRAINING
+    + f""", {INSTRUMENTS.strip()}
+SELECT instrument_id, time, symbol, close, target FROM training JOIN instruments USING (instrument_id)
+WHERE option_type = 'CE'""",
     "ml_scaled": MATRIX + " " + SCALED,
     "ml_split": MATRIX
     + """ SELECT instrument_id, time, target,
@@ -431,6 +445,11 @@ FROM symbols""",
     "contract_catalog": f"""WITH{INSTRUMENTS}
 SELECT DISTINCT nullif(regexp_extract(symbol, '([A-Z]+)', 1), '') AS underlying, option_type, strike_price,
        expiry_date FROM instruments WHERE expiry_date IS NOT NULL""",
+    "expiries": f"""WITH{INSTRUMENTS}
+SELECT DISTINCT expiry_date FROM instruments WHERE symbol LIKE 'NIFTY%' AND expiry_date IS NOT NULL""",
+    "strikes": f"""WITH{INSTRUMENTS}
+SELECT DISTINCT strike_price FROM instruments
+WHERE symbol LIKE 'BANKNIFTY%' AND expiry_date = '2024-03-28' AND strike_price IS NOT NULL""",
     "contract_slice": f"""WITH{INSTRUMENTS} SELECT instrument_id, symbol FROM instruments
 WHERE symbol LIKE 'BANKNIFTY%' AND expiry_date = '2024-03-28' AND strike_price = 20050 AND option_type = 'PE'""",
     "ticker_parse": f"""WITH{TICKERS}

@@ -314,6 +314,25 @@ def ml_scaler(spark, folder):
     return rounded(fitted, mean=6, std=6)
 
 
+def ml_scaler_train(spark, folder):
+    """The scaler fitted on the train rows only."""
+    matrix = features.feature_matrix(_training(spark, folder))
+    return rounded(features.fit_scaler(features.fitting_rows(matrix, "train")), mean=6, std=6)
+
+
+def ml_slice(spark, folder):
+    """Training rows of the calls on one index; attributes that the set lacks are passed over."""
+    named = joins.with_instruments(
+        _training(spark, folder), m.supplier_instruments(spark, folder), "symbol", "option_type"
+    )
+    chosen = features.ml_slice(named, option_type="CE", strike_price=1)
+    return chosen.select("instrument_id", "time", "symbol", "close", "target")
+
+
+def latest_5000_per_instrument(spark, folder):
+    return latest_candles(m.daily_candles(spark, folder), 5000)
+
+
 def ml_scaled(spark, folder):
     matrix = features.feature_matrix(_training(spark, folder))
     scaled = features.scale(matrix, features.fit_scaler(matrix))
@@ -352,6 +371,14 @@ def contract_catalog(spark, folder):
     return plain(instruments.contract_catalog(m.supplier_instruments(spark, folder)))
 
 
+def expiries(spark, folder):
+    return plain(instruments.expiries(m.supplier_instruments(spark, folder), "NIFTY"))
+
+
+def strikes(spark, folder):
+    return plain(instruments.strikes(m.supplier_instruments(spark, folder), "BANKNIFTY", date(2024, 3, 28)))
+
+
 def contract_slice(spark, folder):
     return instruments.contract_slice(
         m.supplier_instruments(spark, folder), "BANKNIFTY", date(2024, 3, 28), 20050, "PE"
@@ -748,6 +775,7 @@ QUERIES: dict[str, Query] = {
     "latest_n": latest_n,
     "latest_n_symbol": latest_n_symbol,
     "latest_100_per_instrument": latest_100_per_instrument,
+    "latest_5000_per_instrument": latest_5000_per_instrument,
     "unknown_symbols": unknown_symbols,
     "resolved_symbols": resolved_symbols,
     "scalping_signals": signals_all,
@@ -765,6 +793,8 @@ QUERIES: dict[str, Query] = {
     "ml_training_set": ml_training_set,
     "ml_features": ml_features,
     "ml_scaler": ml_scaler,
+    "ml_scaler_train": ml_scaler_train,
+    "ml_slice": ml_slice,
     "ml_scaled": ml_scaled,
     "ml_split": ml_split,
     "best_instrument": best_instrument,
@@ -772,6 +802,8 @@ QUERIES: dict[str, Query] = {
     "first_instrument": first_instrument,
     "underlying_list": underlying_list,
     "contract_catalog": contract_catalog,
+    "expiries": expiries,
+    "strikes": strikes,
     "contract_slice": contract_slice,
     "ticker_parse": ticker_parse,
     "symbol_regex_parse": symbol_regex_parse,

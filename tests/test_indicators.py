@@ -110,3 +110,8 @@ def test_moving_average_counts_partial_frames(spark):
     assert got[1].time == START + timedelta(minutes=1)
     with pytest.raises(ValueError):
         moving_average(flat_candles(spark, [1]), 0)
+
+
+def test_many_rows_per_instrument_are_cut_before_the_shuffle(spark):
+    frame = latest_candles(candle_frame(spark, random_candles(8, {1: 30})), 5000)
+    assert "WindowGroupLimit" in frame._jdf.queryExecution().executedPlan().toString()

@@ -42,19 +42,18 @@ REPORT = T.StructType(
 def schema_rows(
     spark: SparkSession, tables: Mapping[str, DataFrame], views: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Presence of each required table, column and view; needs no job. A missing view only warns."""
+    """Presence and type of each required table, column and view; needs no job. A missing view only warns."""
     rows = []
     for name, schema in TABLES.items():
-        columns = set(tables[name].columns) if name in tables else set()
-        lacking = [c for c in schema.names if c not in columns]
-        rows.append(
-            (
-                SECTIONS[0],
-                f"table {name}",
-                "FAILED" if lacking else "PASSED",
-                "missing " + (",".join(lacking) if name in tables else "table") if lacking else "complete",
+        fault = "missing table"
+        if name in tables:
+            kinds = dict(tables[name].dtypes)
+            lacking = [c for c in schema.names if c not in kinds]
+            wrong = [f.name for f in schema if kinds.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
+            fault = "; ".join(
+                text + ",".join(names) for text, names in (("missing ", lacking), ("wrong type ", wrong)) if names
             )
-        )
+        rows.append((SECTIONS[0], f"table {name}", "FAILED" if fault else "PASSED", fault or "complete"))
     there = views is not None and "first_two_hours_data" in views
     rows.append(
         (SECTIONS[5], "view first_two_hours_data", *(("PASSED", "exists") if there else ("WARNING", "missing")))
@@ -160,54 +159,72 @@ def report(
     views: Mapping[str, DataFrame] | None = None,
     as_of: str | datetime | None = None,
 ) -> DataFrame:
-    """All six sections over tables named as in the schema."""
+    """All six sections over tables named as in the schema.
+
+    Counts, ages and coverage of a table come from one pass over it.
+    """
     spark = tables["instruments"].sparkSession
-    timed = {name: df for name, df in tables.items() if name != "instruments"}
-    flowing = {name: df for name, df in tables.items() if name != "trading_signals"}
-    live = {name: df for name, df in timed.items() if name != "trading_signals"}
-    minute, quick = tables["candle_data_1min"], tables["candle_data_15sec"]
-    readings = tables["technical_indicators"]
-    session = {
-        "candle_data_15sec": quick,
-        "technical_indicators": readings.where(F.col("timeframe") == "15sec"),
-    }
-    text = lambda name: F.col(name).cast("string")
-    parts = [
-        schema_rows(spark, tables, views),
-        retention_rows(timed, as_of),
-        _checked(
-            table_counts(flowing),
-            SECTIONS[2],
-            F.concat(F.lit("rows in "), "table_name"),
-            F.col("row_count") > 0,
-            F.concat(text("row_count"), F.lit(" rows")),
-        ),
-        _checked(
-            completeness(minute, readings),
-            SECTIONS[3],
-            "indicators present",
-            F.col("complete"),
-            F.concat(text("sampled"), F.lit(" latest candles sampled")),
-        ),
-        _checked(
-            freshness(live, as_of),
-            SECTIONS[4],
-            F.concat(F.lit("latest in "), "table_name"),
-            F.col("latest_time").isNotNull(),
-            F.coalesce(
-                F.concat(F.round("age_minutes", 2).cast("decimal(20,2)").cast("string"), F.lit(" minutes old")),
-                F.lit("no rows"),
-            ),
-        ),
-        _checked(
-            session_coverage(session),
-            SECTIONS[5],
-            F.concat(F.lit("session rows in "), "table_name"),
-            F.col("session_rows") > 0,
-            F.concat(text("session_rows"), F.lit(" rows")),
+    minute, readings = tables["candle_data_1min"], tables["technical_indicators"]
+    every = F.concat(F.col("sampled").cast("string"), F.lit(" latest candles sampled"))
+    return _stack(
+        [
+            schema_rows(spark, tables, views),
+            _facts_rows(_stack([_facts(name, df, as_of) for name, df in tables.items()]), as_of),
+            _checked(completeness(minute, readings), SECTIONS[3], "indicators present", F.col("complete"), every),
+        ]
+    )
+
+
+def _facts(name: str, df: DataFrame, as_of: str | datetime | None) -> DataFrame:
+    """One row of what the report says about a table."""
+    count = F.count(F.lit(1)).alias("row_count")
+    if "time" not in df.columns:
+        nothing = F.lit(None).cast("timestamp_ntz").alias("latest_time"), F.lit(None).cast("bigint").alias("stale")
+        facts = df.agg(count).select("row_count", *nothing, F.lit(None).cast("bigint").alias("session_rows"))
+    else:
+        session = in_session(F.col("time"))
+        if "timeframe" in df.columns:
+            session = session & (F.col("timeframe") == "15sec")
+        oldest = clock(as_of) - F.make_dt_interval(F.lit(RETENTION_DAYS))
+        facts = df.agg(
+            count,
+            F.max("time").alias("latest_time"),
+            F.count_if(F.col("time") < oldest).alias("stale"),
+            F.count_if(session).alias("session_rows"),
+        )
+    return facts.withColumn("table_name", F.lit(name))
+
+
+def _facts_rows(facts: DataFrame, as_of: str | datetime | None) -> DataFrame:
+    name = F.col("table_name")
+    timed = [n for n in TABLES if n != "instruments"]
+    flowing = [n for n in TABLES if n != "trading_signals"]
+    live = [n for n in timed if n in flowing]
+    age = F.round((micros(clock(as_of)) - micros(F.col("latest_time"))) / F.lit(60_000_000.0), 4)
+    old = F.concat(F.round(age, 2).cast("decimal(20,2)").cast("string"), F.lit(" minutes old"))
+
+    def row(names: list[str], section: str, check: str, holds: Column, detail: Column) -> Column:
+        made = F.struct(
+            F.lit(section).alias("section"),
+            F.concat(F.lit(f"{check} "), name).alias("check"),
+            F.when(holds, "PASSED").otherwise("WARNING").alias("status"),
+            detail.alias("detail"),
+        )
+        return F.when(name.isin(*names), made)
+
+    def rows_of(column: str, text: str) -> Column:
+        return F.concat(F.col(column).cast("string"), F.lit(text))
+
+    listed = F.array(
+        row(timed, SECTIONS[1], "retention of", F.col("stale") == 0, rows_of("stale", " rows past retention")),
+        row(flowing, SECTIONS[2], "rows in", F.col("row_count") > 0, rows_of("row_count", " rows")),
+        row(live, SECTIONS[4], "latest in", F.col("latest_time").isNotNull(), F.coalesce(old, F.lit("no rows"))),
+        row(
+            ["candle_data_15sec", "technical_indicators"], SECTIONS[5], "session rows in",
+            F.col("session_rows") > 0, rows_of("session_rows", " rows"),
         ),
-    ]
-    return _stack(parts)
+    )
+    return facts.select(F.inline(F.array_compact(listed)))
 
 
 def overall(checks: DataFrame) -> DataFrame:

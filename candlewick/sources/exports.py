@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.features import FEATURES, assign_split, fit_scaler, fitting_rows, scale
+from candlewick.operators.quality import overall
 
 
 def to_csv(df: DataFrame, path: str) -> None:
@@ -39,4 +40,9 @@ def read_split(spark, path: str, split: str) -> DataFrame:
 
 
 def validation_report(checks: DataFrame, path: str) -> None:
-    checks.write.mode("overwrite").csv(path, header=True)
+    """The checks and, as a last kind of row, the overall status."""
+    whole = overall(checks).select(
+        F.lit("Overall").alias("section"), F.lit("overall status").alias("check"), "status",
+        F.lit("failed checks count, warnings do not").alias("detail"),
+    )
+    to_csv(checks.unionByName(whole), path)

@@ -68,6 +68,14 @@ class Store:
         days = self._read(name).where(F.col("date").between(low, high)).select(*TABLES[name].names)
         return filters.candle_range(days, instrument_id, start, end)
 
+    def standing_candles(self, keys: DataFrame, timeframe: str) -> DataFrame:
+        """The stored candles of the given (time, instrument_id), reading only their days."""
+        name = candle_table(timeframe)
+        days = self._days_of(name, _dated(name, _nulls(keys, TABLES[name])))
+        return days.join(keys.select(*merge.CANDLE_KEY), list(merge.CANDLE_KEY), "left_semi").select(
+            *TABLES[name].names
+        )
+
     def newest_candles(
         self, instruments: DataFrame, timeframe: str = "1min", rows: int = LATEST_ROWS
     ) -> DataFrame:
@@ -213,6 +221,12 @@ class Store:
         self.refresh_views()
 
 
+def _nulls(df: DataFrame, schema) -> DataFrame:
+    """``df`` with the columns of ``schema`` that it lacks as nulls."""
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns}
+    return df.withColumns(lacking) if lacking else df
+
+
 def _timed(name: str) -> bool:
     return "time" in TABLES[name].names
 

@@ -21,6 +21,7 @@ from candlewick.operators.resample import (
     SECONDS,
     arrival_step,
     candle_columns,
+    candles,
     closed_candles,
     open_candles,
 )
@@ -47,7 +48,8 @@ def ticks(envelopes: DataFrame, instruments: DataFrame) -> DataFrame:
 def candle_stream(stream: DataFrame, timeframe: str = "15sec", lateness: str = "1 minute") -> DataFrame:
     """Event-time candles, each emitted once its interval is past the watermark.
 
-    Ticks later than ``lateness`` are dropped, so choose it as large as the feed needs.
+    Ticks later than ``lateness`` are dropped; where none may be lost, use
+    :func:`store_tick_candles`, which keeps no watermark.
     """
     return (
         # Watermarks are only defined on zoned timestamps.
@@ -105,6 +107,40 @@ def store_candles(store: Store, timeframe: str) -> Callable[[DataFrame, int], No
     return handle
 
 
+def store_tick_candles(store: Store, state: str, timeframe: str = "15sec") -> Callable[[DataFrame, int], None]:
+    """Merge the ticks of each batch into the stored candles of their intervals, however late they are.
+
+    What a batch finds standing is written under ``state`` first, so a repeated batch starts
+    from the same candles and gives the same result.
+    """
+    spark = store.spark
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        found = f"{state}/{batch_id}"
+        with store.durable(candles(batch, SECONDS[timeframe])) as fresh:
+            if not folders.exists(spark, f"{found}/_SUCCESS"):
+                keys = fresh.select("time", "instrument_id")
+                store.standing_candles(keys, timeframe).write.mode("overwrite").parquet(found)
+            standing = spark.read.schema(CANDLES).parquet(found)
+            old = standing.select(
+                "time", "instrument_id", F.lit(True).alias("_old"), *[F.col(c).alias(f"_{c}") for c in CANDLES.names[2:]]
+            )
+            merged = fresh.join(old, ["time", "instrument_id"], "left").select(
+                "time",
+                "instrument_id",
+                F.when(F.col("_old"), F.col("_open")).otherwise(F.col("open")).alias("open"),
+                F.greatest("high", "_high").alias("high"),
+                F.least("low", "_low").alias("low"),
+                "close",
+                F.coalesce(F.col("volume") + F.col("_volume"), "volume", "_volume").alias("volume"),
+                "open_interest",
+            )
+            store.upsert_candles(merged, timeframe, order=("time",))
+        folders.delete(spark, f"{state}/{batch_id - 2}")
+
+    return handle
+
+
 def store_ticks(store: Store, timeframe: str = "1min") -> Callable[[DataFrame, int], None]:
     """Upsert each tick as it is at its own time, the last arrival winning."""
 

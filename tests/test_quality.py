@@ -131,3 +131,9 @@ def test_get_or_create_leaves_known_rows(spark):
     assert len(rows) == 2 and rows["ACME_1CE"] == dim.first()
     new = rows["Z_7PE-01JAN2025"]
     assert (new.instrument_id, new.option_type, new.strike_price, new.expiry_date) == (2, "PE", 7, date(2025, 1, 1))
+
+
+def test_a_wrong_column_type_fails(spark, tables):
+    bad = {**tables, "candle_data_1min": tables["candle_data_1min"].withColumn("volume", F.col("volume").cast("string"))}
+    rows = found(quality.schema_rows(spark, bad))
+    assert rows["Database Schema", "table candle_data_1min"] == ("FAILED", "wrong type volume")

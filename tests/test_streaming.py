@@ -113,6 +113,17 @@ def test_late_rows_are_dropped_past_the_watermark(spark, feed):
     assert [(r.time, r.close) for r in rows] == [(datetime(2024, 3, 1, 10, 0), 5.0)]
 
 
+def test_late_ticks_are_merged_without_a_watermark(spark, feed):
+    store, path, static = feed
+    handle = live.store_tick_candles(store, str(path / "state"))
+    run(stream_of(spark, path, store), handle, path / "cp")
+    want = candles(live.ticks(static, store.instruments()), 15)
+    assert_same_rows(store.candles("15sec"), want.select(*store.candles("15sec").columns), ["time", "instrument_id"])
+    last = live.ticks(static, store.instruments()).where("seq >= 180")
+    handle(last, 3)  # the last batch once more
+    assert_same_rows(store.candles("15sec"), want.select(*store.candles("15sec").columns), ["time", "instrument_id"])
+
+
 def test_arrival_stream_equals_batch(spark, feed):
     store, path, static = feed
     known = live.ticks(static, store.instruments())

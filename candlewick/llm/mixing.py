@@ -2,15 +2,15 @@
 
 A classifier learnt from the labelled table gives every document posteriors over domains. Rates
 (expected copies, not negative) are then fitted by least squares, so that the expected tokens
-of each domain meet the targets: projected gradient descent over all documents, where a round
+of each domain meet the targets: projected gradient descent with momentum over all documents, where a round
 sends out the residuals of the domains and gets back their totals. A rate depends on nothing but
 the document's posteriors and the residuals so far, so rates are never stored or collected.
 
 Defined cases: a null or empty text has no tokens; its rate follows from its posteriors like any
 other. Labels with nulls are left out; labels of one id are merged (any toxic, any low quality).
-Without labels all posteriors are equal. Repeated rows count as often as they occur and get the
-same rate. Targets that cannot be met are approached as closely as least squares allow. Other
-columns are passed on.
+Without labels every document is of the first domain, and a domain without labels has posteriors
+near zero. Repeated rows count as often as they occur and get the same rate. Targets that cannot be
+met are approached as least squares allow, in MAX_ROUNDS rounds. Other columns are passed on.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ class Classifier:
 
     def posteriors(self, bags: list[bytes], forms: list[list[float]]) -> np.ndarray:
         if self.weights is None:
-            return np.full((len(bags), len(DOMAINS)), 1 / len(DOMAINS))
+            return np.tile(np.eye(len(DOMAINS))[0], (len(bags), 1))
         x = (self.features(bags, forms) - self.mean) / self.scale
         return _softmax(np.c_[x, np.ones(len(x))] @ self.weights)
 
@@ -169,11 +169,11 @@ def fit_classifier(bags: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     share = np.array([sizes.get(k, 0) for k in range(len(DOMAINS))], float)
     sample = rows.where(~half).orderBy("draw", "id").limit(SAMPLE).select("bag", "form", "domain").toPandas()
     model = Classifier()
-    if sample["domain"].nunique() < 2 or not share.all():
+    if not len(sample):
         return model
-    share /= share.sum()
+    share /= max(share.sum(), 1)
     seen = counts.sum(axis=0)
-    for k in range(len(DOMAINS)):
+    for k in np.flatnonzero((share > 0) & (share < 1)):
         inside, outside = counts[k] + SHRINK * share[k], seen - counts[k] + SHRINK * (1 - share[k])
         odds = np.log(inside / outside) - np.log(share[k] / (1 - share[k]))
         model.odds[k] = np.where(seen > 0, odds, 0)
@@ -185,8 +185,9 @@ def fit_classifier(bags: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     return model
 
 
-def _softmax_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 1500) -> np.ndarray:
+def _softmax_fit(x: np.ndarray, y: np.ndarray, penalty: float = 2.0, rounds: int = 1500) -> np.ndarray:
     """Ridge softmax regression by accelerated gradient descent."""
+    ridge = penalty / len(x)
     goal = np.eye(len(DOMAINS))[y]
     step = 1 / (np.linalg.norm(x, 2) ** 2 / (2 * len(x)) + ridge)
     w = before = np.zeros((x.shape[1], len(DOMAINS)))
@@ -212,19 +213,22 @@ def with_posteriors(bags: DataFrame, model: Classifier, bag_col: str, name: str)
 
 @dataclass
 class Rates:
-    """What fixes the rate of every document: the start and the steps taken in all rounds."""
+    """What fixes the rate of every document: the start, and steps and momentum of all rounds."""
 
     start: float
     cap: float | None
-    steps: list[np.ndarray] = field(default_factory=list)
+    steps: list[tuple[np.ndarray, float]] = field(default_factory=list)
     totals: np.ndarray | None = None
 
     def of(self, p: np.ndarray) -> np.ndarray:
-        """Rates for rows of posteriors: gradient steps from the start, each one projected."""
-        r = np.full(len(p), self.start)
-        for step in self.steps:
-            r = np.clip(r - p @ step, 0, self.cap)
-        return r
+        """Rates for rows of posteriors: gradient steps from the start, carried on by the momentum,
+        both projected."""
+        last = ahead = np.full(len(p), self.start)
+        for step, momentum in self.steps:
+            r = np.clip(ahead - p @ step, 0, self.cap)
+            ahead = np.clip(r + momentum * (r - last), 0, self.cap)
+            last = r
+        return ahead
 
 
 def _posterior_matrix(column: pa.Array) -> np.ndarray:
@@ -270,15 +274,19 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], *, tokens: float | Non
     curve = np.sqrt(weigh)[:, None] * gram * np.sqrt(weigh)[None, :]
     pace = 1 / max(float(np.linalg.eigvalsh(curve)[-1]), 1e-12)
     rates = Rates(start=min(1.0, cap) if cap else 1.0, cap=cap)
-    rates.totals = _totals(rows, rates)
+    lowest, since = np.inf, 0
     for _ in range(MAX_ROUNDS):
+        before, rates.totals = rates.totals, _totals(rows, rates)
         miss = rates.totals - goal
         if np.abs(miss).max() <= TOLERANCE * every:
             break
-        rates.steps.append(pace * weigh * miss)
-        before, rates.totals = rates.totals, _totals(rows, rates)
-        if np.abs(rates.totals - before).max() <= 1e-3 * TOLERANCE * every:
+        if before is not None and np.abs(rates.totals - before).max() <= 1e-3 * TOLERANCE * every:
             break
+        error = float(weigh @ miss**2)
+        # Momentum that has led uphill is given up and gathered anew.
+        since = since + 1 if error < lowest else 0
+        lowest = error
+        rates.steps.append((pace * weigh * miss, since / (since + 3)))
     return rates
 
 

@@ -62,7 +62,7 @@ def test_sql(spark, name):
 
 
 def test_mixing(spark):
-    rows = QUERIES["op1_mixing"](spark, FOLDER).toPandas()
+    rows = QUERIES["op1_mixing"](spark, "/root/testdata/sf0.01").toPandas()
     p = rows[[f"p_{d}" for d in mixing.DOMAINS]].to_numpy()
     assert np.allclose(p.sum(axis=1), 1) and (rows["rate"] >= 0).all()
     expected = ((rows["rate"] * rows["n_tokens"]).to_numpy()[:, None] * p).sum(axis=0)

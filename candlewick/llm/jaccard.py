@@ -42,6 +42,8 @@ SMALL = 256
 MAX_DEPTH = 12
 #: Signatures of pairs at the threshold agree in less only once in some 100,000 cases.
 ESTIMATE = 0.64
+#: Size of the bit set of candidates' ids: at most 131,072 words of 64 bits.
+ID_BITS = 1 << 23
 #: Shingles of a block of candidates.
 BLOCK_SHINGLES = 400_000
 
@@ -322,6 +324,24 @@ def _shingle_rows(batches):
         )
 
 
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc`` is among ``ids``.
+
+    A bit set of the ids' hashes, of a fixed size and therefore broadcast, keeps most other
+    texts out of the shuffle of the join.
+    """
+    place = F.pmod(F.xxhash64("doc"), F.lit(ID_BITS))
+    bit = F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bits")
+    words = ids.withColumn("place", place).select(*bit).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    words = stored(words, "id-bits")
+    near = (
+        docs.withColumn("place", place).withColumn("word", F.shiftright("place", 6))
+        .join(F.broadcast(words), "word")
+        .where(F.expr("(shiftright(bits, cast(place & 63 as int)) & 1) = 1"))
+    )
+    return near.select("doc", "text").join(ids, "doc", "left_semi")
+
+
 def _exact(docs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, other, n_links) from all pairs within the candidate components."""
     members = stored(
@@ -332,7 +352,7 @@ def _exact(docs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     )
     blocks = F.greatest(F.ceil(F.col("size") / SMALL), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long")
     # The text of each member is that of a row with its smallest id; the digest tells which.
-    wanted = docs.join(members.select(F.col("first").alias("doc")).distinct(), "doc", "left_semi")
+    wanted = _with_ids(docs, members.select(F.col("first").alias("doc")).distinct())
     sets = wanted.select("doc", "text").mapInArrow(_shingle_rows, "first long, node binary, shingles binary")
     sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
     dealt = (

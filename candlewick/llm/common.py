@@ -14,6 +14,8 @@ from candlewick.sources import folders
 #: White space in words, lines and keys: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = b" \t\n\v\f\r"
 
+TEXTS_PER_BATCH = 1000
+
 #: Stands for a null document id, so that joins and minima need no special case.
 NO_ID = -(2**63)
 
@@ -65,6 +67,18 @@ def clear_scratch(spark: SparkSession) -> None:
     folders.delete(spark, scratch_root(spark))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands at most TEXTS_PER_BATCH rows at a time to Python.
+
+    Arrow batches are bounded by rows and not by bytes, and ten thousand texts, the default,
+    may be more than a worker should hold.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= TEXTS_PER_BATCH:
+        conf.set(name, str(TEXTS_PER_BATCH))
+    return df
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, whatever the case."""
     taken = {c.lower() for c in df.columns}

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import discard, free_name, id_back, id_or_lowest, stored, texts
+from candlewick.llm.common import discard, free_name, id_back, id_or_lowest, small_batches, stored, texts
 from candlewick.llm.components import components
 from candlewick.llm.shingles import COORDS, WORDS, digest, mixed, shingle_set, signature
 
@@ -387,7 +387,7 @@ def near_classes(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_
     ``class_id`` is the smallest id among the documents connected by links of similarity 0.8 or
     more, ``n_links`` the number of different other texts linked to the text itself.
     """
-    source = docs.select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    source = small_batches(docs).select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     marks = stored(source.mapInArrow(_marks, "doc long, node binary, body binary, n long, sig binary"), "marks")
     classes = _classes(marks)
     full = classes.where(F.col("n") > 0)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import BLANKS, free_name, id_or_lowest, stored, texts
+from candlewick.llm.common import BLANKS, free_name, id_or_lowest, small_batches, stored, texts
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -77,7 +77,7 @@ def shared_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, min_docs: int =
     finds their documents then shuffles both sides, and Spark can split a common key.
     """
     lines = stored(
-        docs.select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+        small_batches(docs).select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
         .mapInArrow(_line_keys(min_chars), "doc long, key binary"),
         "lines",
     )

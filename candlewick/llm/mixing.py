@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import free_name, id_or_lowest, stored, texts
+from candlewick.llm.common import free_name, id_or_lowest, small_batches, stored, texts
 
 DOMAINS = ("clean", "noisy", "toxic")
 TARGETS = {"clean": 0.90, "noisy": 0.08, "toxic": 0.02}
@@ -88,7 +88,7 @@ def _bags(text: pa.Array) -> pa.Array:
 
 def with_bags(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
     make = F.arrow_udf(_bags, "tokens long, bag binary, form array<double>")
-    return docs.withColumn(name, make(F.col(text_col).cast("string")))
+    return small_batches(docs).withColumn(name, make(F.col(text_col).cast("string")))
 
 
 # -- classifier --------------------------------------------------------------------

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import free_name, id_back, id_or_lowest, stored, texts
+from candlewick.llm.common import free_name, id_back, id_or_lowest, small_batches, stored, texts
 from candlewick.llm.components import components
 from candlewick.llm.jaccard import BLOCK_SHINGLES, SMALL, verified_pairs
 from candlewick.llm.shingles import WORDS, digest, mixed, signature, window_codes, word_codes
@@ -188,7 +188,7 @@ def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
     ``class_id`` is the smallest id of a document that keeps one of them, ``removed`` the merged
     spans that go.
     """
-    source = docs.select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    source = small_batches(docs).select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     bands = bands_for(recall, SIMILARITY)
     paragraphs = stored(
         source.mapInArrow(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import texts
+from candlewick.llm.common import small_batches, texts
 
 MARK = "▁"
 TABLE_SIZE = 400_000
@@ -159,4 +159,4 @@ def encoded(docs: DataFrame, model_file: str, *, text_col: str = "text", name: s
 
     ``model_file`` must lie at this path on every executor.
     """
-    return docs.withColumn(name, encoder(model_file)(F.col(text_col).cast("string")))
+    return small_batches(docs).withColumn(name, encoder(model_file)(F.col(text_col).cast("string")))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from candlewick.llm.common import BLANKS, free_name, texts
+from candlewick.llm.common import BLANKS, free_name, small_batches, stored, texts
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -41,6 +41,7 @@ RATES = {
 FENCE = 3
 MIN_GROUP = 100
 LEADING_BITS = 7
+BROADCAST_GROUPS = 50_000
 
 
 def _repeat_words(data: bytes, words: list[bytes]) -> int:
@@ -101,7 +102,7 @@ def _measures(text: pa.Array) -> pa.Array:
 
 def measured(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
     """``docs`` with the struct column ``name`` of all measures."""
-    return docs.withColumn(name, F.arrow_udf(_measures, _STRUCT)(F.col(text_col).cast("string")))
+    return small_batches(docs).withColumn(name, F.arrow_udf(_measures, _STRUCT)(F.col(text_col).cast("string")))
 
 
 def base_failed(m: Column) -> Column:
@@ -210,8 +211,11 @@ def judged(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     """``docs`` with a struct of measures and the verdict: base rule passed and all rates within bounds."""
     m = free_name(docs, "__m")
     rows = measured(docs, m, text_col)
-    limits = thresholds(rows, m, lang_col, source_col)
+    limits = stored(thresholds(rows, m, lang_col, source_col), "limits")
+    few = limits.count() <= BROADCAST_GROUPS
     limits = limits.select(*[F.col(c).alias(f"__limit_{c}") for c in limits.columns])
+    # So many groups are a few megabytes; more of them are joined as Spark sees fit.
+    limits = F.broadcast(limits) if few else limits
     joined = rows.join(
         limits,
         F.col(lang_col).eqNullSafe(F.col("__limit_lang"))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.common import small_batches
+
 # The patterns that every result must contain.
 ASSIGN = re.compile(
     r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -150,7 +152,7 @@ def _secret_spans(text: pa.Array) -> pa.Array:
 def find_secrets(docs: DataFrame, *, text_col: str = "text", spans: str = "secrets") -> DataFrame:
     """``docs`` with an array column of spans (kind, start, end), ordered by start and kind."""
     scan = F.arrow_udf(_secret_spans, "array<struct<kind: string, start: long, end: long>>")
-    return docs.withColumn(spans, scan(F.col(text_col).cast("string")))
+    return small_batches(docs).withColumn(spans, scan(F.col(text_col).cast("string")))
 
 
 def is_base(span: Column) -> Column:

@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 import corpus_pipeline  # noqa: E402
 from candlewick.llm import mixing, passages, pieces, quality, secrets, sharding  # noqa: E402
 from candlewick.llm.common import table  # noqa: E402
-from candlewick.llm.jaccard import runs_for, survival  # noqa: E402
+from candlewick.llm.jaccard import near_classes, runs_for, survival  # noqa: E402
 from candlewick.llm.queries import ORACLES, QUERIES, piece_model  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -215,11 +215,22 @@ def test_runs_reach_the_recall():
     assert 1 - (1 - q) ** runs_for(0.999, 0.8) >= 0.999
 
 
+def test_the_bit_set_loses_no_id(spark):
+    from pyspark.sql import functions as F
+
+    from candlewick.llm.jaccard import _with_ids
+
+    docs = spark.range(20_000).select((F.col("id") * 7 - 500).alias("doc"), F.lit("t").alias("text"))
+    ids = spark.range(0, 20_000, 13).select((F.col("id") * 7 - 500).alias("doc"))
+    assert _with_ids(docs, ids).count() == ids.count()
+    assert _with_ids(docs, ids.limit(0)).count() == 0
+
+
 def test_large_groups_of_near_copies(spark):
     """A group larger than a block: every pair is still counted once."""
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join([*base, f"own{i}"])) for i in range(700)] + [(1000 + i, f"alone number {i} of several texts") for i in range(50)]
-    found = {r["doc_id"]: r for r in __import__("candlewick.llm.jaccard", fromlist=["x"]).near_classes(
+    found = {r["doc_id"]: r for r in near_classes(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all((found[i]["class_id"], found[i]["n_links"]) == (0, 699) for i in range(700))
     assert all(found[1000 + i]["n_links"] == 0 for i in range(50))

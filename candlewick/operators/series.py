@@ -8,15 +8,13 @@ receiving copies of the few neighbouring rows that its frames look at, so frames
 bounded number of rows are exact inside a slice. Running values over the whole
 history are finished by :meth:`Series.running`, which carries slice totals forward.
 
-What is sent to every executor is bounded whatever the data: at most ``MAX_SLICES``
-instruments can hold more than a ``1 / MAX_SLICES`` share of the rows, and they are
-described by at most ``2 * CELLS_PER_SLICE * MAX_SLICES`` cells on each of two levels.
+Slices do not grow with the table. What describes them, some dozens of cells for each slice,
+is joined without a hint: Spark broadcasts it when its measured size allows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +24,6 @@ from pyspark.sql.window import WindowSpec
 from candlewick.functions.numbers import micros
 
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 4096
 CELLS_PER_SLICE = 16
 GRID_LEVELS = 2
 
@@ -105,8 +102,7 @@ class Series:
                 for name, spec in wanted.items()
             ],
         )
-        # One row per slice of a hot instrument, so bounded by MAX_SLICES.
-        joined = local.join(F.broadcast(carried), self.parts, "left")
+        joined = local.join(carried, self.parts, "left")
         return joined.withColumns(
             {
                 name: _merge(spec.kind, F.col(f"_{name}"), F.col(name))
@@ -166,11 +162,10 @@ def open_series(
     limit = max(rows_per_slice or ROWS_PER_SLICE, 2 * (before + after), 1)
     counted = df if counted is None else counted
     tally = counted.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    size = tally.agg(F.sum("n").alias("total"), F.max("n").alias("peak")).first()
-    unit = max(limit, ceil((size["total"] or 0) / MAX_SLICES))
-    if (size["peak"] or 0) <= unit:
+    peak = tally.agg(F.max("n")).first()[0] or 0
+    if peak <= limit:
         return Series(df, key, order, sliced=False)
-    return Series(_cut(df, counted, key, order, before, after, unit), key, order, sliced=True)
+    return Series(_cut(df, counted, key, order, before, after, limit), key, order, sliced=True)
 
 
 def _cut(
@@ -185,7 +180,7 @@ def _cut(
     # An even grid over the time range of each instrument above the limit, then over each
     # of its cells that is still above it, for bursts and stray times.
     for level in range(GRID_LEVELS):
-        grid = F.broadcast(_grid(measured, path, unit))
+        grid = _grid(measured, path, unit)
         cell = f"_cell{level}"
         rows = _place(rows.join(grid, path, "left"), cell, inner=level > 0)
         # Only the rows of hot instruments are ever counted by cell.
@@ -194,7 +189,7 @@ def _cut(
     cells = tallied.groupBy(*path).agg(F.count(F.lit(1)).alias("_n"))
     plain = F.array(F.struct(F.lit(0).cast("bigint").alias("slice"), F.lit(True).alias("own")))
     return (
-        rows.join(F.broadcast(_slices_of(cells, path, before, after, unit)), path, "left")
+        rows.join(_slices_of(cells, path, before, after, unit), path, "left")
         .withColumn("_target", F.explode(F.coalesce("_targets", plain)))
         .withColumn(_SLICE, F.col("_target.slice"))
         .withColumn(_OWN, F.col("_target.own"))

@@ -1,9 +1,10 @@
 """Time the indicators when one instrument holds a third of all rows.
 
-usage: python tools/skew_curve.py [folder] [copies]
+usage: python tools/skew_curve.py SHARED_FOLDER [folder] [copies]
 
 Line items become candles of their supplier, every third one of instrument 0; ``copies``
-repeats them along the time axis. Prints seconds with the plain window and with slices.
+repeats them along the time axis. Prints seconds with the plain window and with slices of several
+sizes. The rows are kept in a new folder below SHARED_FOLDER, which is removed at the end.
 """
 
 from __future__ import annotations
@@ -20,11 +21,14 @@ from pyspark.sql import functions as F  # noqa: E402
 from candlewick.operators.indicators import indicators  # noqa: E402
 from candlewick.plans.mapping import supplier_ticks  # noqa: E402
 from candlewick.session import build_session  # noqa: E402
+from candlewick.sources import folders  # noqa: E402
 
 
 def main() -> None:
-    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
+    if len(sys.argv) < 2:
+        sys.exit(__doc__)
+    folder = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
+    copies = int(sys.argv[3]) if len(sys.argv) > 3 else 10
     spark = build_session(
         master="local[8]",
         spark__sql__shuffle__partitions="32",
@@ -40,15 +44,16 @@ def main() -> None:
         "close",
         "volume",
     ).dropDuplicates(["instrument_id", "time"])
-    shared = spark.conf.get("spark.checkpoint.dir", "/tmp")
-    scratch = f"{shared}/candlewick-skew-{time.time_ns()}"
+    scratch = f"{sys.argv[1]}/candlewick-skew-{time.time_ns()}"
     rows.repartition(32).write.parquet(f"{scratch}/skewed")
     stored = spark.read.parquet(f"{scratch}/skewed")
     total, hot = stored.count(), stored.where("instrument_id = 0").count()
-    for label, size in (("plain window", 10**9), ("slices of 1M rows", 1_000_000)):
+    for size in (10**9, 2_000_000, 1_000_000, 500_000, 200_000):
         start = time.perf_counter()
         indicators(stored, rows_per_slice=size).write.format("noop").mode("overwrite").save()
+        label = f"slices of {size} rows" if size < hot else "plain window"
         print(f"{total} rows, {hot} of one instrument, {label}: {time.perf_counter() - start:.1f} s", flush=True)
+    folders.delete(spark, scratch)
     spark.stop()
 
 

@@ -324,7 +324,7 @@ def _shingle_rows(batches):
         )
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc`` is among ``ids``.
 
     A bit set of the ids' hashes, of a fixed size and therefore broadcast, keeps most other
@@ -352,7 +352,7 @@ def _exact(docs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     )
     blocks = F.greatest(F.ceil(F.col("size") / SMALL), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long")
     # The text of each member is that of a row with its smallest id; the digest tells which.
-    wanted = _with_ids(docs, members.select(F.col("first").alias("doc")).distinct())
+    wanted = with_ids(docs, members.select(F.col("first").alias("doc")).distinct())
     sets = wanted.select("doc", "text").mapInArrow(_shingle_rows, "first long, node binary, shingles binary")
     sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
     dealt = (

@@ -7,9 +7,9 @@ start in the middle of a line. For these, windows of 32 words start at anchors,
 the least hash among any 20 neighbours. Whatever the surroundings, two copies of a passage of
 more than 50 words share an anchor with its whole window, and equal windows are repeats.
 
-Repeats are clustered by connected components. The first stretch of a cluster (smallest id, then
-position) stays, all others are removals; overlapping removals of a document are merged. Clusters
-within a single document are no repeats.
+Repeats are clustered by connected components. The document with the smallest id keeps the
+stretches of a cluster, those of all others are removals; overlapping removals of a document are
+merged. Clusters within a single document are no repeats.
 
 Defined cases: null and empty texts have no stretches. Rows of one id are one document. A null id
 is the smallest. Offsets are code points, ends exclusive. Other columns are passed on.
@@ -21,12 +21,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import free_name, id_back, id_or_lowest, small_batches, stored, texts
 from candlewick.llm.components import components
-from candlewick.llm.jaccard import BLOCK_SHINGLES, SMALL, verified_pairs
+from candlewick.llm.jaccard import BLOCK_SHINGLES, SMALL, verified_pairs, with_ids
 from candlewick.llm.shingles import WORDS, digest, mixed, signature, window_codes, word_codes
 
 PARAGRAPH = 50
@@ -72,100 +72,146 @@ def anchors(codes: np.ndarray) -> np.ndarray:
     return at[at <= len(codes) - WINDOW]
 
 
-def window_keys(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits, as two numbers, for the words of each window."""
-    one, two = np.zeros(len(at), np.uint64), np.full(len(at), 1, np.uint64)
-    for k in range(WINDOW):
-        step = codes[at + k]
-        one, two = mixed(one ^ step), mixed(two + step)
-    return one.view(np.int64), two.view(np.int64)
+#: Odd numbers whose powers weigh the words of a window, once for each half of its key.
+_BASES = (np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5))
 
 
-_WINDOWS = "doc long, one long, two long, start int, end int"
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
 
-def _windows(batches):
-    for batch in batches:
-        found = []
-        for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-            words = Words(text)
-            at = anchors(words.codes)
-            if len(at):
-                one, two = window_keys(words.codes, at)
-                found.append((np.full(len(at), doc), one, two, words.start[at].astype(np.int32), words.end[at + WINDOW - 1].astype(np.int32)))
-        if found:
-            yield pa.record_batch(
-                [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["doc", "one", "two", "start", "end"]
-            )
-
-
-def _paragraphs(bands: int):
+def window_keys(codes: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """128 bits, as two numbers, for the words of each window: weighted sums from running totals."""
+    keys = []
+    for base in _BASES:
+        inverse = np.uint64(pow(int(base), -1, 2**64))
+        total = np.r_[np.uint64(0), np.cumsum(codes * _powers(base, len(codes)))]
+        inside = total[at + WINDOW] - total[at]
+        keys.append(mixed(inside * _powers(inverse, len(codes))[at]).view(np.int64))
+    return keys
+
+
+_SCHEMA = "doc long, one long, two long, start int, end int, n int, bands array<long>"
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+
+
+def _key(shingles: np.ndarray) -> tuple[int, int]:
+    """The 128 bits of a set's digest as two numbers."""
+    one, two = np.frombuffer(digest(shingles), ">i8").tolist()
+    return one, two
+
+
+def _paragraph_sets(words: Words):
+    """(start, end, shingles) of each line of PARAGRAPH words or more."""
+    first = 0
+    for last in words.line_ends.tolist():
+        if last - first >= PARAGRAPH:
+            yield int(words.start[first]), int(words.end[last - 1]), np.unique(window_codes(words.codes[first:last], WORDS))
+        first = last
+
+
+def _stretches(bands: int):
+    """Windows, without bands, and paragraphs of each text."""
+
     def find(batches):
         for batch in batches:
-            rows = []
+            found, rows = [], []
             for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                words, first = Words(text), 0
-                for last in words.line_ends.tolist():
-                    if last - first >= PARAGRAPH:
-                        s = np.unique(window_codes(words.codes[first:last], WORDS))
-                        keys = _band_keys(signature(s), bands)
-                        rows.append((doc, int(words.start[first]), int(words.end[last - 1]), digest(s), len(s), s.tobytes(), keys))
-                    first = last
+                words = Words(text)
+                at = anchors(words.codes)
+                if len(at):
+                    one, two = window_keys(words.codes, at)
+                    start, end = words.start[at].astype(np.int32), words.end[at + WINDOW - 1].astype(np.int32)
+                    found.append((np.full(len(at), doc), one, two, start, end))
+                for start, end, s in _paragraph_sets(words):
+                    keys = _band_keys(signature(s, bands * BAND_ROWS), bands)
+                    rows.append((doc, *_key(s), start, end, len(s), keys))
+            names = ["doc", "one", "two", "start", "end", "n", "bands"]
+            if found:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+                lacking = [pa.nulls(len(columns[0]), kind) for kind in _KINDS[5:]]
+                yield pa.record_batch([*columns, *lacking], names)
             if rows:
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.record_batch(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    ["doc", "start", "end", "node", "n", "shingles", "bands"],
-                )
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], names)
 
     return find
 
 
 def _band_keys(sig: np.ndarray, bands: int) -> list[int]:
-    parts = sig[: bands * BAND_ROWS].astype(np.uint64).reshape(bands, BAND_ROWS)
+    parts = sig.astype(np.uint64).reshape(bands, BAND_ROWS)
     key = np.arange(bands, dtype=np.uint64)
     for column in parts.T:
         key = mixed(key ^ column)
     return key.view(np.int64).tolist()
 
 
-def _similar(paragraphs: DataFrame) -> DataFrame:
-    """(node, label) of paragraphs that are linked by similarity, through bands and exact comparison."""
-    sets = stored(
-        paragraphs.groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("bands").alias("bands")),
-        "paragraph-sets",
+def _node() -> Column:
+    """The digest that the numbers ``one`` and ``two`` were read from."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("one", "two")]))
+
+
+def _set_rows(batches):
+    for batch in batches:
+        rows = [
+            (digest(s), s.tobytes())
+            for text in texts(batch.column(1))
+            for _, _, s in _paragraph_sets(Words(text))
+        ]
+        if rows:
+            yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*rows, strict=True)], ["node", "shingles"])
+
+
+def _similar(source: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """(node, label) of paragraphs that are linked by similarity, through bands and exact comparison.
+
+    Only the sets of paragraphs that collide are made, from the texts of their first documents.
+    """
+    kinds = stored(
+        paragraphs.groupBy("one", "two").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .select(_node().alias("node"), "doc", "n", "bands"),
+        "paragraph-kinds",
     )
-    rows = sets.select("node", "n", F.explode("bands").alias("band"))
+    rows = kinds.select("node", "doc", "n", F.explode("bands").alias("band"))
     sizes = stored(
         rows.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1"),
         "bands",
     )
     blocks = F.greatest(F.ceil(F.col("size") / SMALL), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long")
+    placed = stored(rows.join(sizes.select("band", blocks.alias("blocks")), "band"), "collisions")
     dealt = (
-        rows.join(sizes.select("band", blocks.alias("blocks")), "band")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
             F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("pair"),
             (F.col("block") > F.col("other")).cast("int").alias("side"), "node", F.lit(1).alias("n_texts"),
         )
     )
-    found = verified_pairs(dealt.join(sets.select("node", "shingles"), "node"))
-    return components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    near = with_ids(source, placed.select("doc").distinct())
+    sets = near.select("doc", "text").mapInArrow(_set_rows, "node binary, shingles binary")
+    sets = stored(
+        sets.join(placed.select("node").distinct(), "node", "left_semi")
+        .groupBy("node").agg(F.first("shingles").alias("shingles")),
+        "paragraph-sets",
+    )
+    found = stored(verified_pairs(dealt.join(sets, "node")), "paragraph-links")
+    edges = found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    return components(edges)
 
 
 def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(doc, start, end, first) of stretches whose key occurs in two documents or more.
+    """(doc, start, end, low) of stretches whose key occurs in two documents or more; ``low`` is the
+    smallest of them.
 
     The keys found are written out, so Spark can split the rows of a common one.
     """
     repeated = stored(
-        stretches.groupBy(*keys).agg(
-            F.min("doc").alias("low"), F.max("doc").alias("high"), F.min(F.struct("doc", "start")).alias("first")
-        ).where(F.col("low") < F.col("high")).select(*keys, "first"),
+        stretches.groupBy(*keys).agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+        .where(F.col("low") < F.col("high")).select(*keys, "low"),
         name,
     )
-    return stretches.join(repeated, keys).select("doc", "start", "end", "first")
+    return stretches.join(repeated, keys).select("doc", "start", "end", "low")
 
 
 def _merged(spans: pa.Array) -> pa.Array:
@@ -190,26 +236,22 @@ def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
     """
     source = small_batches(docs).select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     bands = bands_for(recall, SIMILARITY)
-    paragraphs = stored(
-        source.mapInArrow(
-            _paragraphs(bands),
-            "doc long, start int, end int, node binary, n long, shingles binary, bands array<long>",
-        ),
-        "paragraphs",
-    )
-    labels = stored(_similar(paragraphs), "paragraph-labels")
-    labelled = paragraphs.select("doc", "start", "end", "node").join(labels, "node", "left").select(
+    every = stored(source.mapInArrow(_stretches(bands), _SCHEMA), "all-stretches")
+    paragraphs, windows = every.where("bands is not null"), every.where("bands is null")
+    labels = stored(_similar(source, paragraphs), "paragraph-labels")
+    labelled = paragraphs.select("doc", "start", "end", _node().alias("node")).join(labels, "node", "left").select(
         "doc", "start", "end", F.coalesce("label", "node").alias("label")
     )
-    windows = source.mapInArrow(_windows, _WINDOWS)
     found = stored(
-        _across(labelled, ["label"], "repeated-paragraphs").union(_across(windows, ["one", "two"], "repeated-windows")),
+        _across(labelled, ["label"], "repeated-paragraphs").union(
+            _across(windows.select("doc", "one", "two", "start", "end"), ["one", "two"], "repeated-windows")
+        ),
         "stretches",
     )
-    goes = (F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start"))
+    goes = F.col("doc") != F.col("low")
     merge = F.arrow_udf(_merged, "array<struct<start: int, end: int>>")
     return found.groupBy("doc").agg(
-        F.least(F.min("first.doc"), F.col("doc")).alias("class_id"),
+        F.least(F.min("low"), F.col("doc")).alias("class_id"),
         F.count("*").alias("n_stretches"),
         F.collect_set(F.when(goes, F.struct("start", "end"))).alias("spans"),
     ).select("doc", "class_id", "n_stretches", merge("spans").alias("removed"))

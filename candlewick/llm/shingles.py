@@ -52,10 +52,10 @@ def digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, coords: int = COORDS) -> np.ndarray:
     """For each coordinate the least hash of the set, 32 bits; two sets agree in one as often as they are similar."""
-    out = np.full(COORDS, 0xFFFFFFFF, np.uint32)
+    out = np.full(coords, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(shingles), 4096):
-        part = (shingles[None, at : at + 4096] * _FACTORS[:, None]) >> np.uint64(32)
+        part = (shingles[None, at : at + 4096] * _FACTORS[:coords, None]) >> np.uint64(32)
         out = np.minimum(out, part.min(axis=1).astype(np.uint32))
     return out

@@ -218,12 +218,12 @@ def test_runs_reach_the_recall():
 def test_the_bit_set_loses_no_id(spark):
     from pyspark.sql import functions as F
 
-    from candlewick.llm.jaccard import _with_ids
+    from candlewick.llm.jaccard import with_ids
 
     docs = spark.range(20_000).select((F.col("id") * 7 - 500).alias("doc"), F.lit("t").alias("text"))
     ids = spark.range(0, 20_000, 13).select((F.col("id") * 7 - 500).alias("doc"))
-    assert _with_ids(docs, ids).count() == ids.count()
-    assert _with_ids(docs, ids.limit(0)).count() == 0
+    assert with_ids(docs, ids).count() == ids.count()
+    assert with_ids(docs, ids.limit(0)).count() == 0
 
 
 def test_large_groups_of_near_copies(spark):
@@ -285,3 +285,26 @@ def test_word_bags_survive_packing():
         assert (mixing.unpacked(mixing.packed(own)) == own).all()
     edges = np.array([0, 65534, 131069, 262139])
     assert (mixing.unpacked(mixing.packed(edges)) == edges).all()
+
+
+def test_edited_paragraphs_are_one_cluster(spark):
+    """Copies of a paragraph with one word changed, below lines that no other document has."""
+    import random
+
+    draw = random.Random(3)
+    base = [f"word{draw.randint(0, 9999)}" for _ in range(70)]
+    rows = []
+    for i in range(30):
+        words = list(base)
+        words[draw.randint(0, 69)] = f"edit{i}"
+        rows.append((i, " ".join(f"a{i}_{k}" for k in range(60)) + "\n" + " ".join(words)))
+    rows += [(100 + i, " ".join(f"c{i}_{k}" for k in range(120))) for i in range(10)]
+    found = {
+        r["doc_id"]: r["repeats"]
+        for r in passages.marked_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    }
+    assert {found[i]["class_id"] for i in range(30)} == {0} and found[0]["removed"] == []
+    for i in range(1, 30):
+        (span,) = found[i]["removed"]
+        assert (span["start"], span["end"]) == (rows[i][1].index("\n") + 1, len(rows[i][1]))
+    assert all(found[100 + i]["n_stretches"] == 0 for i in range(10))

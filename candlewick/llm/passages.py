@@ -7,9 +7,9 @@ start in the middle of a line. For these, windows of 32 words start at anchors,
 the least hash among any 20 neighbours. Whatever the surroundings, two copies of a passage of
 more than 50 words share an anchor with its whole window, and equal windows are repeats.
 
-Repeats are clustered by connected components. The document with the smallest id keeps the
-stretches of a cluster, those of all others are removals; overlapping removals of a document are
-merged. Clusters within a single document are no repeats.
+Repeats are clustered by connected components. The first stretch of a cluster (smallest id, then
+position) stays, all others are removals, further copies inside the keeping document included;
+overlapping removals of a document are merged. Clusters within a single document are no repeats.
 
 Defined cases: null and empty texts have no stretches. Rows of one id are one document. A null id
 is the smallest. Offsets are code points, ends exclusive. Other columns are passed on.
@@ -201,17 +201,26 @@ def _similar(source: DataFrame, paragraphs: DataFrame) -> DataFrame:
 
 
 def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(doc, start, end, low) of stretches whose key occurs in two documents or more; ``low`` is the
-    smallest of them.
+    """(doc, start, end, first) of stretches whose key occurs in two documents or more; ``first`` is
+    (doc, start, end) of the stretch that stays.
 
     The keys found are written out, so Spark can split the rows of a common one.
     """
     repeated = stored(
-        stretches.groupBy(*keys).agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        .where(F.col("low") < F.col("high")).select(*keys, "low"),
+        stretches.groupBy(*keys).agg(
+            F.min(F.struct("doc", "start", "end")).alias("first"), F.max("doc").alias("high")
+        ).where(F.col("first.doc") < F.col("high")).select(*keys, "first"),
         name,
     )
-    return stretches.join(repeated, keys).select("doc", "start", "end", "low")
+    return stretches.join(repeated, keys).select("doc", "start", "end", "first")
+
+
+def _removal() -> Column:
+    """The span of a stretch that goes, or null; it leaves alone a first one that it overlaps."""
+    own = F.col("doc") == F.col("first.doc")
+    start = F.when(own, F.greatest("start", "first.end")).otherwise(F.col("start"))
+    goes = (~own | (F.col("start") != F.col("first.start"))) & (start < F.col("end"))
+    return F.when(goes, F.struct(start.alias("start"), "end"))
 
 
 def _merged(spans: pa.Array) -> pa.Array:
@@ -248,12 +257,11 @@ def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
         ),
         "stretches",
     )
-    goes = F.col("doc") != F.col("low")
     merge = F.arrow_udf(_merged, "array<struct<start: int, end: int>>")
     return found.groupBy("doc").agg(
-        F.least(F.min("low"), F.col("doc")).alias("class_id"),
+        F.least(F.min("first.doc"), F.col("doc")).alias("class_id"),
         F.count("*").alias("n_stretches"),
-        F.collect_set(F.when(goes, F.struct("start", "end"))).alias("spans"),
+        F.collect_set(_removal()).alias("spans"),
     ).select("doc", "class_id", "n_stretches", merge("spans").alias("removed"))
 
 

@@ -5,7 +5,10 @@ their five-word shingles, with as many bands as the target recall takes, make si
 collide, and all pairs that collide are compared by exact Jaccard similarity. Passages may also
 start in the middle of a line. For these, windows of 32 words start at anchors, the shingle with
 the least hash among any 20 neighbours. Whatever the surroundings, two copies of a passage of
-more than 50 words share an anchor with its whole window, and equal windows are repeats.
+more than 50 words share an anchor with its whole window, and equal windows are repeats. The
+first shared window starts at most 19 words behind the passage's start, the last ends as many before
+its end: where a run of windows that go begins or ends, stretches longer by 1 to 19 words on that side
+are matched in the same way, so removals reach from the first equal word to the last.
 
 Repeats are clustered by connected components. The first stretch of a cluster (smallest id, then
 position) stays, all others are removals, further copies inside the keeping document included;
@@ -23,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from candlewick.llm.common import free_name, id_back, id_or_lowest, small_batches, stored, texts
 from candlewick.llm.components import components
@@ -35,6 +39,8 @@ NEIGHBOURS = 20
 SIMILARITY = 0.8
 RECALL = 0.99
 BAND_ROWS = 3
+#: At most so many bits mark the windows that are extended: 32 MB.
+MOST_BITS = 1 << 28
 
 
 def bands_for(recall: float, similarity: float, rows: int = BAND_ROWS) -> int:
@@ -82,13 +88,13 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def window_keys(codes: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+def window_keys(codes: np.ndarray, at: np.ndarray, width: int | np.ndarray = WINDOW) -> list[np.ndarray]:
     """128 bits, as two numbers, for the words of each window: weighted sums from running totals."""
     keys = []
     for base in _BASES:
         inverse = np.uint64(pow(int(base), -1, 2**64))
         total = np.r_[np.uint64(0), np.cumsum(codes * _powers(base, len(codes)))]
-        inside = total[at + WINDOW] - total[at]
+        inside = total[at + width] - total[at]
         keys.append(mixed(inside * _powers(inverse, len(codes))[at]).view(np.int64))
     return keys
 
@@ -201,7 +207,7 @@ def _similar(source: DataFrame, paragraphs: DataFrame) -> DataFrame:
 
 
 def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(doc, start, end, first) of stretches whose key occurs in two documents or more; ``first`` is
+    """(key, doc, start, end, first) of stretches whose key occurs in two documents or more; ``first`` is
     (doc, start, end) of the stretch that stays.
 
     The keys found are written out, so Spark can split the rows of a common one.
@@ -212,7 +218,7 @@ def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
         ).where(F.col("first.doc") < F.col("high")).select(*keys, "first"),
         name,
     )
-    return stretches.join(repeated, keys).select("doc", "start", "end", "first")
+    return stretches.join(repeated, keys).select(keys[0], "doc", "start", "end", "first")
 
 
 def _removal() -> Column:
@@ -223,6 +229,93 @@ def _removal() -> Column:
     return F.when(goes, F.struct(start.alias("start"), "end"))
 
 
+def _places(key, bits: int) -> tuple:
+    """The two places of a 64-bit key, a column or an array, in a set of that many bits."""
+    if isinstance(key, Column):
+        return key.bitwiseAND(bits - 1), F.shiftrightunsigned(key, 32).bitwiseAND(bits - 1)
+    key = key.view(np.uint64)
+    return key & np.uint64(bits - 1), (key >> np.uint64(32)) & np.uint64(bits - 1)
+
+
+def _bit_set(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of ``key``, bounded in size: it has every key, and few others."""
+    keys = stored(keys.distinct(), "edge-keys")
+    bits = min(MOST_BITS, max(64, 1 << (32 * keys.count()).bit_length()))
+    place = keys.select(F.explode(F.array(*_places(F.col("key"), bits))).alias("place"))
+    words = place.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
+    ).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _among(keys: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    places = _places(keys, 64 * len(marks))
+    return np.logical_and(*[(marks[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)) == 1 for p in places])
+
+
+def _longer(shared):
+    """Stretches of a window and 1 to NEIGHBOURS - 1 words before it or behind it.
+
+    ``shared`` has the documents to look at and the windows: their first numbers for words before,
+    the complements for words behind. Others that slip through cost time and change nothing.
+    """
+
+    def find(batches):
+        marks = shared.value
+        for batch in batches:
+            known = _among(batch.column(2).to_numpy(), marks)
+            part = batch.filter(pa.array(known))
+            found = []
+            for doc, text in zip(part.column(0).to_pylist(), texts(part.column(1)), strict=True):
+                words = Words(text)
+                at = anchors(words.codes)
+                if not len(at):
+                    continue
+                one, _ = window_keys(words.codes, at)
+                more = np.arange(1, NEIGHBOURS)
+                before, behind = at[_among(one, marks)], at[_among(~one, marks)]
+                first = np.r_[(before[:, None] - more).ravel(), np.repeat(behind, len(more))]
+                last = np.r_[np.repeat(before, len(more)), (behind[:, None] + more).ravel()] + WINDOW
+                inside = (first >= 0) & (last <= len(words.codes))
+                first, last = first[inside], last[inside]
+                if len(first):
+                    keys = window_keys(words.codes, first, last - first)
+                    start, end = words.start[first].astype(np.int32), words.end[last - 1].astype(np.int32)
+                    found.append((np.full(len(first), doc), *keys, start, end))
+            if found:
+                yield pa.record_batch(
+                    [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["doc", "one", "two", "start", "end"]
+                )
+
+    return find
+
+
+def _extended(source: DataFrame, windows: DataFrame) -> DataFrame:
+    """(one, doc, start, end, first) of windows with the equal words next to them, from repeated ``windows``.
+
+    Within a run of overlapping windows that go, only the outermost need it. All copies of such a
+    window are extended, so the first one of each length is known.
+    """
+    by_place = W.partitionBy("doc").orderBy("start", "end")
+    outer = (
+        windows.where(_removal().isNotNull())
+        .withColumn("before", F.lag("end").over(by_place)).withColumn("behind", F.lead("start").over(by_place))
+        .select(
+            F.when(F.col("before").isNull() | (F.col("before") < F.col("start")), F.col("one")).alias("left"),
+            F.when(F.col("behind").isNull() | (F.col("behind") > F.col("end")), F.bitwise_not("one")).alias("right"),
+        )
+    )
+    keys = outer.select(F.explode(F.array("left", "right")).alias("key")).where("key is not null")
+    marks = _bit_set(keys.union(windows.select(F.xxhash64("doc").alias("key"))))
+    shared = source.sparkSession.sparkContext.broadcast(marks)
+    longer = source.select("doc", "text", F.xxhash64("doc").alias("key")).mapInArrow(
+        _longer(shared), "doc long, one long, two long, start int, end int"
+    )
+    return _across(stored(longer, "longer-windows"), ["one", "two"], "repeated-longer-windows")
+
+
 def _merged(spans: pa.Array) -> pa.Array:
     out = []
     for row in spans.to_pylist():
@@ -251,16 +344,17 @@ def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
     labelled = paragraphs.select("doc", "start", "end", _node().alias("node")).join(labels, "node", "left").select(
         "doc", "start", "end", F.coalesce("label", "node").alias("label")
     )
-    found = stored(
-        _across(labelled, ["label"], "repeated-paragraphs").union(
-            _across(windows.select("doc", "one", "two", "start", "end"), ["one", "two"], "repeated-windows")
-        ),
-        "stretches",
+    windows = stored(
+        _across(windows.select("doc", "one", "two", "start", "end"), ["one", "two"], "repeated-windows"), "windows"
+    )
+    own = lambda df, n: df.select("doc", "start", "end", "first", F.lit(n).alias("n"))
+    found = own(_across(labelled, ["label"], "repeated-paragraphs"), 1).union(own(windows, 1)).union(
+        own(_extended(source, windows), 0)
     )
     merge = F.arrow_udf(_merged, "array<struct<start: int, end: int>>")
     return found.groupBy("doc").agg(
         F.least(F.min("first.doc"), F.col("doc")).alias("class_id"),
-        F.count("*").alias("n_stretches"),
+        F.sum("n").alias("n_stretches"),
         F.collect_set(_removal()).alias("spans"),
     ).select("doc", "class_id", "n_stretches", merge("spans").alias("removed"))
 

@@ -46,3 +46,30 @@ def test_a_first_stretch_stays_whole_where_copies_overlap_it(spark):
     text = " ".join([base] * 30)
     marks = found(spark, [(1, text), (2, text)])
     assert marks[1]["removed"] and all(len(text[: s["start"]].split()) >= passages.WINDOW for s in marks[1]["removed"])
+
+
+def test_removals_reach_from_the_first_equal_word_to_the_last(spark):
+    inner, short, lines = run("inner", 51), run("short", 57), "\n".join(run(f"l{k}_", 11) for k in range(9))
+    rows, planted = [(100, lines), (101, lines), (102, lines)], []
+    for i in range(12):
+        rows.append((i, f"{run(f'x{i}_', 5 + 7 * i)} {inner} {run(f'y{i}_', 40 - 3 * i)} {short}\n{run(f'z{i}_', 8)}"))
+        planted += [(i, inner), (i, short)] if i else []
+    texts, marks = dict(rows), found(spark, rows)
+    assert marks[0]["removed"] == [] and marks[100]["removed"] == []
+    for doc, part in planted + [(101, lines), (102, lines)]:
+        assert covers(marks[doc], texts[doc], part), (doc, marks[doc])
+    gone = {d: sum(s["end"] - s["start"] for s in marks[d]["removed"]) for d in texts}
+    assert all(gone[i] == len(inner) + len(short) for i in range(1, 12))
+
+
+def test_words_shared_with_a_later_document_than_the_windows_first_go(spark):
+    """Document 1 has the middle of a passage only, so the ends are first in document 2."""
+    words = run("w", 90).split()
+    texts = {
+        1: " ".join([run("a", 15), *words[8:80], run("b", 15)]),
+        2: " ".join([run("c", 15), *words, run("d", 15)]),
+        3: " ".join([run("e", 15), *words, run("f", 15)]),
+    }
+    marks = found(spark, list(texts.items()))
+    assert marks[1]["removed"] == [] and covers(marks[3], texts[3], " ".join(words))
+    assert covers(marks[2], texts[2], " ".join(words[8:80])) and not covers(marks[2], texts[2], " ".join(words[7:80]))

@@ -1,10 +1,11 @@
 """Sharding by vector bin packing: bytes, tokens and rows in balance.
 
 Documents with equal texts form a group. Groups that weigh little are hashed into a fixed number
-of buckets; heavy ones stand for themselves, cut into pieces where they are too large for even
-shards. Only these items, a number bounded whatever the size of the data, come to the driver.
-They are placed one by one, heaviest first, into the shard whose residual capacity has the
-highest dot product with the item's weights. ``law = "bytes"`` holds: sizes are near equal.
+of buckets; heavy ones stand for themselves. Only these items, a number bounded whatever the size
+of the data, come to the driver, heavy groups as counted pieces. Groups are placed whole, heaviest
+first, into the shard whose residual capacity has the highest dot product with their weights. Only
+a group that no shard has room for is cut, into as few shards as hold it. ``law = "bytes"`` holds:
+sizes are near equal.
 
 Defined cases: a null text has no bytes and counts as an empty one. Rows are placed one by one,
 so repeated ids each get a slot. With fewer rows than shards some shards stay empty. An empty
@@ -23,7 +24,8 @@ from candlewick.llm.common import stored
 SHARDS = 8
 BUCKETS = 4096
 #: A group is heavy with more than this share of all bytes, tokens or rows; at most three times
-#: its inverse can be. Its pieces are about as heavy as that.
+#: its inverse can be. Its pieces, of which only a group without room makes use, are about as
+#: heavy as that.
 HEAVY = 1 / 2048
 RUN_ROWS = 500_000
 WEIGHTS = ("bytes", "tokens", "rows")
@@ -38,22 +40,50 @@ def _weights(text: Column) -> list[Column]:
     ]
 
 
-def pack(items: np.ndarray, shards: int) -> np.ndarray:
+def pack(items: np.ndarray, shards: int, groups: np.ndarray | None = None) -> np.ndarray:
     """The shard of each item (rows of weights), by the highest dot product with what is left.
 
     Weights are shares of their totals. A shard's capacity is an equal part in each dimension.
-    Items go in order of their largest share; the last ones only even out.
+    Items of one number in ``groups`` stay together where a shard has room for them all. Groups
+    go in order of their largest share; the last ones only even out.
     """
     totals = items.sum(axis=0).astype(float)
     shares = items / np.where(totals > 0, totals, 1)
+    of = np.arange(len(items)) if groups is None else np.unique(groups, return_inverse=True)[1]
+    members = np.split(np.argsort(of, kind="stable"), np.cumsum(np.bincount(of))[:-1]) if len(items) else []
+    whole = np.array([shares[m].sum(axis=0) for m in members]).reshape(-1, items.shape[1])
     left = np.full((shards, items.shape[1]), 1 / shards)
     placed = np.zeros(len(items), np.int64)
-    order = np.lexsort((np.arange(len(items)), -shares.max(axis=1)))
-    for i in order:
+
+    def room(share: np.ndarray) -> np.ndarray:
+        return (left >= share - 1e-12).all(axis=1)
+
+    def put(which: np.ndarray, share: np.ndarray, among: np.ndarray | None = None) -> None:
         # Bytes first among near equals: the law that is promised.
-        score = left @ (shares[i] * np.array([2.0, 1.0, 1.0]))
-        placed[i] = int(np.argmax(score))
-        left[placed[i]] -= shares[i]
+        score = left @ (share * np.array([2.0, 1.0, 1.0]))
+        k = int(np.argmax(score if among is None else np.where(among, score, -np.inf)))
+        placed[which] = k
+        left[k] -= share
+
+    for g in np.lexsort((np.arange(len(members)), -whole.max(axis=1))):
+        pieces, fits = members[g], room(whole[g])
+        if len(pieces) == 1:
+            put(pieces, whole[g])
+        elif fits.any():
+            put(pieces, whole[g], fits)
+        else:
+            used = np.where(whole[g] > 0, whole[g], np.inf)
+            while len(pieces):
+                k = int(np.argmax((left / used + np.where(np.isinf(used), np.inf, 0)).min(axis=1)))
+                upto = np.cumsum(shares[pieces], axis=0)
+                n = int((left[k] >= upto - 1e-12).all(axis=1).sum())
+                if not n:
+                    break
+                placed[pieces[:n]] = k
+                left[k] -= upto[n - 1]
+                pieces = pieces[n:]
+            for i in pieces:
+                put(i, shares[i])
     return placed
 
 
@@ -88,7 +118,8 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, id_col: str = "doc_id", text
             F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")
         ).collect()
     )
-    placed = pack(np.array([[r[c] for c in WEIGHTS] for r in listed], float).reshape(-1, 3), shards)
+    weights = np.array([[r[c] for c in WEIGHTS] for r in listed], float).reshape(-1, 3)
+    placed = pack(weights, shards, np.array([r["item"].split(":")[0] for r in listed], str))
     where = spark.createDataFrame(
         [(r["item"], int(s)) for r, s in zip(listed, placed, strict=True)], "item string, shard int"
     )

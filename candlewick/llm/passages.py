@@ -13,6 +13,8 @@ are matched in the same way, so removals reach from the first equal word to the
 Repeats are clustered by connected components. The first stretch of a cluster (smallest id, then
 position) stays, all others are removals, further copies inside the keeping document included;
 overlapping removals of a document are merged. Clusters within a single document are no repeats.
+Documents that share a stretch, directly or through others, are one class. Which stretches are
+shared with which keeper is told by ``members``, as a hot passage makes a class very wide.
 
 Defined cases: null and empty texts have no stretches. Rows of one id are one document. A null id
 is the smallest. Offsets are code points, ends exclusive. Other columns are passed on.
@@ -206,7 +208,7 @@ def _similar(source: DataFrame, paragraphs: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _across(stretches: DataFrame, keys: list[str], name: str, more: list[str] | None = None) -> DataFrame:
     """(key, doc, start, end, first) of stretches whose key occurs in two documents or more; ``first`` is
     (doc, start, end) of the stretch that stays.
 
@@ -218,7 +220,7 @@ def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
         ).where(F.col("first.doc") < F.col("high")).select(*keys, "first"),
         name,
     )
-    return stretches.join(repeated, keys).select(keys[0], "doc", "start", "end", "first")
+    return stretches.join(repeated, keys).select(keys[0], *(more or []), "doc", "start", "end", "first")
 
 
 def _removal() -> Column:
@@ -276,24 +278,25 @@ def _longer(shared):
                 one, _ = window_keys(words.codes, at)
                 more = np.arange(1, NEIGHBOURS)
                 before, behind = at[_among(one, marks)], at[_among(~one, marks)]
+                base = np.repeat(np.r_[before, behind], len(more))
                 first = np.r_[(before[:, None] - more).ravel(), np.repeat(behind, len(more))]
                 last = np.r_[np.repeat(before, len(more)), (behind[:, None] + more).ravel()] + WINDOW
                 inside = (first >= 0) & (last <= len(words.codes))
-                first, last = first[inside], last[inside]
+                first, last, base = first[inside], last[inside], base[inside]
                 if len(first):
                     keys = window_keys(words.codes, first, last - first)
                     start, end = words.start[first].astype(np.int32), words.end[last - 1].astype(np.int32)
-                    found.append((np.full(len(first), doc), *keys, start, end))
+                    found.append((np.full(len(first), doc), *keys, start, end, words.start[base].astype(np.int32)))
             if found:
                 yield pa.record_batch(
-                    [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["doc", "one", "two", "start", "end"]
+                    [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["doc", "one", "two", "start", "end", "base"]
                 )
 
     return find
 
 
 def _extended(source: DataFrame, windows: DataFrame) -> DataFrame:
-    """(one, doc, start, end, first) of windows with the equal words next to them, from repeated ``windows``.
+    """(doc, start, end, first) of windows with the equal words next to them, from repeated ``windows``.
 
     Within a run of overlapping windows that go, only the outermost need it. All copies of such a
     window are extended, so the first one of each length is known.
@@ -311,30 +314,64 @@ def _extended(source: DataFrame, windows: DataFrame) -> DataFrame:
     marks = _bit_set(keys.union(windows.select(F.xxhash64("doc").alias("key"))))
     shared = source.sparkSession.sparkContext.broadcast(marks)
     longer = source.select("doc", "text", F.xxhash64("doc").alias("key")).mapInArrow(
-        _longer(shared), "doc long, one long, two long, start int, end int"
+        _longer(shared), "doc long, one long, two long, start int, end int, base int"
     )
-    return _across(stored(longer, "longer-windows"), ["one", "two"], "repeated-longer-windows")
+    repeated = _across(stored(longer, "longer-windows"), ["one", "two"], "repeated-longer-windows", ["base"])
+    # Of those around one window that lie alike in the same document, the outermost ends say all.
+    return repeated.groupBy("doc", "base", F.col("first.doc").alias("keeper"), (F.col("first.start") - F.col("start")).alias("shift")).agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.max("first.end").alias("upto")
+    ).select(
+        "doc", "start", "end",
+        F.struct(F.col("keeper").alias("doc"), (F.col("start") + F.col("shift")).alias("start"), F.col("upto").alias("end")).alias("first"),
+    )
+
+
+_RESULT = (
+    "removed array<struct<start: int, end: int>>, "
+    "members array<struct<start: int, end: int, keeper: bigint, keeper_start: int>>"
+)
+_REMOVED = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_MEMBERS = pa.list_(
+    pa.struct([("start", pa.int32()), ("end", pa.int32()), ("keeper", pa.int64()), ("keeper_start", pa.int32())])
+)
+
+
+def _joined(spans) -> list[list[int]]:
+    """Spans with those that overlap or touch made one."""
+    out: list[list[int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
 
 
 def _merged(spans: pa.Array) -> pa.Array:
-    out = []
-    for row in spans.to_pylist():
-        merged: list[dict] = []
-        for span in sorted(row or (), key=lambda s: (s["start"], s["end"])):
-            if merged and span["start"] <= merged[-1]["end"]:
-                merged[-1]["end"] = max(merged[-1]["end"], span["end"])
-            else:
-                merged.append(dict(span))
-        out.append(merged)
-    return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+    """What goes, and the stretches by keeper: those that lie alike in it are merged."""
+    removed, members = [], []
+    for value in spans:  # one document at a time
+        row = value.as_py()
+        alike: dict[tuple[int, int], list] = {}
+        for s in row or ():
+            alike.setdefault((s["keeper"], s["keeper_start"] - s["start"]), []).append((s["start"], s["end"]))
+        gone = _joined((s["cut"], s["end"]) for s in row or () if s["cut"] is not None)
+        removed.append([{"start": a, "end": b} for a, b in gone])
+        members.append(sorted(
+            ({"start": a, "end": b, "keeper": keeper, "keeper_start": a + shift}
+             for (keeper, shift), parts in alike.items() for a, b in _joined(parts)),
+            key=lambda m: tuple(m.values()),
+        ))
+    return pa.StructArray.from_arrays([pa.array(removed, _REMOVED), pa.array(members, _MEMBERS)], ["removed", "members"])
 
 
 def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """(doc, class_id, n_stretches, removed) for documents with stretches that repeat elsewhere.
+    """(doc, class_id, n_stretches, removed, members) for documents with stretches that repeat elsewhere.
 
-    ``class_id`` is the smallest id of a document that keeps one of them, ``removed`` the merged
-    spans that go.
+    ``class_id`` is the smallest id of the documents connected by shared stretches, ``removed`` the
+    merged spans that go. ``members`` has the spans of all clusters the document is in: where each
+    lies, the document that keeps its first copy (perhaps this one), and where that starts there.
     """
     source = small_batches(docs).select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     bands = bands_for(recall, SIMILARITY)
@@ -351,20 +388,26 @@ def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
     found = own(_across(labelled, ["label"], "repeated-paragraphs"), 1).union(own(windows, 1)).union(
         own(_extended(source, windows), 0)
     )
-    merge = F.arrow_udf(_merged, "array<struct<start: int, end: int>>")
-    return found.groupBy("doc").agg(
-        F.least(F.min("first.doc"), F.col("doc")).alias("class_id"),
-        F.sum("n").alias("n_stretches"),
-        F.collect_set(_removal()).alias("spans"),
-    ).select("doc", "class_id", "n_stretches", merge("spans").alias("removed"))
+    found = stored(found, "stretches")
+    links = found.where("n = 1").select(F.col("doc").alias("a"), F.col("first.doc").alias("b")).where("a != b").distinct()
+    classes = components(links).select(F.col("node").alias("doc"), F.col("label").alias("class_id"))
+    merge = F.arrow_udf(_merged, f"struct<{_RESULT}>")
+    span = F.struct(
+        "start", "end", F.col("first.doc").alias("keeper"), F.col("first.start").alias("keeper_start"),
+        _removal()["start"].alias("cut"),
+    )
+    merged = found.groupBy("doc").agg(F.sum("n").alias("n_stretches"), F.collect_set(span).alias("spans"))
+    return merged.select("doc", "n_stretches", merge("spans").alias("m")).join(classes, "doc").select(
+        "doc", "class_id", "n_stretches", "m.removed", "m.members"
+    )
 
 
 def marked_repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
                    text_col: str = "text", name: str = "repeats") -> DataFrame:
-    """``docs`` with a struct: class_id, n_stretches and removed, for every row."""
+    """``docs`` with a struct: class_id, n_stretches, removed and members, for every row."""
     doc, mark = free_name(docs, "__doc"), free_name(docs, "__mark")
     found = repeats(docs, recall=recall, id_col=id_col, text_col=text_col)
-    marks = found.select(F.col("doc").alias(doc), F.struct("class_id", "n_stretches", "removed").alias(mark))
+    marks = found.select(F.col("doc").alias(doc), F.struct("class_id", "n_stretches", "removed", "members").alias(mark))
     joined = docs.withColumn(doc, id_or_lowest(id_col)).join(marks, doc, "left")
     m = F.col(mark)
     none = F.array().cast("array<struct<start: int, end: int>>")
@@ -374,6 +417,10 @@ def marked_repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "do
             id_back(F.coalesce(m["class_id"], F.col(doc))).alias("class_id"),
             F.coalesce(m["n_stretches"], F.lit(0)).alias("n_stretches"),
             F.coalesce(m["removed"], none).alias("removed"),
+            F.coalesce(
+                F.transform(m["members"], lambda s: s.withField("keeper", id_back(s["keeper"]))),
+                F.array().cast("array<struct<start: int, end: int, keeper: bigint, keeper_start: int>>"),
+            ).alias("members"),
         ),
     ).select(*[f"`{c}`" for c in docs.columns], name)
 

@@ -38,6 +38,12 @@ def op2_substring_dedup(spark, folder):
         F.col("repeats.n_stretches").alias("n_stretches"),
         F.size(spans).cast("long").alias("n_removed"),
         F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("removed"),
+        F.array_join(
+            F.transform(
+                F.col("repeats.members"),
+                lambda s: F.concat_ws(":", s["start"], s["end"], F.coalesce(s["keeper"].cast("string"), F.lit("")), s["keeper_start"]),
+            ), ",",
+        ).alias("members"),
     )
 
 

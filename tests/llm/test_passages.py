@@ -73,3 +73,35 @@ def test_words_shared_with_a_later_document_than_the_windows_first_go(spark):
     marks = found(spark, list(texts.items()))
     assert marks[1]["removed"] == [] and covers(marks[3], texts[3], " ".join(words))
     assert covers(marks[2], texts[2], " ".join(words[8:80])) and not covers(marks[2], texts[2], " ".join(words[7:80]))
+
+
+def test_classes_are_connected_and_members_tell_the_clusters(spark):
+    """900 and 901 are near copies, all hold a licence first seen in 5; 5 and 20 share another passage."""
+    licence, body, other = run("licence", 60), run("body", 120), run("other", 60)
+    texts = {
+        5: f"{other} {run('a', 7)}\n{licence}",
+        20: f"{run('b', 7)} {other} {run('c', 7)}",
+        700: f"{run('d', 7)}\n{licence}",
+        900: f"{body} {run('e', 4)}\n{licence}",
+        901: f"{run('f', 3)} {body}\n{licence}",
+        950: run("g", 80),
+        30: f"{run('h', 40)} {run('i', 60)}",
+        31: f"{run('i', 60)} {run('j', 60)}",
+        40: run("j", 60),
+    }
+    marks = found(spark, list(texts.items()))
+    assert {marks[d]["class_id"] for d in (5, 20, 700, 900, 901)} == {5}
+    assert {marks[d]["class_id"] for d in (30, 31, 40)} == {30} and marks[950]["class_id"] == 950
+    assert marks[950]["members"] == []
+
+    def has(doc, part, keeper):
+        at, there = texts[doc].index(part), texts[keeper].index(part)
+        return any(
+            m["keeper"] == keeper and m["start"] <= at and at + len(part) <= m["end"]
+            and m["keeper_start"] - m["start"] == there - at
+            for m in marks[doc]["members"]
+        )
+
+    assert has(901, body, 900) and has(900, body, 900) and has(20, other, 5)
+    assert all(has(d, licence, 5) for d in (5, 700, 900, 901))
+    assert {m["keeper"] for m in marks[700]["members"]} == {5}

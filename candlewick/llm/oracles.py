@@ -165,9 +165,32 @@ WITH sound AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+HARD_NEGATIVES = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, p.vec_id, a.label = p.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.v, p.v), lambda x: x[1] * x[2])), 0)::BIGINT AS score
+  FROM sound a JOIN sound p ON a.vec_id % 100 = 0 AND a.vec_id <> p.vec_id
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, p.vec_id AS positive_id,
+  row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op4_exact_top_k": TOP_K,
     "op6_url_filter": URL_FILTER,
     "op8_line_dedup": LINE_DEDUP,
     "op10_quality_rules": QUALITY_RULES,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

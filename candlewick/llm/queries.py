@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import jaccard, lines, mixing, passages, pieces, quality, secrets, sharding, topk, urls
+from candlewick.llm import (
+    jaccard, lines, mixing, negatives, passages, pieces, quality, secrets, sharding, topk, urls,
+)
 from candlewick.llm.common import sha256_text, table
 from candlewick.llm.oracles import ORACLES
 
@@ -118,6 +120,17 @@ def op10_quality_rules(spark, folder):
     )
 
 
+def op13_hard_negatives(spark, folder):
+    label, own = F.col("label"), F.col("vec_id")
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", F.when(own % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        negatives.whole_vector("embedding", 256).alias("v"),
+    )
+    return negatives.hard_negatives(rows, own % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -131,6 +144,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_ngram_jaccard,
         op10_quality_rules,
+        op13_hard_negatives,
     )
 }
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import (
     jaccard, lines, mixing, negatives, passages, pieces, quality, secrets, sharding, topk, urls,
+    variants,
 )
 from candlewick.llm.common import sha256_text, table
 from candlewick.llm.oracles import ORACLES
@@ -120,6 +121,11 @@ def op10_quality_rules(spark, folder):
     )
 
 
+def op12_spelling_variants(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return variants.spelling_variants(variants.word_counts(docs, typo_every=199))
+
+
 def op13_hard_negatives(spark, folder):
     label, own = F.col("label"), F.col("vec_id")
     rows = table(spark, folder, "embeddings").select(
@@ -144,6 +150,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_ngram_jaccard,
         op10_quality_rules,
+        op12_spelling_variants,
         op13_hard_negatives,
     )
 }

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
-    jaccard, lines, mixing, negatives, passages, pieces, quality, secrets, sharding, topk, urls,
-    variants,
+    jaccard, lines, mixing, negatives, passages, personal, pieces, quality, secrets, sharding, topk,
+    urls, variants,
 )
 from candlewick.llm.common import sha256_text, table
 from candlewick.llm.oracles import ORACLES
@@ -121,6 +121,22 @@ def op10_quality_rules(spark, folder):
     )
 
 
+def op11_personal_data(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found, spans = personal.find_personal_data(docs), F.col("personal")
+    base = F.filter(spans, personal.is_base)
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in personal.BASE_KINDS],
+        sha256_text(secrets.spans_text(base)).alias("base_sha256"),
+        secrets.spans_text(spans).alias("spans"),
+    )
+
+
 def op12_spelling_variants(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return variants.spelling_variants(variants.word_counts(docs, typo_every=199))
@@ -150,6 +166,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_ngram_jaccard,
         op10_quality_rules,
+        op11_personal_data,
         op12_spelling_variants,
         op13_hard_negatives,
     )

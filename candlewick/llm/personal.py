@@ -253,9 +253,10 @@ def with_candidates(docs: DataFrame, name: str, text_col: str = "text") -> DataF
     text = f"coalesce(cast(`{text_col}` AS string), '')"
 
     def matches(rule: Rule) -> str:
-        # The pattern does not run on texts that the quick test rules out.
+        # The pattern does not run on texts that the quick test rules out; most need a digit.
+        guard = rule.guard if rule.kind.startswith("email") else f"digits AND {rule.guard}"
         found = f"struct(split(t, {_raw(rule.pattern)}, -1) AS pieces, regexp_extract_all(t, {_raw(rule.pattern)}, 0) AS values)"
-        return f"CASE WHEN {rule.guard} THEN {found} END"
+        return f"CASE WHEN {guard} THEN {found} END"
 
     def listed(k: int, rule: Rule) -> str:
         found = f"transform(values, (v, i) -> {_described(k, rule)})"
@@ -265,7 +266,8 @@ def with_candidates(docs: DataFrame, name: str, text_col: str = "text") -> DataF
         bound = _let("pieces", f"m{k}.pieces", _let("values", f"m{k}.values", _let("places", _places("pieces", "values"), found)))
         return f"CASE WHEN size(m{k}.values) > 0 THEN {bound} ELSE cast(array() AS {_CANDIDATES}) END"
 
-    split = docs.withColumn(own, F.expr(_let("t", text, f"struct({', '.join(f'{matches(r)} AS m{k}' for k, r in enumerate(RULES))})")))
+    found = f"struct({', '.join(f'{matches(r)} AS m{k}' for k, r in enumerate(RULES))})"
+    split = docs.withColumn(own, F.expr(_let("t", text, _let("digits", "t RLIKE '[0-9]'", found))))
     every = f"concat({', '.join(listed(k, r).replace(f'm{k}.', f'`{own}`.m{k}.') for k, r in enumerate(RULES))})"
     return split.select(*[f"`{c}`" for c in docs.columns], F.expr(every).alias(name))
 

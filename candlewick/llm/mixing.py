@@ -15,6 +15,7 @@ met are approached as least squares allow, in MAX_ROUNDS rounds. Other columns a
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import free_name, id_or_lowest, small_batches, stored, texts
+from candlewick.llm.common import discard, free_name, id_or_lowest, small_batches, stored, texts
 
 DOMAINS = ("clean", "noisy", "toxic")
 TARGETS = {"clean": 0.90, "noisy": 0.08, "toxic": 0.02}
@@ -219,14 +220,18 @@ class Rates:
     cap: float | None
     steps: list[tuple[np.ndarray, float]] = field(default_factory=list)
     totals: np.ndarray | None = None
+    #: A domain whose documents, by their largest posterior, keep at least the rate they start with.
+    keep: int | None = None
+    converged: bool = False
 
     def of(self, p: np.ndarray) -> np.ndarray:
         """Rates for rows of posteriors: gradient steps from the start, carried on by the momentum,
         both projected."""
         last = ahead = np.full(len(p), self.start)
+        low = 0 if self.keep is None else np.where(p.argmax(axis=1) == self.keep, self.start, 0)
         for step, momentum in self.steps:
-            r = np.clip(ahead - p @ step, 0, self.cap)
-            ahead = np.clip(r + momentum * (r - last), 0, self.cap)
+            r = np.clip(ahead - p @ step, low, self.cap)
+            ahead = np.clip(r + momentum * (r - last), low, self.cap)
             last = r
         return ahead
 
@@ -252,13 +257,14 @@ def _totals(rows: DataFrame, rates: Rates) -> np.ndarray:
 
 
 def fit_rates(rows: DataFrame, targets: dict[str, float], *, tokens: float | None = None,
-              cap: float | None = None) -> Rates:
+              cap: float | None = None, keep: str | None = None) -> Rates:
     """Rates for rows (tokens, p) whose expected domain tokens are ``targets`` times ``tokens``
     (by default all there are).
 
     Residuals are weighed by the inverse of the target, and documents by their tokens, which
     makes a step the same for short and long texts. Rounds end when no domain misses its target
-    by more than TOLERANCE of all tokens, or when totals no longer change.
+    by more than TOLERANCE of all tokens, or when totals no longer change. A fit that does neither in
+    MAX_ROUNDS rounds gives a warning.
     """
     gram = rows.agg(
         *[
@@ -273,20 +279,22 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], *, tokens: float | Non
     weigh = 1 / np.maximum(goal, 0.01 * every)
     curve = np.sqrt(weigh)[:, None] * gram * np.sqrt(weigh)[None, :]
     pace = 1 / max(float(np.linalg.eigvalsh(curve)[-1]), 1e-12)
-    rates = Rates(start=min(1.0, cap) if cap else 1.0, cap=cap)
+    rates = Rates(start=min(1.0, cap) if cap else 1.0, cap=cap, keep=DOMAINS.index(keep) if keep else None)
     lowest, since = np.inf, 0
     for _ in range(MAX_ROUNDS):
         before, rates.totals = rates.totals, _totals(rows, rates)
         miss = rates.totals - goal
-        if np.abs(miss).max() <= TOLERANCE * every:
-            break
-        if before is not None and np.abs(rates.totals - before).max() <= 1e-3 * TOLERANCE * every:
+        still = before is not None and np.abs(rates.totals - before).max() <= 1e-3 * TOLERANCE * every
+        if still or np.abs(miss).max() <= TOLERANCE * every:
+            rates.converged = True
             break
         error = float(weigh @ miss**2)
         # Momentum that has led uphill is given up and gathered anew.
         since = since + 1 if error < lowest else 0
         lowest = error
         rates.steps.append((pace * weigh * miss, since / (since + 3)))
+    if not rates.converged:
+        warnings.warn(f"rates still change after {MAX_ROUNDS} rounds; missed by {miss.tolist()} tokens", stacklevel=2)
     return rates
 
 
@@ -304,29 +312,38 @@ def copies(rate: Column, key: Column) -> Column:
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *,
-          cap: float | None = None, fill: str | None = None, id_col: str = "doc_id",
-          text_col: str = "text", name: str = "mix") -> DataFrame:
+          cap: float | None = None, fill: str | None = None, keep: str | None = None,
+          id_col: str = "doc_id", text_col: str = "text", name: str = "mix",
+          columns: list[str] | None = None) -> DataFrame:
     """``docs`` with a struct: tokens, posteriors p, rate and copies.
 
-    With ``fill`` the total is chosen so that this domain's target is all it has.
+    With ``fill`` the total is chosen so that this domain's target is all it has. Documents that are
+    most likely of the domain ``keep`` keep at least one copy. ``columns`` names those to pass on, by
+    default all; without the text among them every text is read once, else a second time at the end.
     """
-    b, p = free_name(docs, "__bag"), free_name(docs, "__p")
-    bags = stored(
-        with_bags(docs.select(id_or_lowest(id_col).alias("id"), F.col(text_col).alias("text")), "b").select("id", "b"),
-        "bags",
+    passed = docs.columns if columns is None else columns
+    again = text_col in passed
+    carried = [] if again else passed
+    b, p, key = free_name(docs, "__bag"), free_name(docs, "__p"), free_name(docs, "__id")
+    named = docs.withColumn(key, id_or_lowest(id_col))
+    bags = stored(with_bags(named, b, text_col).select(key, b, *[f"`{c}`" for c in carried]), "bags")
+    model = fit_classifier(bags.select(F.col(key).alias("id"), F.col(b).alias("b")), labels, id_col=id_col)
+    found = stored(
+        with_posteriors(bags, model, b, p).withColumn(b, F.struct(F.col(b)["tokens"].alias("tokens"))).drop(key),
+        "posteriors",
     )
-    model = fit_classifier(bags, labels, id_col=id_col)
-    rows = stored(with_posteriors(bags, model, "b", "p").select("b.tokens", "p"), "posteriors")
+    discard(bags)
+    rows = found.select(F.col(b)["tokens"].alias("tokens"), F.col(p).alias("p"))
     targets = targets or TARGETS
     tokens = None
     if fill:
         own = rows.agg(F.sum(F.col("tokens") * F.col("p")[DOMAINS.index(fill)])).first()[0] or 0.0
         tokens = own * sum(targets.values()) / targets[fill]
-    rates = fit_rates(rows, targets, tokens=tokens, cap=cap)
-    whole = with_posteriors(with_bags(docs, b, text_col), model, b, p)
+    rates = fit_rates(rows, targets, tokens=tokens, cap=cap, keep=keep)
+    whole = with_posteriors(with_bags(docs, b, text_col), model, b, p) if again else found
     rate = free_name(docs, "__rate")
     return whole.withColumn(rate, rate_column(rates, F.col(p))).select(
-        *[f"`{c}`" for c in docs.columns],
+        *[f"`{c}`" for c in passed],
         F.struct(
             F.col(b)["tokens"].alias("tokens"), F.col(p).alias("p"), F.col(rate).alias("rate"),
             copies(F.col(rate), F.col(id_col)).alias("copies"),

@@ -25,7 +25,7 @@ def piece_model() -> str:
 
 def op1_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    mix = mixing.mixed(docs, table(spark, folder, "labels"))
+    mix = mixing.mixed(docs, table(spark, folder, "labels"), columns=["doc_id"])
     return mix.select(
         "doc_id", F.col("mix.tokens").alias("n_tokens"),
         *[F.col("mix.p")[k].alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)],

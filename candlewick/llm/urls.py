@@ -108,9 +108,10 @@ class Automaton:
             at += 1  # no element leads from one rule into the next
         return cls(start, reads, stays, other_reads, other_stays, tuple(ends))
 
-    def matches(self, text: str) -> int:
-        """The bit vector after the whole text; it is cut short when no rule is left."""
-        state, reads, stays = self.start, self.reads, self.stays
+    def matches(self, text: str, state: int | None = None) -> int:
+        """The bit vector after the whole text, from the start or ``state``; cut short when no rule is left."""
+        reads, stays = self.reads, self.stays
+        state = self.start if state is None else state
         for c in text:
             state = (state << 1) & reads.get(c, self.other_reads) | state & stays.get(c, self.other_stays)
             if not state:
@@ -133,13 +134,15 @@ class Filter:
 
     def judge(self, url: str | None) -> tuple[str, str, str | None, str]:
         host, path, query = split_url(url)
-        state, ends = self.automaton.matches(host + path + query), self.automaton.ends
+        # Host rules see host and path; the automaton then goes on with the query for the globs.
+        state, ends = self.automaton.matches(host + path), self.automaton.ends
         fit = [
             r for i, r in enumerate(self.host_rules) if state & (ends[2 * i] | ends[2 * i + 1])
         ]
         if fit:
             rule, verdict = max(fit, key=lambda r: len(r[0]))
             return host, path, rule, verdict
+        state = self.automaton.matches(query, state)
         blocked = any(state & end for end in ends[2 * len(self.host_rules) :])
         return host, path, None, BLOCK if blocked else ALLOW
 

@@ -258,7 +258,7 @@ def test_pipeline(spark):
     assert set(final) <= heads
     labels = {r["doc_id"]: r for r in table(spark, folder, "labels").collect()}
     clean = {d for d in heads if d in labels and (labels[d]["quality"], labels[d]["toxic"]) == (1, 0)}
-    assert len(clean & set(final)) >= 0.9 * len(clean)
+    assert len(clean & set(final)) >= 0.95 * len(clean)
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=piece_model())
@@ -308,3 +308,34 @@ def test_edited_paragraphs_are_one_cluster(spark):
         (span,) = found[i]["removed"]
         assert (span["start"], span["end"]) == (rows[i][1].index("\n") + 1, len(rows[i][1]))
     assert all(found[100 + i]["n_stretches"] == 0 for i in range(10))
+
+
+def test_host_rules_do_not_read_the_query():
+    rules = urls.Filter.of()
+    assert rules.judge("http://evil.org?x=.com/") == ("evil.org", "", None, "allow")
+    assert rules.judge("http://a.org?.net/es/") == ("a.org", "", None, "allow")
+    assert rules.judge("http://a.org/x?sessionid=1") == ("a.org", "/x", None, "block")
+    assert rules.judge("http://b.net/es/?q") == ("b.net", "/es/", "net/es/", "block")
+
+
+def test_kept_domain_and_convergence(spark):
+    """Rates against least squares by scipy-free projected steps run to the end; kept ones stay at one."""
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.5, 0.5, 0.5], 400)
+    tokens = rng.integers(1, 200, 400)
+    rows = spark.createDataFrame([(int(t), x.tolist()) for t, x in zip(tokens, p, strict=True)], "tokens long, p array<double>")
+    rates = mixing.fit_rates(rows, {"clean": 0.9, "noisy": 0.08, "toxic": 0.02}, cap=1.0, keep="clean")
+    got = rates.of(p)
+    mine = p.argmax(axis=1) == 0
+    assert rates.converged and (got[mine] == 1).all() and got[~mine].max() <= 1
+    goal = np.array([0.9, 0.08, 0.02]) * tokens.sum()
+    weigh = 1 / np.maximum(goal, 0.01 * tokens.sum())
+
+    def error(r):
+        return float(weigh @ ((r * tokens) @ p - goal) ** 2)
+
+    best = np.ones(400)
+    for _ in range(20000):
+        slope = p @ (weigh * ((best * tokens) @ p - goal))
+        best = np.where(mine, 1.0, np.clip(best - 1e-3 * slope, 0, 1))
+    assert error(got) <= error(best) * 1.01 + 1

@@ -33,7 +33,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return jaccard.one_of_each(docs)
 
 
-#: Parts of the corpus by domain. All clean text stays, once, and the others are thinned out.
+#: Parts of the corpus by domain. What is most likely clean stays, once, and the others are thinned out.
 TARGETS = {"clean": 0.94, "noisy": 0.05, "toxic": 0.01}
 
 
@@ -41,7 +41,7 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose drawn number of copies is zero go."""
     mix = free_name(docs, "mix")
     labels = table(spark, sf_dir, "labels")
-    mixed = mixing.mixed(docs, labels, TARGETS, cap=1.0, fill="clean", name=mix)
+    mixed = mixing.mixed(docs, labels, TARGETS, cap=1.0, fill="clean", keep="clean", name=mix)
     return mixed.where(F.col(mix)["copies"] > 0).select(*[f"`{c}`" for c in docs.columns])
 
 

@@ -16,7 +16,7 @@ sys.path.insert(0, str(ROOT / "tools"))
 FOLDER = "/root/testdata/sf0.001"
 
 import corpus_pipeline  # noqa: E402
-from candlewick.llm import mixing, passages, pieces, quality, secrets, sharding  # noqa: E402
+from candlewick.llm import mixing, passages, pieces, quality, secrets, sharding, urls  # noqa: E402
 from candlewick.llm.common import table  # noqa: E402
 from candlewick.llm.jaccard import near_classes, runs_for, survival  # noqa: E402
 from candlewick.llm.queries import ORACLES, QUERIES, piece_model  # noqa: E402

@@ -168,11 +168,29 @@ def missing_symbols(symbols: DataFrame, instruments: DataFrame) -> DataFrame:
     return symbols.select("symbol").distinct().join(instruments.select("symbol"), "symbol", "left_anti")
 
 
+def created_instruments(symbols: DataFrame, instruments: DataFrame, as_of: str | None = None) -> DataFrame:
+    """One row for each contract symbol that the instruments lack."""
+    new = missing_symbols(symbols, instruments).withColumns(contract_fields(F.col("symbol")))
+    return conform(_numbered(new, instruments).withColumn("updated_at", clock(as_of)), INSTRUMENTS)
+
+
 def get_or_create(symbols: DataFrame, instruments: DataFrame, as_of: str | None = None) -> DataFrame:
     """The instruments plus one row for each unseen contract symbol; existing rows stay."""
-    new = missing_symbols(symbols, instruments).withColumns(contract_fields(F.col("symbol")))
-    created = _numbered(new, instruments).withColumn("updated_at", clock(as_of))
-    return conform(instruments, INSTRUMENTS).unionByName(conform(created, INSTRUMENTS))
+    return conform(instruments, INSTRUMENTS).unionByName(created_instruments(symbols, instruments, as_of))
+
+
+def named_instruments(tickers: DataFrame, instruments: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The instruments that vendor tickers name, with the attributes parsed from them and the given
+    clock; unseen ones also get an id."""
+    parsed = (
+        tickers.select(F.col("ticker").alias("symbol"))
+        .distinct()
+        .withColumns(ticker_fields(F.col("symbol")))
+    )
+    known = parsed.join(instruments.select("symbol", "instrument_id"), "symbol")
+    created = _numbered(parsed.join(instruments.select("symbol"), "symbol", "left_anti"), instruments)
+    named = conform(known, INSTRUMENTS).unionByName(conform(created, INSTRUMENTS))
+    return named.withColumn("updated_at", clock(as_of)).select(*INSTRUMENTS.names)
 
 
 def upsert_instruments(
@@ -183,18 +201,6 @@ def upsert_instruments(
     Named instruments take the attributes parsed from their ticker and the given clock;
     unseen ones also get an id.
     """
-    parsed = (
-        tickers.select(F.col("ticker").alias("symbol"))
-        .distinct()
-        .withColumns(ticker_fields(F.col("symbol")))
-    )
-    named = parsed.select("symbol", *[F.col(a).alias(f"_{a}") for a in ATTRIBUTES], F.lit(True).alias("_named"))
-    kept = instruments.join(named, "symbol", "left").withColumns(
-        {
-            **{a: F.when(F.col("_named"), F.col(f"_{a}")).otherwise(F.col(a)) for a in ATTRIBUTES},
-            "updated_at": F.when(F.col("_named"), clock(as_of)).otherwise(F.col("updated_at")),
-        }
-    )
-    new = parsed.join(instruments.select("symbol"), "symbol", "left_anti")
-    created = _numbered(new, instruments).withColumn("updated_at", clock(as_of))
-    return conform(kept, INSTRUMENTS).unionByName(conform(created, INSTRUMENTS))
+    named = named_instruments(tickers, instruments, as_of)
+    others = instruments.join(named.select("symbol"), "symbol", "left_anti")
+    return conform(others, INSTRUMENTS).unionByName(conform(named, INSTRUMENTS))

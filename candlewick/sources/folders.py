@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import SparkSession
 
 
@@ -22,12 +20,44 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
-def day_folders(spark: SparkSession, path: str) -> list[tuple[str, date]]:
-    """(folder, day) for every day partition of a table."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, hidden names such as those of Spark's markers left out; none when it is absent."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    found = [status.getPath().getName() for status in system.listStatus(target)]
+    return sorted(name for name in found if not name.startswith(("_", ".")))
+
+
+def create(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; false when it exists already. Of several writers one succeeds."""
+    system, target = _file_system(spark, path)
+    return system.createNewFile(target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, target = _file_system(spark, path)
+    out = system.create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, target = _file_system(spark, path)
+    source = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    system, target = _file_system(spark, path)
+    if not system.rename(target, _file_system(spark, to)[1]):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 when it is absent."""
     system, target = _file_system(spark, path)
-    found = []
-    for status in system.listStatus(target):
-        name = status.getPath().getName()
-        if name.startswith("date="):
-            found.append((status.getPath().toString(), date.fromisoformat(name[5:])))
-    return found
+    return system.getContentSummary(target).getLength() if system.exists(target) else 0

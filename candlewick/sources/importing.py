@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators import merge
-from candlewick.operators.instruments import get_or_create
 from candlewick.operators.joins import resolve_symbols
 from candlewick.schemas import candle_table
 from candlewick.sources.files import ROW_ORDER, parse_candles, read_candle_csv, whole_files
@@ -28,7 +27,7 @@ def import_candles(
     parsed = parse_candles(read_candle_csv(store.spark, path))
     taken = whole_files(parsed) if only_whole_files else parsed
     usable = taken.where(F.col("reject_reason").isNull())
-    store.replace("instruments", get_or_create(usable, store.instruments(), as_of))
+    store.create_instruments(usable, as_of)
     candles = resolve_symbols(usable, store.instruments())
     store.insert_ignore(candle_table(timeframe), candles, merge.CANDLE_KEY, ROW_ORDER)
     return parsed

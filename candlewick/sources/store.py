@@ -1,8 +1,9 @@
 """The five tables as Parquet folders, with upserts, inserts and retention.
 
-Time tables are partitioned by ``date``, so time filters prune folders and a write
-replaces only the days it touches. Folder replacement is not atomic for readers of
-those days; where the catalog's table format has MERGE, use that instead.
+Each table is a log of versions (:mod:`candlewick.sources.versions`): an upsert adds the rows of its
+batch and rewrites nothing, and reading merges the newest version of each key. Time tables are
+partitioned by ``date``, so time filters prune folders. Compaction merges the changes of a day into its
+rows, by itself after ``compact_every`` upserts of a table. There is one writer to a table at a time.
 """
 
 from __future__ import annotations
@@ -17,13 +18,23 @@ from pyspark.sql import functions as F
 
 from candlewick.operators import filters, joins, merge, summary
 from candlewick.operators.indicators import LATEST_ROWS, latest_candles
+from candlewick.operators.instruments import created_instruments, named_instruments
 from candlewick.schemas import TABLES, candle_table, conform
 from candlewick.sources import folders
+from candlewick.sources.versions import VersionedTable
+
+KEYS = {
+    "instruments": ("instrument_id",),
+    "candle_data_1min": merge.CANDLE_KEY,
+    "candle_data_15sec": merge.CANDLE_KEY,
+    "technical_indicators": merge.INDICATOR_KEY,
+    "trading_signals": merge.SIGNAL_KEY,
+}
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 100):
+        self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
         self._views: list[Callable[[], None]] = []
 
     # -- reading ---------------------------------------------------------------
@@ -33,19 +44,17 @@ class Store:
             raise ValueError(f"unknown table {name!r}")
         return f"{self.root}/{name}"
 
+    def table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name), TABLES[name], KEYS[name])
+
     def exists(self, name: str) -> bool:
-        return folders.exists(self.spark, self.path(name))
+        return self.table(name).exists()
 
     def read(self, name: str) -> DataFrame:
         return self._read(name).select(*TABLES[name].names)
 
     def _read(self, name: str) -> DataFrame:
-        schema = TABLES[name]
-        if _timed(name):
-            schema = _copy(schema).add("date", "date")
-        if not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        return self.table(name).read()
 
     def instruments(self) -> DataFrame:
         return self.read("instruments")
@@ -64,9 +73,12 @@ class Store:
     ) -> DataFrame:
         """As the operator of this name, reading only the days in the range."""
         name = candle_table(timeframe)
-        low, high = (F.to_date(F.lit(str(bound)).cast("timestamp_ntz")) for bound in (start, end))
-        days = self._read(name).where(F.col("date").between(low, high)).select(*TABLES[name].names)
-        return filters.candle_range(days, instrument_id, start, end)
+        low, high = (date.fromisoformat(str(bound)[:10]) for bound in (start, end))
+        table = self.table(name)
+        found = table.snapshot()
+        days = table.read([day for day in found.days() if low <= day <= high], found)
+        days = days.where(F.col("date").between(F.lit(low), F.lit(high)))
+        return filters.candle_range(days.select(*TABLES[name].names), instrument_id, start, end)
 
     def standing_candles(self, keys: DataFrame, timeframe: str) -> DataFrame:
         """The stored candles of the given (time, instrument_id), reading only their days."""
@@ -84,16 +96,12 @@ class Store:
         Days are read from the newest back, four times as many whenever some instrument
         has too few rows in them, until all have enough or no day is left.
         """
-        name = candle_table(timeframe)
-        days = sorted(d for _, d in folders.day_folders(self.spark, self.path(name))) if self.exists(name) else []
-        span = 8
+        table = self.table(candle_table(timeframe))
+        held = table.snapshot()
+        days, span = held.days(), 8
         while True:
-            table = self._read(name)
-            if span < len(days):
-                table = table.where(F.col("date") >= F.lit(days[-span]))
-            found = latest_candles(
-                table.join(instruments, "instrument_id", "left_semi").select(*TABLES[name].names), rows
-            ).drop("recency")
+            newest = table.read(days[-span:], held).select(*table.schema.names)
+            found = latest_candles(newest.join(instruments, "instrument_id", "left_semi"), rows).drop("recency")
             if span >= len(days):
                 return found
             full = found.groupBy("instrument_id").count().where(F.col("count") >= rows)
@@ -101,6 +109,26 @@ class Store:
                 return found
             span *= 4
 
+    def latest(self, limit: int = 100, symbol: str | None = None, timeframe: str = "1min") -> DataFrame:
+        """As :func:`candlewick.operators.joins.latest`, reading days from the newest back.
+
+        Once the days read hold ``limit`` candles of the symbols asked for, no earlier day can have
+        one among the newest, so what is read does not grow with the history.
+        """
+        table = self.table(candle_table(timeframe))
+        held, chosen = table.snapshot(), self.instruments()
+        if symbol is not None:
+            chosen = chosen.where(F.col("symbol") == symbol)
+        days, span = held.days(), 1
+        while span < len(days):
+            rows = table.read(days[-span:], held).select("instrument_id")
+            if rows.join(chosen.select("instrument_id"), "instrument_id", "left_semi").limit(limit).count() >= limit:
+                break
+            span *= 2
+        readings = self.table("technical_indicators").read(days[-span:])
+        newest = table.read(days[-span:], held).select(*table.schema.names)
+        return joins.latest(newest, chosen, readings.drop("date"), timeframe, limit, symbol)
+
     def register_views(self, as_of: str | datetime | None = None, all_data: bool = True) -> None:
         """Temp views: the tables plus scalping_data, first_two_hours_data and market_summary.
 
@@ -130,23 +158,30 @@ class Store:
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Replace a whole table; ``df`` may read the table itself."""
-        with self.durable(_dated(name, df)) as made:
-            self._write(name, made, "overwrite")
+        self.table(name).replace(_dated(name, df))
+        self.refresh_views()
 
     def append(self, name: str, df: DataFrame) -> None:
-        self._write(name, _dated(name, df), "append")
+        """Add rows whose keys the table does not hold."""
+        self.table(name).append(_dated(name, df))
+        self.refresh_views()
 
     def upsert(
         self, name: str, batch: DataFrame, key: Sequence[str], order: Sequence[str]
     ) -> None:
         """Write ``batch`` over the table, the last row of a key by ``order`` winning.
 
-        Repeating a batch changes nothing. Only the days of the batch are read and rewritten.
+        Repeating a batch changes nothing. The batch is all that is read and written.
         """
-        with self.durable(_dated(name, merge.last_version(batch, key, order))) as incoming:
-            kept = self._days_of(name, incoming).join(incoming.select(*key), list(key), "left_anti")
-            with self.durable(kept.unionByName(incoming)) as merged:
-                self._write(name, merged, "overwrite", dynamic=True)
+        if sorted(key) != sorted(KEYS[name]):
+            raise ValueError(f"{name} is keyed by {KEYS[name]}, not by {tuple(key)}")
+        table = self.table(name)
+        table.change(_dated(name, merge.last_version(batch, key, order)))
+        if table.changes_held() >= self.compact_every:
+            # What the compaction before this one replaced has had time to be read to the end.
+            table.vacuum()
+            table.compact()
+        self.refresh_views()
 
     def insert_ignore(
         self, name: str, batch: DataFrame, key: Sequence[str], order: Sequence[str]
@@ -156,8 +191,32 @@ class Store:
             new = incoming.join(
                 self._days_of(name, incoming).select(*key), list(key), "left_anti"
             )
-            with self.durable(new) as rows:
-                self._write(name, rows, "append")
+            self.table(name).append(new)
+        self.refresh_views()
+
+    def compact(self, name: str) -> None:
+        """Merge all changes of a table into its rows; files replaced stay until :meth:`vacuum`."""
+        self.table(name).compact()
+        self.refresh_views()
+
+    def vacuum(self, name: str) -> None:
+        """Delete files that no longer count, once nobody reads them."""
+        self.table(name).vacuum()
+        self.refresh_views()
+
+    def create_instruments(self, symbols: DataFrame, as_of: str | None = None) -> None:
+        """Append an instrument for each unseen contract symbol; known ones are neither read whole nor written."""
+        self._add_instruments(created_instruments(symbols, self.instruments(), as_of), self.table("instruments").append)
+
+    def upsert_instruments(self, tickers: DataFrame, as_of: str | None = None) -> None:
+        """Append the instruments named by vendor tickers, as new rows or as newer versions of theirs."""
+        self._add_instruments(named_instruments(tickers, self.instruments(), as_of), self.table("instruments").change)
+
+    def _add_instruments(self, rows: DataFrame, write: Callable[[DataFrame], int]) -> None:
+        with self.durable(rows) as made:
+            if not made.isEmpty():
+                write(made)
+                self.refresh_views()
 
     def upsert_candles(self, batch: DataFrame, timeframe: str, order: Sequence[str] = ("seq",)) -> None:
         self.upsert(candle_table(timeframe), batch, merge.CANDLE_KEY, order)
@@ -172,22 +231,15 @@ class Store:
         """Drop rows older than ``days``: whole days as folders, the boundary day by rewriting."""
         as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
         oldest = as_of - timedelta(days=days)
-        if not self.exists(name):
-            return
-        for folder, day in folders.day_folders(self.spark, self.path(name)):
-            if day < oldest.date():
-                folders.delete(self.spark, folder)
+        table = self.table(name)
+        held = table.snapshot().days()
+        table.drop(day for day in held if day < oldest.date())
+        if oldest.date() in held:
+            boundary = table.read([oldest.date()])
+            stale = boundary.where(F.col("time") < F.lit(str(oldest)).cast("timestamp_ntz"))
+            if not stale.isEmpty():
+                table.replace(filters.retained(boundary, as_of, days), [oldest.date()])
         self.refresh_views()
-        boundary = self._read(name).where(F.col("date") == F.lit(oldest.date()))
-        stale = boundary.where(F.col("time") < F.lit(str(oldest)).cast("timestamp_ntz"))
-        if stale.isEmpty():
-            return
-        with self.durable(filters.retained(boundary, as_of, days)) as kept:
-            if kept.isEmpty():
-                folders.delete(self.spark, f"{self.path(name)}/date={oldest.date()}")
-                self.refresh_views()
-            else:
-                self._write(name, kept, "overwrite", dynamic=True)
 
     @contextmanager
     def durable(self, df: DataFrame) -> Iterator[DataFrame]:
@@ -207,18 +259,7 @@ class Store:
         are, because a literal list prunes the folders to read in every case.
         """
         days = [row["date"] for row in batch.select("date").distinct().collect()]
-        return self._read(name).where(F.col("date").isin(days))
-
-    def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool = False) -> None:
-        timed = _timed(name)
-        # Rebalancing gathers each day into few files and splits days too large for one task.
-        writer = (df.hint("rebalance", "date") if timed else df).write.mode(mode)
-        if timed:
-            writer = writer.partitionBy("date")
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.parquet(self.path(name))
-        self.refresh_views()
+        return self.table(name).read(days)
 
 
 def _nulls(df: DataFrame, schema) -> DataFrame:
@@ -231,10 +272,6 @@ def _timed(name: str) -> bool:
     return "time" in TABLES[name].names
 
 
-def _copy(schema):
-    return type(schema)(list(schema.fields))
-
-
 def _dated(name: str, df: DataFrame) -> DataFrame:
     made = conform(df, TABLES[name])
     return made.withColumn("date", F.to_date("time")) if _timed(name) else made

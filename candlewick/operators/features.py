@@ -43,7 +43,7 @@ RAW = ("open", "high", "low", "close", "volume", "open_interest", *INDICATOR_COL
 
 def training_set(
     candles: DataFrame,
-    indicators: DataFrame,
+    indicators: DataFrame | None,
     timeframe: str = "1min",
     counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
@@ -51,7 +51,8 @@ def training_set(
     """Candles with indicators, target and derived features; rows with any undefined value go.
 
     The target says whether the close four candles on is higher. A change from a zero
-    base is infinite and is kept here; :func:`feature_matrix` removes it.
+    base is infinite and is kept here; :func:`feature_matrix` removes it. Candles that carry their
+    indicators need no second table.
     """
     joined = with_indicators(candles, indicators, timeframe, how="inner").select(
         "time", "instrument_id", *RAW
@@ -158,6 +159,56 @@ def scale(features: DataFrame, scaler: DataFrame) -> DataFrame:
     )
 
 
+def standardized(features: DataFrame, fit_on: str = "all") -> DataFrame:
+    """Features scaled by their own scaler. Both read one shuffle of them, so they are made once."""
+    shared = features.repartition("instrument_id", "time")
+    return scale(shared, fit_scaler(fitting_rows(shared, fit_on)))
+
+
+def daily_moments(features: DataFrame) -> DataFrame:
+    """(time, instrument_id, feature, n, mean, m2) of each day: what a scaler needs, and merges.
+
+    ``m2`` is the sum of squared deviations from the day's mean.
+    """
+    day = F.date_trunc("DAY", "time").cast("timestamp_ntz").alias("time")
+    summed = features.groupBy(day, "instrument_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.struct(F.avg(name).alias("mean"), F.var_pop(name).alias("variance")).alias(name) for name in FEATURES],
+    )
+    each = F.array(*[
+        F.struct(
+            F.lit(name).alias("feature"), F.col("n"), F.col(name)["mean"].alias("mean"),
+            (F.col(name)["variance"] * F.col("n")).alias("m2"),
+        )
+        for name in FEATURES
+    ])
+    return summed.select("time", "instrument_id", F.inline(each))
+
+
+def scaler_of_moments(moments: DataFrame) -> DataFrame:
+    """As :func:`fit_scaler`, from daily moments merged pair by pair in the order of the days.
+
+    An instrument has one row a day and feature, so what is gathered follows its calendar, not its rows.
+    """
+    days = F.array_sort(F.collect_list(F.struct("time", "n", "mean", "m2"))).alias("days")
+
+    def merged(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + apart * b["n"] / n).alias("mean"),
+            (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"),
+        )
+
+    none = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    total = F.aggregate("days", none, merged)
+    return moments.groupBy("instrument_id", "feature").agg(days).select(
+        "instrument_id", "feature", total.alias("_all")
+    ).select(
+        "instrument_id", "feature", F.col("_all.mean").alias("mean"), F.sqrt(F.col("_all.m2") / F.col("_all.n")).alias("std")
+    )
+
+
 def split_tenth(seed: int = SPLIT_SEED) -> Column:
     """0..9, drawn from a hash of seed, instrument and time, so reruns agree."""
     text = F.concat_ws(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators.series import Running, Series, open_series
-from candlewick.schemas import INDICATORS
+from candlewick.schemas import INDICATOR_COLUMNS, INDICATORS
 
 # Frame lengths and the PVI starting level.
 RSI_PERIOD = 14
@@ -92,10 +92,18 @@ def indicators(
     ``counted`` and ``rows_per_slice`` are those of :func:`open_series`.
     """
     needed = candles.select("instrument_id", "time", "close", "volume")
-    series = open_series(
-        needed, before=RSI_PERIOD, counted=counted, rows_per_slice=rows_per_slice
-    )
-    return _labelled(_with_indicators(series), timeframe)
+    return _labelled(candles_with_indicators(needed, counted, rows_per_slice), timeframe)
+
+
+def candles_with_indicators(
+    candles: DataFrame, counted: DataFrame | None = None, rows_per_slice: int | None = None
+) -> DataFrame:
+    """Candles, all their columns, with the indicators of :func:`indicators` beside them.
+
+    One window plan gives both, where a join with the indicators of the same candles makes these twice.
+    """
+    series = open_series(candles, before=RSI_PERIOD, counted=counted, rows_per_slice=rows_per_slice)
+    return _with_indicators(series).select(*candles.columns, *INDICATOR_COLUMNS)
 
 
 def latest_candles(candles: DataFrame, rows: int = LATEST_ROWS) -> DataFrame:
@@ -139,5 +147,44 @@ def moving_average(
     ).select("instrument_id", "time", "ma")
 
 
+def price_totals(candles: DataFrame) -> DataFrame:
+    """(instrument_id, time, place, known, total): the number of each candle of its instrument, and the
+    closes up to it, counted and summed.
+
+    Days are summed apart and carried forward, so no task sees a whole history. Sums are decimals of
+    ten places and so the same in any order; a close that does not fit counts as unknown.
+    """
+    price = F.col("close").try_cast("decimal(28,10)")
+    rows = candles.select("instrument_id", "time", F.to_date("time").alias("date"), price.alias("_price"))
+    today = Window.partitionBy("instrument_id", "date").orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("instrument_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"place": F.count(F.lit(1)), "known": F.count("_price"), "total": F.coalesce(F.sum("_price"), F.lit(0).cast("decimal(38,10)"))}
+    days = rows.groupBy("instrument_id", "date").agg(*[column.alias(name) for name, column in sums.items()])
+    carried = days.select(
+        "instrument_id", "date", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_{name}") for name in sums]
+    )
+    own = {"place": F.count(F.lit(1)).over(today), "known": F.count("_price").over(today), "total": F.sum("_price").over(today)}
+    local = rows.select("instrument_id", "time", "date", *[column.alias(name) for name, column in own.items()])
+    return local.join(carried, ["instrument_id", "date"]).select(
+        "instrument_id", "time",
+        *[(F.coalesce(name, F.lit(0)) + F.col(f"_{name}")).cast("bigint" if name != "total" else "decimal(38,10)").alias(name) for name in sums],
+    )
+
+
+def moving_average_by_place(totals: DataFrame, window: int) -> DataFrame:
+    """(instrument_id, time, ma) from :func:`price_totals`: row n less row n - window.
+
+    Unlike a frame, the window may be any expression, as in a SQL function with a parameter.
+    """
+    before = totals.select(
+        "instrument_id", (F.col("place") + F.lit(window)).alias("place"), F.col("known").alias("_known"), F.col("total").alias("_total")
+    )
+    joined = totals.join(before, ["instrument_id", "place"], "left")
+    total = (F.col("total") - F.coalesce("_total", F.lit(0))).cast("double")
+    return joined.select(
+        "instrument_id", "time", F.try_divide(total, F.col("known") - F.coalesce("_known", F.lit(0))).alias("ma")
+    )
+
+
 def _labelled(frame: DataFrame, timeframe: str) -> DataFrame:
     return frame.withColumn("timeframe", F.lit(timeframe)).select(*INDICATORS.names)

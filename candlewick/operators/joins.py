@@ -28,8 +28,11 @@ def with_instruments(facts: DataFrame, instruments: DataFrame, *columns: str) ->
 
 
 def with_indicators(
-    candles: DataFrame, indicators: DataFrame, timeframe: str, how: str = "left"
+    candles: DataFrame, indicators: DataFrame | None, timeframe: str, how: str = "left"
 ) -> DataFrame:
+    """Candles with their indicators; without a table of them the candles carry their own."""
+    if indicators is None:
+        return candles
     return candles.join(of_timeframe(indicators, timeframe), ["time", "instrument_id"], how)
 
 
@@ -50,12 +53,14 @@ def enriched_candles(
     indicators: DataFrame | None = None,
     timeframe: str = "1min",
 ) -> DataFrame:
-    """Candles with instrument attributes and, when given, the indicators of ``timeframe``."""
+    """Candles with instrument attributes and the indicators of ``timeframe``, when a table of them is
+    given or the candles carry their own."""
     shown = ("symbol", "instrument_type", "option_type", "strike_price")
     frame = with_instruments(candles, instruments, *shown)
     columns = ["time", *shown, *PRICES]
     if indicators is not None:
         frame = with_indicators(frame, indicators, timeframe)
+    if set(INDICATOR_COLUMNS) <= set(frame.columns):
         columns += INDICATOR_COLUMNS
     return frame.select(*columns)
 

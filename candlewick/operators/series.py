@@ -152,15 +152,19 @@ def open_series(
     after: int = 0,
     counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
+    lazy: bool = False,
 ) -> Series:
     """Prepare ``df`` for windows over ``key`` ordered by ``order`` (never null, unique per key).
 
     ``before`` and ``after`` are the largest numbers of rows that any bounded frame
     reaches back and ahead. ``counted`` may name a frame that is cheaper to count and has
-    at least as many rows per key, such as the ticks behind candles.
+    at least as many rows per key, such as the ticks behind candles. ``lazy`` counts nothing while the
+    plan is made: it always holds the slices, which is for views that are made anew after each write.
     """
     limit = max(rows_per_slice or ROWS_PER_SLICE, 2 * (before + after), 1)
     counted = df if counted is None else counted
+    if lazy:
+        return Series(_cut(df, counted, key, order, before, after, limit), key, order, sliced=True)
     tally = counted.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     peak = tally.agg(F.max("n")).first()[0] or 0
     if peak <= limit:

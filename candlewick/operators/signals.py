@@ -52,26 +52,30 @@ def signal_type() -> Column:
 
 def scalping_signals(
     candles: DataFrame,
-    indicators: DataFrame,
+    indicators: DataFrame | None,
     instruments: DataFrame,
     timeframe: str = "1min",
     symbol: str | None = None,
     limit: int | None = 100,
     counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
+    lazy: bool = False,
 ) -> DataFrame:
     """Every candle with its signal, newest first and cut to ``limit`` unless that is None.
 
     ``candles`` are those of ``timeframe``. Windows always stay within one instrument and
-    see all the rows they reach, whatever the limit.
+    see all the rows they reach, whatever the limit. Candles that carry their indicators need no
+    second table. ``lazy`` is that of :func:`open_series`.
     """
     chosen = instruments.select("instrument_id", "symbol")
     if symbol is not None:
         chosen = chosen.where(F.col("symbol") == symbol)
         # Filter both sides before the windows, so that only this instrument is ever shuffled.
         candles = candles.join(chosen.select("instrument_id"), "instrument_id", "left_semi")
-        indicators = indicators.join(chosen.select("instrument_id"), "instrument_id", "left_semi")
-    candles = candles.select("time", "instrument_id", "close", "volume")
+        if indicators is not None:
+            indicators = indicators.join(chosen.select("instrument_id"), "instrument_id", "left_semi")
+    carried = () if indicators is not None else ("rsi", "obv", "tvi")
+    candles = candles.select("time", "instrument_id", "close", "volume", *carried)
     if limit is not None:
         # No instrument has more than ``limit`` rows among the newest, and their frames
         # reach back by less than SLOW rows; the rest need not be joined or shuffled.
@@ -87,6 +91,7 @@ def scalping_signals(
             before=SLOW - 1,
             counted=candles if counted is None else counted,
             rows_per_slice=rows_per_slice,
+            lazy=lazy,
         )
     framed = series.close(
         series.frame.select(

@@ -27,26 +27,29 @@ def change_percent(price: Column, other: Column) -> Column:
 
 def market_summary(
     candles: DataFrame,
-    indicators: DataFrame,
+    indicators: DataFrame | None,
     instruments: DataFrame,
     as_of: str | datetime | None = None,
     all_data: bool = False,
     direction: str = "next",
     counted: DataFrame | None = None,
     rows_per_slice: int | None = None,
+    lazy: bool = False,
 ) -> DataFrame:
     """Every candle of the last 30 minutes (or of all time) with its change and RSI band.
 
     The price is compared with the following candle, so each instrument's newest
     candle has nothing to compare with and is left out; ``direction='previous'``
-    compares with the preceding one instead.
+    compares with the preceding one instead. Candles that carry their indicators need no second
+    table. ``lazy`` is that of :func:`open_series`.
     """
     if direction not in ("next", "previous"):
         raise ValueError("direction must be 'next' or 'previous'")
-    prices = candles.select("time", "instrument_id", "close", "volume", "open_interest")
-    readings = of_timeframe(indicators, "1min").select("time", "instrument_id", "rsi", "tvi", "obv")
+    shown_readings = ("rsi", "tvi", "obv")
+    carried = shown_readings if indicators is None else ()
+    prices = candles.select("time", "instrument_id", "close", "volume", "open_interest", *carried)
     if not all_data:
-        prices, readings = recent(prices, as_of), recent(readings, as_of)
+        prices = recent(prices, as_of)
     ahead = direction == "next"
     series = open_series(
         prices,
@@ -54,15 +57,20 @@ def market_summary(
         after=int(ahead),
         counted=counted,
         rows_per_slice=rows_per_slice,
+        lazy=lazy,
     )
     step = F.lead if ahead else F.lag
     compared = series.close(
         series.frame.withColumn("_other", step("close").over(series.window))
     ).where(F.col("_other").isNotNull())
+    if indicators is not None:
+        readings = of_timeframe(indicators, "1min").select("time", "instrument_id", *shown_readings)
+        readings = readings if all_data else recent(readings, as_of)
+        compared = compared.join(readings, ["time", "instrument_id"], "left")
     shown = ("symbol", "instrument_type", "option_type", "strike_price")
     # Symbols are unique, so joining on the id equals joining on the symbol.
     return with_instruments(
-        compared.join(readings, ["time", "instrument_id"], "left"), instruments, *shown
+        compared, instruments, *shown
     ).select(
         *shown,
         F.col("close").alias("latest_price"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.symbols import contract_fields
-from candlewick.operators.indicators import indicators
+from candlewick.operators.indicators import candles_with_indicators, indicators
 from candlewick.operators.resample import candles
 from candlewick.schemas import CANDLES, INSTRUMENTS, conform
 
@@ -57,6 +57,11 @@ def daily_indicators(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def carried_indicators(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily candles with their indicators beside them, from one pass over the line items."""
+    return candles_with_indicators(daily_candles(spark, folder), counted=tick_count_frame(spark, folder))
+
+
 def supplier_symbols(spark: SparkSession, folder: str) -> DataFrame:
     """(instrument_id, symbol): option contracts on index names, or the supplier's own name."""
     key = F.col("s_suppkey")

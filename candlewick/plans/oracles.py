@@ -351,6 +351,12 @@ QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY time DESC) = 1"""
 SELECT instrument_id, time,
        avg(close) OVER (PARTITION BY instrument_id ORDER BY time ROWS 19 PRECEDING) AS ma
 FROM candles""",
+    "moving_average_by_place": f"""WITH{CANDLES}
+SELECT instrument_id, time, 5 AS window_rows, avg(close) OVER (w ROWS 4 PRECEDING) AS ma FROM candles
+WINDOW w AS (PARTITION BY instrument_id ORDER BY time)
+UNION ALL
+SELECT instrument_id, time, 20 AS window_rows, avg(close) OVER (w ROWS 19 PRECEDING) AS ma FROM candles
+WINDOW w AS (PARTITION BY instrument_id ORDER BY time)""",
     "candles_event_time": f"WITH{EVENTS} " + event_candles(15, "symbol"),
     "candles_1min": f"WITH{EVENTS} " + event_candles(60, "symbol"),
     "candles_daily": f"WITH{CANDLES} SELECT * FROM candles",

@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from candlewick.functions.symbols import contract_fields, in_segment, normalized_day, ticker_fields
 from candlewick.functions.ticks import accepted, decode_ticks, rejected
 from candlewick.operators import features, filters, instruments, joins, merge, quality, summary
-from candlewick.operators.indicators import indicators, latest_candles, latest_indicators, moving_average
+from candlewick.operators.indicators import (
+    indicators,
+    latest_candles,
+    latest_indicators,
+    moving_average,
+    moving_average_by_place,
+    price_totals,
+)
 from candlewick.operators.resample import arrival_candles, candles
 from candlewick.operators.signals import of_type, scalping_signals, signal_counts, signal_rows
 from candlewick.plans import mapping as m
@@ -68,6 +75,13 @@ def moving_average_20(spark, folder):
     )
 
 
+def moving_average_by_place_(spark, folder):
+    """Moving averages by running totals, for two windows, as the SQL function gives them."""
+    totals = price_totals(m.daily_candles(spark, folder))
+    made = [moving_average_by_place(totals, n).withColumn("window_rows", F.lit(n)) for n in (5, 20)]
+    return made[0].unionByName(made[1])
+
+
 # -- candles ---------------------------------------------------------------------
 
 
@@ -111,9 +125,8 @@ def candle_range(spark, folder):
 
 def enriched_candles(spark, folder):
     view = joins.enriched_candles(
-        m.daily_candles(spark, folder),
+        m.carried_indicators(spark, folder),
         m.supplier_instruments(spark, folder),
-        m.daily_indicators(spark, folder),
     )
     return rounded(plain(view), rsi=6, tvi=4, pvi=6, pvt=6)
 
@@ -184,8 +197,8 @@ def _known_customers(spark, folder):
 def _signals(spark, folder, **options):
     return rounded(
         scalping_signals(
-            m.daily_candles(spark, folder),
-            m.daily_indicators(spark, folder),
+            m.carried_indicators(spark, folder),
+            None,
             m.supplier_instruments(spark, folder),
             counted=m.tick_count_frame(spark, folder),
             **options,
@@ -259,8 +272,8 @@ def market_summary(spark, folder):
     return rounded(
         plain(
             summary.market_summary(
-                m.daily_candles(spark, folder),
-                m.daily_indicators(spark, folder),
+                m.carried_indicators(spark, folder),
+                None,
                 m.supplier_instruments(spark, folder),
                 all_data=True,
                 counted=m.tick_count_frame(spark, folder),
@@ -280,9 +293,7 @@ def market_summary_export(spark, folder):
 
 def _training(spark, folder):
     return features.training_set(
-        m.daily_candles(spark, folder),
-        m.daily_indicators(spark, folder),
-        counted=m.tick_count_frame(spark, folder),
+        m.carried_indicators(spark, folder), None, counted=m.tick_count_frame(spark, folder)
     )
 
 
@@ -335,8 +346,7 @@ def latest_5000_per_instrument(spark, folder):
 
 def ml_scaled(spark, folder):
     matrix = features.feature_matrix(_training(spark, folder))
-    scaled = features.scale(matrix, features.fit_scaler(matrix))
-    return rounded(scaled, **{name: 6 for name in features.FEATURES})
+    return rounded(features.standardized(matrix), **{name: 6 for name in features.FEATURES})
 
 
 def ml_split(spark, folder):
@@ -762,6 +772,7 @@ QUERIES: dict[str, Query] = {
     "indicators_batch": indicators_batch,
     "indicators_trailing100": indicators_trailing100,
     "moving_average": moving_average_20,
+    "moving_average_by_place": moving_average_by_place_,
     "candles_event_time": candles_event_time,
     "candles_1min": candles_1min,
     "candles_daily": candles_daily,

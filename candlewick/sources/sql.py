@@ -1,7 +1,8 @@
 """The query functions for SQL users, over the views of a store.
 
 Spark inlines these functions, so a symbol filters the scans and a row limit becomes a
-top-n. The moving average stays a Python function, as SQL takes no parameter as a frame bound.
+top-n. SQL takes no parameter as a frame bound, so the moving average joins row n of running totals
+with row n - p_window. Views hold no result of a job: making them anew after a write lists files only.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.operators.indicators import price_totals
 from candlewick.operators.signals import OUTPUT, scalping_signals
 from candlewick.schemas import TIMEFRAMES
 from candlewick.sources.store import Store
@@ -34,11 +36,12 @@ def _newest(columns: str, view: str, where: str) -> str:
 
 
 def register_functions(store: Store) -> None:
-    """Register the views of ``store`` and three table functions over them.
+    """Register the views of ``store`` and four table functions over them.
 
     * ``get_latest_scalping_data(p_limit)``
     * ``get_instrument_scalping_data(p_symbol, p_limit)``
     * ``generate_scalping_signals_flexible(p_timeframe, p_symbol, p_limit)``
+    * ``calculate_moving_average(p_instrument_id, p_timeframe, p_window)``
     """
     spark = store.spark
     store.register_views()
@@ -46,11 +49,13 @@ def register_functions(store: Store) -> None:
     def signals_view() -> None:
         signals = [
             scalping_signals(
-                store.candles(timeframe), store.indicators(), store.instruments(), timeframe, limit=None
+                store.candles(timeframe), store.indicators(), store.instruments(), timeframe, limit=None, lazy=True
             ).withColumn("timeframe", F.lit(timeframe))
             for timeframe in TIMEFRAMES
         ]
         reduce(DataFrame.unionByName, signals).createOrReplaceTempView("scalping_signals")
+        totals = [price_totals(store.candles(t)).withColumn("timeframe", F.lit(t)) for t in TIMEFRAMES]
+        reduce(DataFrame.unionByName, totals).createOrReplaceTempView("price_totals")
 
     store.keep_views(signals_view)
     columns = ", ".join(part.split()[0] for part in SCALPING.replace("(18,4)", "").split(", "))
@@ -68,5 +73,14 @@ def register_functions(store: Store) -> None:
             "timeframe = lower(p_timeframe) AND (p_symbol IS NULL OR symbol = p_symbol)",
         ),
     }
+    functions[
+        "calculate_moving_average(p_instrument_id BIGINT, p_timeframe STRING DEFAULT '1min', p_window INT DEFAULT 20) "
+        "RETURNS TABLE (time TIMESTAMP_NTZ, ma DOUBLE)"
+    ] = (
+        "SELECT a.time, try_divide(CAST(a.total - coalesce(b.total, 0) AS DOUBLE), a.known - coalesce(b.known, 0)) AS ma "
+        "FROM price_totals a LEFT JOIN price_totals b ON a.instrument_id = b.instrument_id "
+        "AND a.timeframe = b.timeframe AND a.place = b.place + p_window "
+        "WHERE a.instrument_id = p_instrument_id AND a.timeframe = lower(p_timeframe)"
+    )
     for head, body in functions.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")

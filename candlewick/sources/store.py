@@ -152,7 +152,7 @@ class Store:
         minute, ind, dim = self.candles(), self.indicators(), self.instruments()
         joins.enriched_candles(minute, dim, ind).createOrReplaceTempView("scalping_data")
         filters.first_two_hours(minute).createOrReplaceTempView("first_two_hours_data")
-        summary.market_summary(minute, ind, dim, as_of, all_data).createOrReplaceTempView("market_summary")
+        summary.market_summary(minute, ind, dim, as_of, all_data, lazy=True).createOrReplaceTempView("market_summary")
 
     # -- writing ----------------------------------------------------------------
 

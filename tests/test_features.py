@@ -121,3 +121,26 @@ def test_slice_uses_only_columns_that_exist(spark):
     rows = spark.createDataFrame([("A", 1), ("B", 2)], "symbol string, target int")
     assert ml_slice(rows, symbol="B", strike_price=5).first().target == 2
     assert ml_slice(rows, option_type="CE").count() == 2
+
+
+def test_moments_merge_to_the_scaler(spark):
+    """Daily moments, also merged in parts, give the scaler of all rows; near-constant columns included."""
+    from functools import reduce
+
+    from candlewick.operators import features
+
+    names = features.FEATURES
+    rows = [
+        (i % 3, f"2024-01-{1 + i % 9:02d} 10:{i % 60:02d}:00", *[1e9 + (i * (k + 1)) % 17 if k < 3 else float((i * k) % 23) for k in range(len(names))])
+        for i in range(400)
+    ]
+    kinds = ", ".join(f"{n} double" for n in names)
+    df = spark.createDataFrame(rows, f"instrument_id int, time string, {kinds}").withColumn("time", F.col("time").cast("timestamp_ntz"))
+    want = {(r.instrument_id, r.feature): r for r in features.fit_scaler(df).collect()}
+    days = [features.daily_moments(df.where(F.dayofmonth("time").isin(*part))) for part in ((1, 2, 3), (4,), (5, 6, 7, 8, 9))]
+    got = features.scaler_of_moments(reduce(lambda a, b: a.unionByName(b), days)).collect()
+    assert len(got) == len(want) == 3 * len(names)
+    for r in got:
+        other = want[r.instrument_id, r.feature]
+        assert abs(r["mean"] - other["mean"]) <= 1e-9 * max(1, abs(other["mean"]))
+        assert abs(r["std"] - other["std"]) <= 1e-6

@@ -66,3 +66,32 @@ def test_views_see_later_writes(spark, tmp_path):
     made.append("instruments", spark.createDataFrame([(2, "S2", "stock", None, None, None, None)], INSTRUMENTS))
     assert spark.sql("SELECT * FROM get_latest_scalping_data(70)").count() == 70
     assert spark.sql("SELECT * FROM scalping_signals").count() == 80
+
+
+@pytest.mark.parametrize("timeframe", ["1min", "15sec"])
+@pytest.mark.parametrize("window", [1, 7, 500])
+def test_moving_average(spark, store, timeframe, window):
+    register_functions(store)  # others may have put their own in their place
+    got = spark.sql(f"SELECT * FROM calculate_moving_average(2, '{timeframe}', {window})").collect()
+    closes = [r.close for r in store.candles(timeframe).where("instrument_id = 2").orderBy("time").collect()]
+    found = [r.ma for r in sorted(got)]
+    assert len(found) == len(closes)
+    for i, ma in enumerate(found):
+        own = closes[max(0, i + 1 - window) : i + 1]
+        assert ma == pytest.approx(sum(own) / len(own), rel=1e-9)
+
+
+def test_views_start_no_jobs(spark, tmp_path):
+    """Making the views anew after a write lists files; it computes nothing."""
+    made = Store(spark, str(tmp_path))
+    made.append("instruments", spark.createDataFrame([(1, "S1", "stock", None, None, None, None)], INSTRUMENTS))
+    made.upsert_candles(candle_frame(spark, random_candles(5, {1: 40}, gappy=False)), "1min", order=("time",))
+    register_functions(made)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("views", "views")
+    try:
+        made.refresh_views()
+        assert list(tracker.getJobIdsForGroup("views")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.sql("SELECT * FROM market_summary").count() == 39

@@ -36,6 +36,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str, compact_every: int = 100):
         self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
         self._views: list[Callable[[], None]] = []
+        self._writes_open = 0
 
     # -- reading ---------------------------------------------------------------
 
@@ -143,8 +144,19 @@ class Store:
         self._views.append(register)
 
     def refresh_views(self) -> None:
-        for register in self._views:
-            register()
+        if not self._writes_open:
+            for register in self._views:
+                register()
+
+    @contextmanager
+    def one_refresh(self) -> Iterator[None]:
+        """Make the views anew once, after all writes of the block."""
+        self._writes_open += 1
+        try:
+            yield
+        finally:
+            self._writes_open -= 1
+            self.refresh_views()
 
     def _register(self, as_of: str | datetime | None, all_data: bool) -> None:
         for name in TABLES:

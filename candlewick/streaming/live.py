@@ -186,7 +186,7 @@ def store_and_refresh(store: Store, timeframe: str = "1min") -> Callable[[DataFr
     steps = store_ticks(store, timeframe), refresh_indicators(store, timeframe)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        with store.durable(batch) as held:
+        with store.one_refresh(), store.durable(batch) as held:
             for step in steps:
                 step(held, batch_id)
 

@@ -8,7 +8,7 @@ a group that no shard has room for is cut, into as few shards as hold it. ``law
 sizes are near equal.
 
 Defined cases: a null text has no bytes and counts as an empty one. Rows are placed one by one,
-so repeated ids each get a slot. With fewer rows than shards some shards stay empty. An empty
+so repeated and null ids each get a slot, and a group of them is cut like any other. With fewer rows than shards some shards stay empty. An empty
 table gives an empty result.
 """
 
@@ -91,7 +91,11 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, id_col: str = "doc_id", text
     """(id, size, tokens, text_crc32, shard, slot): where each row goes, and its place there."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     spark = docs.sparkSession
-    rows = stored(docs.select(F.col(id_col).alias("doc_id"), *_weights(text)), "shard-rows")
+    # Written out, so that a row keeps its number, which tells also rows of one id or of none apart.
+    rows = stored(
+        docs.select(F.col(id_col).alias("doc_id"), *_weights(text), F.monotonically_increasing_id().alias("row")),
+        "shard-rows",
+    )
 
     groups = rows.groupBy("grp").agg(
         F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")
@@ -106,7 +110,7 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, id_col: str = "doc_id", text
         (share > HEAVY)
     )
     heavy = stored(heavy, "shard-heavy")
-    piece = F.pmod(F.xxhash64("doc_id"), F.col("pieces"))
+    piece = F.pmod(F.xxhash64("row"), F.col("pieces"))
     bucket = F.pmod(F.xxhash64("grp"), F.lit(BUCKETS))
     items = rows.join(F.broadcast(heavy), "grp", "left").withColumn(
         "item",
@@ -133,8 +137,7 @@ def numbered(put: DataFrame, n_rows: int) -> DataFrame:
     The number of runs follows the number of rows, so no task ranks a whole shard.
     """
     runs = max(1, -(-n_rows // RUN_ROWS)) * 16
-    row = F.xxhash64("doc_id", "text_crc32", "size")
-    put = put.withColumn("run", F.pmod(row, F.lit(runs)))
+    put = put.withColumn("run", F.pmod(F.xxhash64("row"), F.lit(runs)))
     before = (
         put.groupBy("shard", "run").agg(F.count("*").alias("n"))
         .select(
@@ -144,7 +147,7 @@ def numbered(put: DataFrame, n_rows: int) -> DataFrame:
         .select("shard", "run", (F.col("upto") - F.col("n")).alias("before"))
     )
     rank = F.row_number().over(
-        W.partitionBy("shard", "run").orderBy("doc_id", "text_crc32", "size")
+        W.partitionBy("shard", "run").orderBy("doc_id", "text_crc32", "size", "row")
     )
     ranked = put.withColumn("rank", rank)
     return ranked.join(before, ["shard", "run"]).withColumn(

@@ -34,3 +34,19 @@ def test_a_group_without_room_is_cut_into_the_fewest_pieces():
     alone = sharding.pack(np.ones((80, 3)), 8, np.zeros(80))
     assert (np.bincount(alone) == 10).all()
     assert len(sharding.pack(np.zeros((0, 3)), 8, np.array([], str))) == 0
+
+
+def test_null_ids_are_spread(spark):
+    """A hot text whose rows have no id is cut like one whose rows have ids of their own."""
+    from candlewick.llm import sharding
+
+    others = [(i, f"text number {i} " * 6) for i in range(2400)]
+
+    def sizes(ids):
+        rows = [(i, "the same text " * 14) for i in ids] + others
+        placed = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len(placed) == 4000
+        return sorted(sum(r["size"] for r in placed if r["shard"] == k) for k in range(8))
+
+    found = sizes([None] * 1600)
+    assert found == sizes(range(10_000, 11_600)) and found[-1] < 1.2 * found[0]

@@ -1,14 +1,16 @@
 """Substring dedup: paragraphs and passages that repeat across documents.
 
-Two kinds of stretches are looked at. Lines of 50 words or more are paragraphs: MinHash bands of
+Two kinds of stretches are looked at. Lines of 20 words or more are paragraphs: MinHash bands of
 their five-word shingles, with as many bands as the target recall takes, make similar ones
 collide, and all pairs that collide are compared by exact Jaccard similarity. Passages may also
 start in the middle of a line. For these, windows of 32 words start at anchors, the shingle with
 the least hash among any 20 neighbours. Whatever the surroundings, two copies of a passage of
 more than 50 words share an anchor with its whole window, and equal windows are repeats. The
 first shared window starts at most 19 words behind the passage's start, the last ends as many before
-its end: where a run of windows that go begins or ends, stretches longer by 1 to 19 words on that side
-are matched in the same way, so removals reach from the first equal word to the last.
+its end. Where a run of windows that go begins or ends, the 19 words beyond are compared with those of
+the window's first copy; copies that part from it at some word, but alike, are a group of their own
+and compared with the first of these, and so on. Removals thus reach from the first equal word to the
+last. Words beyond windows are compared by 32 bits of their hashes.
 
 Repeats are clustered by connected components. The first stretch of a cluster (smallest id, then
 position) stays, all others are removals, further copies inside the keeping document included;
@@ -16,13 +18,17 @@ overlapping removals of a document are merged. Clusters within a single document
 Documents that share a stretch, directly or through others, are one class. Which stretches are
 shared with which keeper is told by ``members``, as a hot passage makes a class very wide.
 
-Defined cases: null and empty texts have no stretches. Rows of one id are one document. A null id
-is the smallest. Offsets are code points, ends exclusive. Other columns are passed on.
+Defined cases: null and empty texts have no stretches, and an empty table has no rows. Rows of one id
+and one text are one document; different texts of one id, null or not, are different ones, told apart
+by a hash. A null id is the smallest. Texts may be of any length; one is looked at as a whole. Offsets
+are code points, ends exclusive. Other columns, whatever their names, are passed on, and a clashing
+name for the result is an error.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from candlewick.llm.common import free_name, id_back, id_or_lowest, small_batches, stored, texts
+from candlewick.llm.common import discard, free_name, id_back, id_or_lowest, small_batches, stored, texts
 from candlewick.llm.components import components
 from candlewick.llm.jaccard import BLOCK_SHINGLES, SMALL, verified_pairs, with_ids
 from candlewick.llm.shingles import WORDS, digest, mixed, signature, window_codes, word_codes
 
-PARAGRAPH = 50
+PARAGRAPH = 20
 WINDOW = 32
 NEIGHBOURS = 20
 SIMILARITY = 0.8
@@ -101,8 +107,8 @@ def window_keys(codes: np.ndarray, at: np.ndarray, width: int | np.ndarray = WIN
     return keys
 
 
-_SCHEMA = "doc long, one long, two long, start int, end int, n int, bands array<long>"
-_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+_SCHEMA = "doc long, code long, one long, two long, start int, end int, n int, bands array<long>"
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
 
 
 def _key(shingles: np.ndarray) -> tuple[int, int]:
@@ -120,26 +126,31 @@ def _paragraph_sets(words: Words):
         first = last
 
 
+def _rows(batch: pa.RecordBatch):
+    """(doc, code, text) of each row."""
+    return zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), strict=True)
+
+
 def _stretches(bands: int):
     """Windows, without bands, and paragraphs of each text."""
 
     def find(batches):
         for batch in batches:
             found, rows = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
+            for doc, code, text in _rows(batch):
                 words = Words(text)
                 at = anchors(words.codes)
                 if len(at):
                     one, two = window_keys(words.codes, at)
                     start, end = words.start[at].astype(np.int32), words.end[at + WINDOW - 1].astype(np.int32)
-                    found.append((np.full(len(at), doc), one, two, start, end))
+                    found.append((np.full(len(at), doc), np.full(len(at), code), one, two, start, end))
                 for start, end, s in _paragraph_sets(words):
                     keys = _band_keys(signature(s, bands * BAND_ROWS), bands)
-                    rows.append((doc, *_key(s), start, end, len(s), keys))
-            names = ["doc", "one", "two", "start", "end", "n", "bands"]
+                    rows.append((doc, code, *_key(s), start, end, len(s), keys))
+            names = ["doc", "code", "one", "two", "start", "end", "n", "bands"]
             if found:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
-                lacking = [pa.nulls(len(columns[0]), kind) for kind in _KINDS[5:]]
+                lacking = [pa.nulls(len(columns[0]), kind) for kind in _KINDS[6:]]
                 yield pa.record_batch([*columns, *lacking], names)
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], names)
@@ -204,28 +215,37 @@ def _similar(source: DataFrame, paragraphs: DataFrame) -> DataFrame:
         "paragraph-sets",
     )
     found = stored(verified_pairs(dealt.join(sets, "node")), "paragraph-links")
+    for table in (kinds, sizes, placed, sets):
+        discard(table)
     edges = found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     return components(edges)
 
 
-def _across(stretches: DataFrame, keys: list[str], name: str, more: list[str] | None = None) -> DataFrame:
-    """(key, doc, start, end, first) of stretches whose key occurs in two documents or more; ``first`` is
-    (doc, start, end) of the stretch that stays.
+def _place(*more: str) -> Column:
+    return F.struct("doc", "code", "start", "end", *more)
+
+
+def _document(of: str = "") -> Column:
+    return F.struct(F.col(f"{of}doc").alias("doc"), F.col(f"{of}code").alias("code"))
+
+
+def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(key, doc, code, start, end, first) of stretches whose key occurs in two documents or more;
+    ``first`` is (doc, code, start, end) of the stretch that stays.
 
     The keys found are written out, so Spark can split the rows of a common one.
     """
     repeated = stored(
-        stretches.groupBy(*keys).agg(
-            F.min(F.struct("doc", "start", "end")).alias("first"), F.max("doc").alias("high")
-        ).where(F.col("first.doc") < F.col("high")).select(*keys, "first"),
+        stretches.groupBy(*keys).agg(F.min(_place()).alias("first"), F.max(_document()).alias("high"))
+        .where(_document("first.") < F.col("high")).select(*keys, "first"),
         name,
     )
-    return stretches.join(repeated, keys).select(keys[0], *(more or []), "doc", "start", "end", "first")
+    return stretches.join(repeated, keys).select(keys[0], "doc", "code", "start", "end", "first")
 
 
 def _removal() -> Column:
     """The span of a stretch that goes, or null; it leaves alone a first one that it overlaps."""
-    own = F.col("doc") == F.col("first.doc")
+    own = _document() == _document("first.")
     start = F.when(own, F.greatest("start", "first.end")).otherwise(F.col("start"))
     goes = (~own | (F.col("start") != F.col("first.start"))) & (start < F.col("end"))
     return F.when(goes, F.struct(start.alias("start"), "end"))
@@ -257,51 +277,112 @@ def _among(keys: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return np.logical_and(*[(marks[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)) == 1 for p in places])
 
 
-def _longer(shared):
-    """Stretches of a window and 1 to NEIGHBOURS - 1 words before it or behind it.
+_BESIDE = (
+    "doc long, code long, one long, two long, left boolean, start int, end int, words array<int>, reach array<int>"
+)
+
+
+def _beside(shared):
+    """Windows with the words on one side of them: up to NEIGHBOURS - 1, nearest first, and how far
+    each reaches beyond the window.
 
     ``shared`` has the documents to look at and the windows: their first numbers for words before,
     the complements for words behind. Others that slip through cost time and change nothing.
     """
 
     def find(batches):
-        marks = shared.value
+        marks, more = shared.value, np.arange(1, NEIGHBOURS)
         for batch in batches:
-            known = _among(batch.column(2).to_numpy(), marks)
-            part = batch.filter(pa.array(known))
-            found = []
-            for doc, text in zip(part.column(0).to_pylist(), texts(part.column(1)), strict=True):
+            part = batch.filter(pa.array(_among(batch.column(3).to_numpy(), marks)))
+            found, lists = [], []
+            for doc, code, text in _rows(part):
                 words = Words(text)
                 at = anchors(words.codes)
                 if not len(at):
                     continue
-                one, _ = window_keys(words.codes, at)
-                more = np.arange(1, NEIGHBOURS)
-                before, behind = at[_among(one, marks)], at[_among(~one, marks)]
-                base = np.repeat(np.r_[before, behind], len(more))
-                first = np.r_[(before[:, None] - more).ravel(), np.repeat(behind, len(more))]
-                last = np.r_[np.repeat(before, len(more)), (behind[:, None] + more).ravel()] + WINDOW
-                inside = (first >= 0) & (last <= len(words.codes))
-                first, last, base = first[inside], last[inside], base[inside]
-                if len(first):
-                    keys = window_keys(words.codes, first, last - first)
-                    start, end = words.start[first].astype(np.int32), words.end[last - 1].astype(np.int32)
-                    found.append((np.full(len(first), doc), *keys, start, end, words.start[base].astype(np.int32)))
+                one, two = window_keys(words.codes, at)
+                short = (words.codes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                start, end = words.start[at], words.end[at + WINDOW - 1]
+                for left, key in ((True, one), (False, ~one)):
+                    of = np.flatnonzero(_among(key, marks))
+                    beside = at[of, None] - more if left else at[of, None] + WINDOW - 1 + more
+                    inside = (beside >= 0) & (beside < len(short))
+                    beside, owner = beside[inside], np.repeat(of, inside.sum(axis=1))
+                    reach = start[owner] - words.start[beside] if left else words.end[beside] - end[owner]
+                    n = len(of)
+                    found.append((
+                        np.full(n, doc), np.full(n, code), key[of], two[of], np.full(n, left),
+                        start[of].astype(np.int32), end[of].astype(np.int32),
+                    ))
+                    lists.append((inside.sum(axis=1), short[beside], reach.astype(np.int32)))
             if found:
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["doc", "one", "two", "start", "end", "base"]
-                )
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+                sizes, codes, reach = (np.concatenate(c) for c in zip(*lists, strict=True))
+                ends = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                columns += [pa.ListArray.from_arrays(ends, pa.array(values)) for values in (codes, reach)]
+                yield pa.record_batch(columns, ["doc", "code", "one", "two", "left", "start", "end", "words", "reach"])
 
     return find
 
 
+def _alike(rows: DataFrame) -> DataFrame:
+    """``rows`` of groups in two documents or more, with the first of the group and ``k``, the number of
+    nearest words equal to those of the first."""
+    firsts = stored(
+        rows.groupBy("one", "two").agg(F.min(_place("words", "reach")).alias("first"), F.max(_document()).alias("high"))
+        .where(_document("first.") < F.col("high")).drop("high"),
+        "first-besides",
+    )
+    parting = F.array_position(F.zip_with("words", "first.words", lambda x, y: ~x.eqNullSafe(y)), True)
+    joined = rows.join(firsts, ["one", "two"])
+    made = stored(
+        joined.withColumn("k", F.when(parting == 0, F.size("words")).otherwise(parting - 1).cast("int"))
+        .withColumn("first", F.col("first").dropFields("words")),
+        "besides-alike",
+    )
+    discard(firsts)
+    return made
+
+
+def _reaching(alike: DataFrame) -> DataFrame:
+    """(doc, code, start, end, first): the windows made longer by the words that are equal.
+
+    A copy in the document of the first one counts as far as other documents go.
+    """
+    own = _document() == _document("first.")
+    others = alike.where(~own)
+    most = others.groupBy("one", "two").agg(F.max("k").alias("most"))
+    kept = alike.where(own).join(most, ["one", "two"]).withColumn("k", F.least("k", "most")).drop("most")
+    left, k = F.col("left"), F.col("k")
+
+    def place(of: str) -> list[Column]:
+        start, end, reach = F.col(f"{of}start"), F.col(f"{of}end"), F.element_at(F.col(f"{of}reach"), k)
+        return [
+            F.when(left, start - reach).otherwise(start).alias("start"),
+            F.when(left, end).otherwise(end + reach).alias("end"),
+        ]
+
+    first = F.struct(F.col("first.doc").alias("doc"), F.col("first.code").alias("code"), *place("first."))
+    return others.unionByName(kept).where("k > 0").select("doc", "code", *place(""), first.alias("first"))
+
+
+def _parted(alike: DataFrame) -> DataFrame:
+    """Copies that part from the first of their group, grouped by their words up to that place."""
+    prefix = F.slice("words", 1, F.col("k") + 1)
+    return alike.where(F.size("words") > F.col("k")).select(
+        "doc", "code", F.xxhash64("one", prefix).alias("one"), F.xxhash64(prefix, "two").alias("two"),
+        "left", "start", "end", "words", "reach",
+    )
+
+
 def _extended(source: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc, start, end, first) of windows with the equal words next to them, from repeated ``windows``.
+    """(doc, code, start, end, first) of windows with the equal words next to them, from repeated ``windows``.
 
     Within a run of overlapping windows that go, only the outermost need it. All copies of such a
-    window are extended, so the first one of each length is known.
+    window are extended, so the first one of each length is known. Each round takes one word more at
+    least, so there are at most NEIGHBOURS of them, over fewer and fewer rows.
     """
-    by_place = W.partitionBy("doc").orderBy("start", "end")
+    by_place = W.partitionBy("doc", "code").orderBy("start", "end")
     outer = (
         windows.where(_removal().isNotNull())
         .withColumn("before", F.lag("end").over(by_place)).withColumn("behind", F.lead("start").over(by_place))
@@ -311,23 +392,25 @@ def _extended(source: DataFrame, windows: DataFrame) -> DataFrame:
         )
     )
     keys = outer.select(F.explode(F.array("left", "right")).alias("key")).where("key is not null")
-    marks = _bit_set(keys.union(windows.select(F.xxhash64("doc").alias("key"))))
+    marks = _bit_set(keys.union(windows.select(F.xxhash64("doc", "code").alias("key"))))
     shared = source.sparkSession.sparkContext.broadcast(marks)
-    longer = source.select("doc", "text", F.xxhash64("doc").alias("key")).mapInArrow(
-        _longer(shared), "doc long, one long, two long, start int, end int, base int"
-    )
-    repeated = _across(stored(longer, "longer-windows"), ["one", "two"], "repeated-longer-windows", ["base"])
-    # Of those around one window that lie alike in the same document, the outermost ends say all.
-    return repeated.groupBy("doc", "base", F.col("first.doc").alias("keeper"), (F.col("first.start") - F.col("start")).alias("shift")).agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.max("first.end").alias("upto")
-    ).select(
-        "doc", "start", "end",
-        F.struct(F.col("keeper").alias("doc"), (F.col("start") + F.col("shift")).alias("start"), F.col("upto").alias("end")).alias("first"),
+    rows = stored(
+        source.select("doc", "code", "text", F.xxhash64("doc", "code").alias("key")).mapInArrow(_beside(shared), _BESIDE),
+        "besides",
     )
+    found = []
+    while True:
+        alike = _alike(rows)
+        discard(rows)
+        found.append(stored(_reaching(alike), "longer-windows"))
+        rows = stored(_parted(alike), "parted")
+        discard(alike)
+        if rows.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
 _RESULT = (
-    "removed array<struct<start: int, end: int>>, "
+    "n_stretches bigint, removed array<struct<start: int, end: int>>, "
     "members array<struct<start: int, end: int, keeper: bigint, keeper_start: int>>"
 )
 _REMOVED = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -348,67 +431,89 @@ def _joined(spans) -> list[list[int]]:
 
 
 def _merged(spans: pa.Array) -> pa.Array:
-    """What goes, and the stretches by keeper: those that lie alike in it are merged."""
-    removed, members = [], []
+    """How many stretches, what goes, and the stretches by keeper: those that lie alike in it are merged."""
+    n, removed, members = [], [], []
     for value in spans:  # one document at a time
         row = value.as_py()
-        alike: dict[tuple[int, int], list] = {}
+        alike: dict[tuple[int, int, int], list] = {}
         for s in row or ():
-            alike.setdefault((s["keeper"], s["keeper_start"] - s["start"]), []).append((s["start"], s["end"]))
+            alike.setdefault((s["keeper"], s["code"], s["keeper_start"] - s["start"]), []).append((s["start"], s["end"]))
+        n.append(sum(s["kind"] > 0 for s in row or ()))
         gone = _joined((s["cut"], s["end"]) for s in row or () if s["cut"] is not None)
         removed.append([{"start": a, "end": b} for a, b in gone])
         members.append(sorted(
             ({"start": a, "end": b, "keeper": keeper, "keeper_start": a + shift}
-             for (keeper, shift), parts in alike.items() for a, b in _joined(parts)),
+             for (keeper, _, shift), parts in alike.items() for a, b in _joined(parts)),
             key=lambda m: tuple(m.values()),
         ))
-    return pa.StructArray.from_arrays([pa.array(removed, _REMOVED), pa.array(members, _MEMBERS)], ["removed", "members"])
+    columns = [pa.array(n, pa.int64()), pa.array(removed, _REMOVED), pa.array(members, _MEMBERS)]
+    return pa.StructArray.from_arrays(columns, ["n_stretches", "removed", "members"])
+
+
+def _with_code(docs: DataFrame, id_col: str, text_col: str, doc: str = "doc", code: str = "code") -> DataFrame:
+    """``docs`` with the two numbers that name a document: its id and a hash of its text."""
+    return docs.withColumns({doc: id_or_lowest(id_col), code: F.xxhash64(F.col(text_col).cast("string"))})
+
+
+def _name(of: str = "") -> Column:
+    """A document as one value: the 16 bytes of its two numbers."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(f"{of}{c}"), 16, "0") for c in ("doc", "code")]))
 
 
 def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """(doc, class_id, n_stretches, removed, members) for documents with stretches that repeat elsewhere.
+    """(doc, code, class_id, n_stretches, removed, members) for documents with stretches that repeat elsewhere.
 
-    ``class_id`` is the smallest id of the documents connected by shared stretches, ``removed`` the
-    merged spans that go. ``members`` has the spans of all clusters the document is in: where each
-    lies, the document that keeps its first copy (perhaps this one), and where that starts there.
+    ``code`` is the hash of the text, ``class_id`` the smallest id of the documents connected by shared
+    stretches, ``removed`` the merged spans that go. ``members`` has the spans of all clusters the document
+    is in: where each lies, the document that keeps its first copy (perhaps this one), and where that starts.
     """
-    source = small_batches(docs).select(id_or_lowest(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    source = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = _with_code(source, "id", "text").select("doc", "code", "text")
     bands = bands_for(recall, SIMILARITY)
     every = stored(source.mapInArrow(_stretches(bands), _SCHEMA), "all-stretches")
     paragraphs, windows = every.where("bands is not null"), every.where("bands is null")
     labels = stored(_similar(source, paragraphs), "paragraph-labels")
-    labelled = paragraphs.select("doc", "start", "end", _node().alias("node")).join(labels, "node", "left").select(
-        "doc", "start", "end", F.coalesce("label", "node").alias("label")
+    labelled = paragraphs.select("doc", "code", "start", "end", _node().alias("node")).join(labels, "node", "left").select(
+        "doc", "code", "start", "end", F.coalesce("label", "node").alias("label")
     )
+    kind = lambda df, n: df.select("doc", "code", "start", "end", "first", F.lit(n).alias("kind"))
+    alike = stored(kind(_across(labelled, ["label"], "repeated-paragraphs"), 2), "paragraphs")
     windows = stored(
-        _across(windows.select("doc", "one", "two", "start", "end"), ["one", "two"], "repeated-windows"), "windows"
+        _across(windows.select("doc", "code", "one", "two", "start", "end"), ["one", "two"], "repeated-windows"), "windows"
     )
-    own = lambda df, n: df.select("doc", "start", "end", "first", F.lit(n).alias("n"))
-    found = own(_across(labelled, ["label"], "repeated-paragraphs"), 1).union(own(windows, 1)).union(
-        own(_extended(source, windows), 0)
+    discard(every)
+    found = alike.union(kind(windows, 1)).union(kind(_extended(source, windows), 0))
+    links = (
+        found.where("kind > 0").where(_document() != _document("first."))
+        .select(_name().alias("a"), _name("first.").alias("b"), "doc", F.col("first.doc").alias("keeper"))
     )
-    found = stored(found, "stretches")
-    links = found.where("n = 1").select(F.col("doc").alias("a"), F.col("first.doc").alias("b")).where("a != b").distinct()
-    classes = components(links).select(F.col("node").alias("doc"), F.col("label").alias("class_id"))
-    merge = F.arrow_udf(_merged, f"struct<{_RESULT}>")
+    links = stored(links.distinct(), "links")
+    labels = stored(components(links.select("a", "b")), "classes")
+    # The smallest id of a class is that of a keeper.
+    heads = links.join(labels, F.col("b") == F.col("node")).groupBy("label").agg(F.min("keeper").alias("class_id"))
+    classes = labels.join(stored(heads, "heads"), "label").select("node", "class_id")
     span = F.struct(
-        "start", "end", F.col("first.doc").alias("keeper"), F.col("first.start").alias("keeper_start"),
-        _removal()["start"].alias("cut"),
+        "kind", "start", "end", F.col("first.doc").alias("keeper"), F.col("first.code").alias("code"),
+        F.col("first.start").alias("keeper_start"), _removal()["start"].alias("cut"),
     )
-    merged = found.groupBy("doc").agg(F.sum("n").alias("n_stretches"), F.collect_set(span).alias("spans"))
-    return merged.select("doc", "n_stretches", merge("spans").alias("m")).join(classes, "doc").select(
-        "doc", "class_id", "n_stretches", "m.removed", "m.members"
+    merge = F.arrow_udf(_merged, f"struct<{_RESULT}>")
+    merged = found.groupBy("doc", "code").agg(F.collect_set(span).alias("spans"))
+    return (
+        merged.select("doc", "code", _name().alias("node"), merge("spans").alias("m")).join(classes, "node", "left")
+        .select("doc", "code", F.coalesce("class_id", "doc").alias("class_id"), "m.*")
     )
 
 
 def marked_repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
                    text_col: str = "text", name: str = "repeats") -> DataFrame:
     """``docs`` with a struct: class_id, n_stretches, removed and members, for every row."""
-    doc, mark = free_name(docs, "__doc"), free_name(docs, "__mark")
+    if free_name(docs, name) != name:
+        raise ValueError(f"there is a column {name} already")
+    doc, code, mark = (free_name(docs, stem) for stem in ("__doc", "__code", "__mark"))
     found = repeats(docs, recall=recall, id_col=id_col, text_col=text_col)
-    marks = found.select(F.col("doc").alias(doc), F.struct("class_id", "n_stretches", "removed", "members").alias(mark))
-    joined = docs.withColumn(doc, id_or_lowest(id_col)).join(marks, doc, "left")
+    marks = found.select(F.col("doc").alias(doc), F.col("code").alias(code), F.struct("class_id", "n_stretches", "removed", "members").alias(mark))
+    joined = _with_code(docs, id_col, text_col, doc, code).join(marks, [doc, code], "left")
     m = F.col(mark)
     none = F.array().cast("array<struct<start: int, end: int>>")
     return joined.withColumn(

@@ -105,3 +105,50 @@ def test_classes_are_connected_and_members_tell_the_clusters(spark):
     assert has(901, body, 900) and has(900, body, 900) and has(20, other, 5)
     assert all(has(d, licence, 5) for d in (5, 700, 900, 901))
     assert {m["keeper"] for m in marks[700]["members"]} == {5}
+
+
+def test_different_texts_of_one_id_are_different_documents(spark):
+    """Null ids too; what goes is cut from the row it was found in, and classes are not joined by an id."""
+    shared, other = run("shared", 60), run("other", 60)
+    rows = [
+        (1, f"{run('a', 9)} {shared} {run('b', 9)}"),
+        (5, "three unique words"),
+        (5, f"{run('c', 30)} {shared} {run('d', 3)}"),
+        (None, f"{run('e', 7)} {other}"),
+        (None, f"{run('f', 70)}"),
+        (9, f"{other} {run('g', 40)}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(r["text"] for r in passages.without_repeats(docs).collect())
+    assert left == sorted(
+        [rows[0][1], rows[1][1], rows[2][1].replace(shared, ""), rows[3][1], rows[4][1], f" {run('g', 40)}"]
+    )
+    classes = {(r["doc_id"], r["text"]): r["repeats"]["class_id"] for r in passages.marked_repeats(docs).collect()}
+    assert [classes[r] for r in rows] == [1, 5, 1, None, None, None]
+
+
+def test_equal_words_beyond_windows_are_found_in_groups_that_part(spark):
+    """Many copies of a core with longer and longer equal surroundings; the first holds the core alone."""
+    core, before, behind = run("core", 50), run("u", 4).split(), run("v", 4).split()
+    texts = {0: f"{run('x', 40)} {core} {run('y', 40)}"}
+    for i in range(1, 5):
+        for copy in range(2):
+            doc = 2 * i + copy
+            texts[doc] = " ".join([run(f"l{doc}_", 20), *before[4 - i :], core, *behind[:i], run(f"r{doc}_", 20)])
+    marks = found(spark, list(texts.items()))
+    for i in range(1, 5):
+        longest = max(i - 1, 0)  # the first copy of this length keeps its outermost words
+        whole = " ".join([*before[4 - i :], core, *behind[:i]])
+        inner = " ".join([*before[4 - longest :], core, *behind[:longest]]) if longest else core
+        assert covers(marks[2 * i], texts[2 * i], inner) and not covers(marks[2 * i], texts[2 * i], whole)
+        assert covers(marks[2 * i + 1], texts[2 * i + 1], whole)
+        (span,) = marks[2 * i + 1]["removed"]
+        assert span["end"] - span["start"] == len(whole)
+
+
+def test_lines_of_twenty_words_are_paragraphs(spark):
+    line = run("line", 24)
+    rows = [(i, f"{run(f'a{i}_', 30)}\n{line} tail{i}") for i in range(4)] + [(9, run("b", 60))]
+    marks = found(spark, rows)
+    assert [marks[i]["n_stretches"] > 0 for i in (0, 1, 2, 3, 9)] == [True] * 4 + [False]
+    assert all(covers(marks[i], rows[i][1], line) for i in (1, 2, 3)) and marks[0]["removed"] == []

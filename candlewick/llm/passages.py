@@ -71,19 +71,19 @@ class Words:
         point = np.cumsum(np.r_[0, (data & 0xC0) != 0x80])  # code points before each byte
         self.start, self.end = point[first], point[last]
         self.codes = word_codes(text.lower().split())
+        self.shingles = window_codes(self.codes, WORDS)
         feeds = np.flatnonzero(data == 0x0A)
         #: Words before the end of each line.
         self.line_ends = np.r_[np.searchsorted(first, feeds), len(first)]
 
 
-def anchors(codes: np.ndarray) -> np.ndarray:
+def anchors(words: Words) -> np.ndarray:
     """Words at which windows start: shingles with the least hash among their neighbours."""
-    shingles = window_codes(codes, WORDS) if len(codes) >= WINDOW else codes[:0]
-    if len(shingles) < NEIGHBOURS:
+    if len(words.codes) < WINDOW:
         return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(shingles, NEIGHBOURS)
+    views = np.lib.stride_tricks.sliding_window_view(words.shingles, NEIGHBOURS)
     at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    return at[at <= len(codes) - WINDOW]
+    return at[at <= len(words.codes) - WINDOW]
 
 
 #: Odd numbers whose powers weigh the words of a window, once for each half of its key.
@@ -122,7 +122,7 @@ def _paragraph_sets(words: Words):
     first = 0
     for last in words.line_ends.tolist():
         if last - first >= PARAGRAPH:
-            yield int(words.start[first]), int(words.end[last - 1]), np.unique(window_codes(words.codes[first:last], WORDS))
+            yield int(words.start[first]), int(words.end[last - 1]), np.unique(words.shingles[first : last - WORDS + 1])
         first = last
 
 
@@ -136,34 +136,36 @@ def _stretches(bands: int):
 
     def find(batches):
         for batch in batches:
-            found, rows = [], []
+            found, rows, signatures = [], [], []
             for doc, code, text in _rows(batch):
                 words = Words(text)
-                at = anchors(words.codes)
+                at = anchors(words)
                 if len(at):
                     one, two = window_keys(words.codes, at)
                     start, end = words.start[at].astype(np.int32), words.end[at + WINDOW - 1].astype(np.int32)
                     found.append((np.full(len(at), doc), np.full(len(at), code), one, two, start, end))
                 for start, end, s in _paragraph_sets(words):
-                    keys = _band_keys(signature(s, bands * BAND_ROWS), bands)
-                    rows.append((doc, code, *_key(s), start, end, len(s), keys))
+                    rows.append((doc, code, *_key(s), start, end, len(s)))
+                    signatures.append(signature(s, bands * BAND_ROWS))
             names = ["doc", "code", "one", "two", "start", "end", "n", "bands"]
             if found:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
                 lacking = [pa.nulls(len(columns[0]), kind) for kind in _KINDS[6:]]
                 yield pa.record_batch([*columns, *lacking], names)
             if rows:
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], names)
+                columns = [*zip(*rows, strict=True), _band_keys(np.stack(signatures), bands)]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names)
 
     return find
 
 
-def _band_keys(sig: np.ndarray, bands: int) -> list[int]:
-    parts = sig.astype(np.uint64).reshape(bands, BAND_ROWS)
-    key = np.arange(bands, dtype=np.uint64)
-    for column in parts.T:
-        key = mixed(key ^ column)
-    return key.view(np.int64).tolist()
+def _band_keys(signatures: np.ndarray, bands: int) -> list[list[int]]:
+    """The keys of the bands of each signature."""
+    parts = signatures.astype(np.uint64).reshape(len(signatures), bands, BAND_ROWS)
+    keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), parts.shape[:2])
+    for k in range(BAND_ROWS):
+        keys = mixed(keys ^ parts[:, :, k])
+    return keys.view(np.int64).tolist()
 
 
 def _node() -> Column:
@@ -297,7 +299,7 @@ def _beside(shared):
             found, lists = [], []
             for doc, code, text in _rows(part):
                 words = Words(text)
-                at = anchors(words.codes)
+                at = anchors(words)
                 if not len(at):
                     continue
                 one, two = window_keys(words.codes, at)
@@ -419,35 +421,53 @@ _MEMBERS = pa.list_(
 )
 
 
-def _joined(spans) -> list[list[int]]:
-    """Spans with those that overlap or touch made one."""
-    out: list[list[int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return out
+def _joined(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans with those of a group that overlap or touch made one: the places of their first ones, given
+    the order by group and start, their starts and their ends."""
+    upto = np.maximum.accumulate((group << 32) + end)
+    first = np.flatnonzero(np.r_[True, (group[1:] << 32) + start[1:] > upto[:-1]][: len(start)])
+    last = np.r_[first[1:], len(start)][: len(first)] - 1
+    return first, start[first], upto[last] - (group[last] << 32)
+
+
+def _numbers(*columns: np.ndarray) -> np.ndarray:
+    """For sorted rows the number of the group of equal ones each is in."""
+    new = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.r_[0, np.cumsum(new)][: len(columns[0])].astype(np.int64)
+
+
+def _lists(rows: np.ndarray, n: int, kind: pa.ListType, **fields: np.ndarray) -> pa.ListArray:
+    """One list of structs for each of ``n`` rows, from items in the order of their rows."""
+    values = [pa.array(fields[f.name]).cast(f.type) for f in kind.value_type]
+    ends = np.r_[0, np.cumsum(np.bincount(rows, minlength=n))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(values, fields=list(kind.value_type)))
 
 
 def _merged(spans: pa.Array) -> pa.Array:
     """How many stretches, what goes, and the stretches by keeper: those that lie alike in it are merged."""
-    n, removed, members = [], [], []
-    for value in spans:  # one document at a time
-        row = value.as_py()
-        alike: dict[tuple[int, int, int], list] = {}
-        for s in row or ():
-            alike.setdefault((s["keeper"], s["code"], s["keeper_start"] - s["start"]), []).append((s["start"], s["end"]))
-        n.append(sum(s["kind"] > 0 for s in row or ()))
-        gone = _joined((s["cut"], s["end"]) for s in row or () if s["cut"] is not None)
-        removed.append([{"start": a, "end": b} for a, b in gone])
-        members.append(sorted(
-            ({"start": a, "end": b, "keeper": keeper, "keeper_start": a + shift}
-             for (keeper, _, shift), parts in alike.items() for a, b in _joined(parts)),
-            key=lambda m: tuple(m.values()),
-        ))
-    columns = [pa.array(n, pa.int64()), pa.array(removed, _REMOVED), pa.array(members, _MEMBERS)]
-    return pa.StructArray.from_arrays(columns, ["n_stretches", "removed", "members"])
+    n, flat = len(spans), spans.flatten()
+    row = np.repeat(np.arange(n), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    kind, start, end, keeper, code, there = (
+        flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64)
+        for f in ("kind", "start", "end", "keeper", "code", "keeper_start")
+    )
+    goes = flat.field("cut").is_valid().to_numpy(zero_copy_only=False)
+    cut = flat.field("cut").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    order = np.lexsort((end[goes], cut[goes], row[goes]))
+    gone = row[goes][order]
+    first, a, b = _joined(gone, cut[goes][order], end[goes][order])
+    removed = _lists(gone[first], n, _REMOVED, start=a, end=b)
+
+    shift = there - start
+    order = np.lexsort((end, start, shift, code, keeper, row))
+    row_, keeper, shift = row[order], keeper[order], shift[order]
+    first, a, b = _joined(_numbers(row_, keeper, code[order], shift), start[order], end[order])
+    of, keeper, there = row_[first], keeper[first], a + shift[first]
+    order = np.lexsort((there, keeper, b, a, of))
+    members = _lists(of[order], n, _MEMBERS, start=a[order], end=b[order], keeper=keeper[order], keeper_start=there[order])
+    counts = np.bincount(row[kind > 0], minlength=n)
+    return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), removed, members], ["n_stretches", "removed", "members"])
 
 
 def _with_code(docs: DataFrame, id_col: str, text_col: str, doc: str = "doc", code: str = "code") -> DataFrame:

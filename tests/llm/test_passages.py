@@ -152,3 +152,42 @@ def test_lines_of_twenty_words_are_paragraphs(spark):
     marks = found(spark, rows)
     assert [marks[i]["n_stretches"] > 0 for i in (0, 1, 2, 3, 9)] == [True] * 4 + [False]
     assert all(covers(marks[i], rows[i][1], line) for i in (1, 2, 3)) and marks[0]["removed"] == []
+
+
+def test_spans_are_merged_as_one_by_one():
+    import random
+
+    import pyarrow as pa
+
+    def joined(spans):
+        out = []
+        for a, b in sorted(spans):
+            if out and a <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], b)
+            else:
+                out.append([a, b])
+        return out
+
+    draw = random.Random(5)
+    fields = ("kind", "start", "end", "keeper", "code", "keeper_start")
+    kind = pa.list_(pa.struct([*[(f, pa.int64()) for f in fields], ("cut", pa.int64())]))
+    rows = []
+    for size in [0, *[draw.randint(0, 12) for _ in range(300)], 0]:
+        rows.append([])
+        for _ in range(size):
+            at, n, keeper = draw.randint(0, 40), draw.randint(1, 9), draw.choice([-(2**63), 1, 2])
+            rows[-1].append(dict(
+                kind=draw.randint(0, 2), start=at, end=at + n, keeper=keeper, code=draw.choice([-7, 7]),
+                keeper_start=at + draw.randint(-1, 1), cut=draw.choice([None, at, at + n - 1]),
+            ))
+    made = passages._merged(pa.array(rows, kind)).to_pylist()
+    for row, got in zip(rows, made, strict=True):
+        alike = {}
+        for s in row:
+            alike.setdefault((s["keeper"], s["code"], s["keeper_start"] - s["start"]), []).append((s["start"], s["end"]))
+        members = sorted((a, b, k, a + shift) for (k, _, shift), parts in alike.items() for a, b in joined(parts))
+        assert got["n_stretches"] == sum(s["kind"] > 0 for s in row)
+        assert [[x["start"], x["end"]] for x in got["removed"]] == joined((s["cut"], s["end"]) for s in row if s["cut"] is not None)
+        assert [tuple(m.values()) for m in got["members"]] == members
+    assert passages._merged(pa.array([], kind)).to_pylist() == []
+    assert passages._merged(pa.array([[]], kind)).to_pylist() == [{"n_stretches": 0, "removed": [], "members": []}]

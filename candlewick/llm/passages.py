@@ -284,6 +284,18 @@ _BESIDE = (
 )
 
 
+def _inside_runs(at: np.ndarray, one: np.ndarray, step: int) -> np.ndarray:
+    """Whether two equal windows, each overlapping or touching the next, lie on one side of a window.
+
+    ``step`` is 1 for the side before it. This is so inside a run of words that repeat with a short period.
+    """
+    order = np.argsort(one, kind="stable")[::step]
+    near = (one[order][1:] == one[order][:-1]) & (np.abs(np.diff(at[order])) <= WINDOW)
+    inside = np.zeros(len(at), bool)
+    inside[order[2:][near[1:] & near[:-1]]] = True
+    return inside
+
+
 def _beside(shared):
     """Windows with the words on one side of them: up to NEIGHBOURS - 1, nearest first, and how far
     each reaches beyond the window.
@@ -306,7 +318,7 @@ def _beside(shared):
                 short = (words.codes >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 start, end = words.start[at], words.end[at + WINDOW - 1]
                 for left, key in ((True, one), (False, ~one)):
-                    of = np.flatnonzero(_among(key, marks))
+                    of = np.flatnonzero(_among(key, marks) & ~_inside_runs(at, one, 1 if left else -1))
                     beside = at[of, None] - more if left else at[of, None] + WINDOW - 1 + more
                     inside = (beside >= 0) & (beside < len(short))
                     beside, owner = beside[inside], np.repeat(of, inside.sum(axis=1))
@@ -381,7 +393,9 @@ def _extended(source: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc, code, start, end, first) of windows with the equal words next to them, from repeated ``windows``.
 
     Within a run of overlapping windows that go, only the outermost need it. All copies of such a
-    window are extended, so the first one of each length is known. Each round takes one word more at
+    window are extended, so the first one of each length is known; but of equal windows that overlap, as
+    where few words repeat over and over, the outermost two: others are covered by these and have no words
+    beside them that these lack. Each round takes one word more at
     least, so there are at most NEIGHBOURS of them, over fewer and fewer rows.
     """
     by_place = W.partitionBy("doc", "code").orderBy("start", "end")

@@ -332,6 +332,19 @@ PLAIN_TICKS = (
 
 WANTED_SYMBOL = "'BANKNIFTY_20050PE-28MAR2024'"
 
+JSON_TICKS = f"""WITH{ENVELOPES}
+SELECT seq, event_type || '.x' AS symbol,
+       CASE seq % 6 WHEN 0 THEN whole WHEN 1 THEN whole - INTERVAL 330 MINUTE WHEN 2 THEN ts WHEN 3 THEN ts
+                    WHEN 4 THEN TIMESTAMP '2024-02-03 04:05:06' ELSE whole END AS time,
+       CASE seq % 6 WHEN 4 THEN 0 WHEN 5 THEN NULL ELSE value END AS open,
+       CASE WHEN seq % 6 IN (4, 5) THEN 0 ELSE value END AS high,
+       CASE WHEN seq % 6 IN (4, 5) THEN 0 ELSE value END AS low,
+       value AS close,
+       CASE WHEN seq % 6 IN (0, 3) THEN k ELSE 0 END AS volume,
+       CASE seq % 6 WHEN 1 THEN k WHEN 3 THEN 9 END AS open_interest,
+       CASE WHEN seq % 6 = 5 THEN 'unreadable number' END AS reject_reason
+FROM ev"""
+
 ORACLES: dict[str, str] = {
     "obv": one_indicator("obv", None),
     "rsi_14": one_indicator("rsi", 6),
@@ -495,18 +508,8 @@ FROM known
 UNION ALL SELECT instrument_id, symbol, 'stock', NULL, NULL, NULL, TIMESTAMP '2024-01-31' FROM fresh""",
     "instrument_get_or_create": f"""WITH{CUSTOMER_INSTRUMENTS} SELECT * FROM known
 UNION ALL SELECT instrument_id, symbol, 'index', NULL, NULL, NULL, TIMESTAMP '2024-01-31' FROM fresh""",
-    "json_tick_decode": f"""WITH{ENVELOPES}
-SELECT seq, event_type || '.x' AS symbol,
-       CASE seq % 6 WHEN 0 THEN whole WHEN 1 THEN whole - INTERVAL 330 MINUTE WHEN 2 THEN ts WHEN 3 THEN ts
-                    WHEN 4 THEN TIMESTAMP '2024-02-03 04:05:06' ELSE whole END AS time,
-       CASE seq % 6 WHEN 4 THEN 0 WHEN 5 THEN NULL ELSE value END AS open,
-       CASE WHEN seq % 6 IN (4, 5) THEN 0 ELSE value END AS high,
-       CASE WHEN seq % 6 IN (4, 5) THEN 0 ELSE value END AS low,
-       value AS close,
-       CASE WHEN seq % 6 IN (0, 3) THEN k ELSE 0 END AS volume,
-       CASE seq % 6 WHEN 1 THEN k WHEN 3 THEN 9 END AS open_interest,
-       CASE WHEN seq % 6 = 5 THEN 'unreadable number' END AS reject_reason
-FROM ev""",
+    "json_tick_decode": JSON_TICKS,
+    "channel_log_ticks": JSON_TICKS,
     "csv_tick_decode": f"""WITH{ENVELOPES}
 SELECT seq, event_type AS symbol, date_trunc('minute', ts) AS time, value AS open, value AS high, value AS low,
        value AS close, k AS volume, CASE WHEN seq % 7 = 0 THEN NULL ELSE k END AS open_interest

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from candlewick.operators.indicators import (
 from candlewick.operators.resample import arrival_candles, candles
 from candlewick.operators.signals import of_type, scalping_signals, signal_counts, signal_rows
 from candlewick.plans import mapping as m
-from candlewick.sources import files
+from candlewick.sources import files, folders
+from candlewick.streaming import channel_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -538,6 +540,17 @@ def json_tick_decode(spark, folder):
     return decode_ticks(_json_envelopes(spark, folder))
 
 
+def channel_log_ticks(spark, folder):
+    """The same ticks written as channel logs and taken from these by a stream, in slices."""
+    root = f"{folders.shared(spark)}/channel-log-{uuid4().hex}"
+    line = F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    _json_envelopes(spark, folder).select(line).write.text(f"{root}/log")
+    ticks = decode_ticks(channel_log.envelopes(channel_log.log_lines(spark, f"{root}/log", slice_bytes=1 << 20)))
+    sink = ticks.writeStream.format("parquet").option("path", f"{root}/ticks").option("checkpointLocation", f"{root}/state")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(ticks.schema).parquet(f"{root}/ticks")
+
+
 def _csv_envelopes(spark, folder):
     """Events as positional ticks: unpadded clocks, absent interest, short and broken rows."""
     way = F.col("event_id") % 7
@@ -825,6 +838,7 @@ QUERIES: dict[str, Query] = {
     "instrument_upsert": instrument_upsert,
     "instrument_get_or_create": instrument_get_or_create,
     "json_tick_decode": json_tick_decode,
+    "channel_log_ticks": channel_log_ticks,
     "csv_tick_decode": csv_tick_decode,
     "tick_quarantine": tick_quarantine,
     "upsert_last_wins": upsert_last_wins,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from functools import cache
+
 from pyspark.sql import SparkSession
 
 
@@ -61,3 +64,16 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a folder; 0 when it is absent."""
     system, target = _file_system(spark, path)
     return system.getContentSummary(target).getLength() if system.exists(target) else 0
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"candlewick-{application}-")
+
+
+def shared(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a local master may lack it."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return given or _local_folder(spark.sparkContext.applicationId)

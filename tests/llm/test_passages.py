@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from candlewick.llm import passages
 
 
@@ -146,6 +148,29 @@ def test_equal_words_beyond_windows_are_found_in_groups_that_part(spark):
         assert span["end"] - span["start"] == len(whole)
 
 
+def test_runs_of_few_words_that_repeat_go_whole(spark):
+    """Of equal windows that overlap only the outermost are extended, and no word of a shared run stays."""
+    rows, planted = [], []
+    for period in (1, 3, 7, 25):
+        words = run(f"p{period}_", period).split() * 120
+        for copy, (shift, n) in enumerate([(0, 100), (0, 64), (min(2, period - 1), 71), (0, 100)]):
+            doc, part = 10 * period + copy, " ".join(words[shift : shift + n])
+            rows.append((doc, f"{run(f'x{doc}_', 23)} {part} {run(f'y{doc}_', 23)}"))
+            planted += [(doc, part)] if copy else []
+    texts, marks = dict(rows), found(spark, rows)
+    for doc, part in planted:
+        (span,) = marks[doc]["removed"]
+        assert (span["start"], span["end"]) == (texts[doc].index(part), texts[doc].index(part) + len(part)), doc
+
+
+def test_windows_inside_runs():
+    at = np.array([0, 3, 10, 13, 16, 40, 80, 90])
+    key = np.array([5, 9, 5, 9, 5, 5, 5, 5])
+    before, behind = passages._inside_runs(at, key, 1), passages._inside_runs(at, key, -1)
+    assert at[before].tolist() == [16, 40] and at[behind].tolist() == [0, 10]
+    assert not passages._inside_runs(at[:0], key[:0], 1).any() and not passages._inside_runs(at[:1], key[:1], -1).any()
+
+
 def test_lines_of_twenty_words_are_paragraphs(spark):
     line = run("line", 24)
     rows = [(i, f"{run(f'a{i}_', 30)}\n{line} tail{i}") for i in range(4)] + [(9, run("b", 60))]

@@ -41,26 +41,36 @@ def read_lines(spark: SparkSession, path: str | list[str], suffix: str | None =
 
 
 def _fields(line: Column) -> Column:
-    """The fields of a CSV line; quotes around a field are taken off."""
+    """The fields of a CSV line; quotes around a field are taken off. A line without any is only split."""
     bare = F.transform(F.split(line, _COMMA), lambda f: F.regexp_replace(f, r'^\s*"(.*)"\s*$', "$1"))
-    return F.transform(bare, lambda f: F.replace(f, F.lit('""'), F.lit('"')))
+    unquoted = F.transform(bare, lambda f: F.replace(f, F.lit('""'), F.lit('"')))
+    return F.when(F.contains(line, F.lit('"')), unquoted).otherwise(F.split(line, ","))
 
 
 def with_headers(lines: DataFrame) -> DataFrame:
     """Data lines as ``fields`` beside the ``header`` of their file, an array of names.
 
-    The header is the first line of a file. Blank lines are no rows.
+    The header is the first line of a file. Blank lines are no rows. Headers are split once a file and
+    sent to the lines, which stay where they were read: files are few enough for the driver to list them,
+    while all lines of a file would meet in one task.
     """
-    first = (
+    first = F.broadcast(
+        lines.where(F.col("source_block") == 0).groupBy("source_path").agg(F.min("source_row").alias("_header_row"))
+    )
+    heads = (
         lines.where(F.col("source_block") == 0)
-        .groupBy("source_path")
-        .agg(F.min_by("value", "source_row").alias("_header"), F.min("source_row").alias("_header_row"))
+        .join(first, "source_path")
+        .where(F.col("source_row") == F.col("_header_row"))
+        .groupBy("source_path", "_header_row")
+        .agg(F.min("value").alias("_header"))
     )
     clean = F.transform(_fields(F.ltrim(F.col("_header"), F.lit("\ufeff"))), F.trim)
+    # One test of both sides, which is not pushed below the join, where it would make every line twice.
+    row = F.when(F.col("source_row") != F.col("_header_row"), F.col("value"))
     return (
-        lines.join(first, "source_path")
-        .where((F.col("source_row") != F.col("_header_row")) & (F.trim("value") != ""))
-        .select("source_path", *ROW_ORDER, clean.alias("header"), _fields(F.col("value")).alias("fields"))
+        lines.join(F.broadcast(heads.select("source_path", "_header_row", clean.alias("header"))), "source_path")
+        .where(F.trim(row) != "")
+        .select("source_path", *ROW_ORDER, "header", _fields(F.col("value")).alias("fields"))
     )
 
 
@@ -98,27 +108,30 @@ def parse_candles(raw: DataFrame) -> DataFrame:
     def empty(name):
         return F.coalesce(F.col(name), F.lit("")) == ""
 
-    volume = F.when(empty("Volume"), F.lit(0)).otherwise(whole(F.col("Volume")))
-    interest = F.when(~empty("OI"), whole(F.col("OI")))
+    # Columns first and the reason from these: each reading is made once for both.
+    typed = raw.select(
+        F.col("Ticker").alias("symbol"),
+        time.alias("time"),
+        *[price.alias(name) for name, price in prices.items()],
+        F.when(empty("Volume"), F.lit(0)).otherwise(whole(F.col("Volume"))).alias("volume"),
+        F.when(~empty("OI"), whole(F.col("OI"))).alias("open_interest"),
+        (~empty("OI")).alias("_has_interest"),
+        "missing",
+        *ROW_ORDER,
+    )
     reason = (
         F.when(F.size("missing") > 0, F.concat(F.lit("no column "), F.array_join("missing", ", ")))
-        .when(empty("Ticker"), "no symbol")
-        .when(time.isNull(), "unreadable time")
+        .when(F.coalesce("symbol", F.lit("")) == "", "no symbol")
+        .when(F.col("time").isNull(), "unreadable time")
         .when(
-            F.greatest(*[price.isNull() for price in prices.values()])
-            | volume.isNull()
-            | (~empty("OI") & interest.isNull()),
+            F.greatest(*[F.col(name).isNull() for name in prices])
+            | F.col("volume").isNull()
+            | (F.col("_has_interest") & F.col("open_interest").isNull()),
             "unreadable number",
         )
     )
-    return raw.select(
-        F.col("Ticker").alias("symbol"),
-        time.alias("time"),
-        *[price.alias(name) for name, price in prices.items()],
-        volume.alias("volume"),
-        interest.alias("open_interest"),
-        reason.alias("reject_reason"),
-        *ROW_ORDER,
+    return typed.select(
+        "symbol", "time", *prices, "volume", "open_interest", reason.alias("reject_reason"), *ROW_ORDER
     )
 
 

@@ -16,8 +16,10 @@ from candlewick.sources.files import (
     parse_candles,
     read_candle_csv,
     read_dataset,
+    read_lines,
     read_requests,
     read_tickers,
+    with_headers,
 )
 from candlewick.sources.importing import import_candles
 from candlewick.sources.store import Store
@@ -64,6 +66,28 @@ def test_candle_files(spark, folder):
     assert tuple(import_counts(parsed).first()) == (1, 1)
 
 
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quotes_blanks_and_headers_of_a_file(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('\ufeffA,"B",C\n\n  \n"x,1",say ""no"",\n1,2\n')
+    rows = with_headers(read_lines(spark, str(tmp_path))).orderBy("source_row").collect()
+    assert [r.header for r in rows] == [["A", "B", "C"]] * 2
+    assert [r.fields for r in rows] == [["x,1", 'say "no"', ""], ["1", "2"]]
+
+
+def test_lines_are_neither_sorted_nor_shuffled_for_their_headers(spark):
+    """Of lines that are too many to be broadcast by their size; all of a file would meet in one task."""
+    lines = spark.range(10**9).select(
+        F.concat_ws(",", "id", F.lit("x")).alias("value"), F.lit("a").alias("source_path"),
+        F.lit("a").alias("source_file"), F.lit(0).cast("long").alias("source_block"), F.col("id").alias("source_row"),
+    )
+    plan = _plan(with_headers(lines))
+    assert "SortMergeJoin" not in plan and "min_by" not in plan
+    assert plan.count("concat_ws") == 2
+
+
 def test_import_keeps_the_first_row_of_a_key(spark, folder, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     import_candles(store, str(folder), as_of="2024-04-01")

@@ -137,7 +137,8 @@ def parse_candles(raw: DataFrame) -> DataFrame:
 
 def whole_files(parsed: DataFrame) -> DataFrame:
     """``parsed`` without any file that holds an unusable row."""
-    bad = parsed.where(F.col("reject_reason").isNotNull()).select("source_file").distinct()
+    # Counted, not filtered: a filter on the reason would repeat the reading of a line for every field it names.
+    bad = file_counts(parsed).where(F.col("rejected") > 0).select("source_file")
     return parsed.join(bad, "source_file", "left_anti")
 
 

@@ -9,16 +9,19 @@ from candlewick.operators.instruments import option_chain, relevant_tickers, ups
 from candlewick.schemas import CANDLES, INSTRUMENTS
 from candlewick.sources.exports import read_split, to_csv, to_json, training_tables, validation_report
 from candlewick.sources.files import (
+    CANDLE_FILE,
     TICKER_ORDER,
     combine_csvs,
     file_counts,
     import_counts,
+    named_fields,
     parse_candles,
     read_candle_csv,
     read_dataset,
     read_lines,
     read_requests,
     read_tickers,
+    whole_files,
     with_headers,
 )
 from candlewick.sources.importing import import_candles
@@ -104,6 +107,14 @@ def test_import_keeps_the_first_row_of_a_key(spark, folder, tmp_path):
     assert {r.symbol: r for r in store.instruments().collect()} == named
 
 
+def test_the_search_for_broken_files_reads_each_line_once(spark, folder):
+    parsed = parse_candles(named_fields(with_headers(read_lines(spark, str(folder))), CANDLE_FILE))
+    whole = whole_files(parsed)
+    assert {r.source_file for r in whole.collect()} == {"a.csv", "combined_master.csv"}
+    # Of the lines, for the rows and for the search, and of their headers, each with and without quotes.
+    assert _plan(whole_files(parsed)).count("split(") <= 8
+
+
 def test_import_of_whole_files_only(spark, folder, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     import_candles(store, str(folder), only_whole_files=True)

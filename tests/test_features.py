@@ -15,6 +15,7 @@ from candlewick.operators.features import (
     fitting_rows,
     ml_slice,
     scale,
+    standardized,
     training_set,
 )
 from candlewick.operators.indicators import indicators
@@ -144,3 +145,11 @@ def test_moments_merge_to_the_scaler(spark):
         other = want[r.instrument_id, r.feature]
         assert abs(r["mean"] - other["mean"]) <= 1e-9 * max(1, abs(other["mean"]))
         assert abs(r["std"] - other["std"]) <= 1e-6
+
+
+def test_scaling_shuffles_no_matrix_that_lies_by_instrument(spark):
+    columns = [F.rand(i).alias(name) for i, name in enumerate(FEATURES)]
+    rows = spark.range(10**9).select((F.col("id") % 1000).alias("instrument_id"), F.col("id").alias("time"), F.lit(1).alias("target"), *columns)
+    plan = standardized(rows.repartition("instrument_id"))._jdf.queryExecution().executedPlan().toString()
+    # The two made above, which are one when the columns below are the same.
+    assert plan.count("Exchange ") == 2 and "ENSURE_REQUIREMENTS" not in plan

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ from pyspark.sql import Window as W
 
 from candlewick.llm.common import discard, free_name, id_back, id_or_lowest, small_batches, stored, texts
 from candlewick.llm.components import components
-from candlewick.llm.jaccard import BLOCK_SHINGLES, SMALL, verified_pairs, with_ids
-from candlewick.llm.shingles import WORDS, digest, mixed, signature, window_codes, word_codes
+from candlewick.llm.jaccard import BLOCK_SHINGLES, SMALL, verified_pairs
+from candlewick.llm.shingles import WORDS, digest, mixed, signatures, window_codes, word_codes
 
 PARAGRAPH = 20
 WINDOW = 32
@@ -47,8 +48,10 @@ NEIGHBOURS = 20
 SIMILARITY = 0.8
 RECALL = 0.99
 BAND_ROWS = 3
-#: At most so many bits mark the windows that are extended: 32 MB.
+#: At most so many bits mark the keys of a set: 32 MB.
 MOST_BITS = 1 << 28
+#: Texts are looked at together up to so many bytes; a longer one is by itself.
+CHUNK_BYTES = 1 << 18
 
 
 def bands_for(recall: float, similarity: float, rows: int = BAND_ROWS) -> int:
@@ -61,29 +64,44 @@ def _blanks(data: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words of a text: where they are, in code points, and codes of them in lower case."""
+    """Words of texts: where they are in their text, in code points, and codes of them in lower case."""
 
-    def __init__(self, text: bytes):
+    def __init__(self, texts: list[bytes]):
+        text = b"\n".join([*texts, b""])  # so no word or line goes on in the next text
         data = np.frombuffer(text, np.uint8)
-        blank = _blanks(data)
-        edge = np.diff(np.r_[True, blank, True].astype(np.int8))
-        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        point = np.cumsum(np.r_[0, (data & 0xC0) != 0x80])  # code points before each byte
-        self.start, self.end = point[first], point[last]
+        before = np.cumsum([0, *(len(t) + 1 for t in texts)])  # bytes before each text
+        edge = np.flatnonzero(np.diff(_blanks(data), prepend=True))
+        first, last = edge[::2], edge[1::2]
+        #: Words before each text, and the text of each word.
+        self.first = np.searchsorted(first, before)
+        self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        self.start, self.end = first - before[self.text], last - before[self.text]
+        if not text.isascii():
+            more = np.cumsum(np.r_[0, (data & 0xC0) == 0x80])  # bytes before each byte that start no code point
+            there = more[before][self.text]
+            self.start -= more[first] - there
+            self.end -= more[last] - there
         self.codes = word_codes(text.lower().split())
+        #: Those that start at each word, also if they end in the next text.
         self.shingles = window_codes(self.codes, WORDS)
-        feeds = np.flatnonzero(data == 0x0A)
         #: Words before the end of each line.
-        self.line_ends = np.r_[np.searchsorted(first, feeds), len(first)]
+        self.line_ends = np.searchsorted(first, np.flatnonzero(data == 0x0A))
 
 
 def anchors(words: Words) -> np.ndarray:
-    """Words at which windows start: shingles with the least hash among their neighbours."""
-    if len(words.codes) < WINDOW:
-        return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(words.shingles, NEIGHBOURS)
-    at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    return at[at <= len(words.codes) - WINDOW]
+    """Words at which windows start: shingles with the least hash among their neighbours, the first of equal ones."""
+    least, at, width = words.shingles, np.arange(len(words.shingles)), 1
+    while width < NEIGHBOURS:
+        step = min(width, NEIGHBOURS - width)
+        right = least[step:] < least[:-step]
+        at, least = np.where(right, at[step:], at[:-step]), np.where(right, least[step:], least[:-step])
+        width += step
+    long = np.diff(words.first) >= WINDOW
+    last = np.repeat(words.first[1:], np.diff(words.first))  # words up to the end of the word's text
+    within = np.arange(len(at)) + NEIGHBOURS + WORDS - 1 <= last[: len(at)]
+    at = at[within & long[words.text[: len(at)]]]
+    at = at[np.flatnonzero(np.diff(at, prepend=-1))]  # they never go back
+    return at[at + WINDOW <= last[at]]
 
 
 #: Odd numbers whose powers weigh the words of a window, once for each half of its key.
@@ -111,61 +129,76 @@ _SCHEMA = "doc long, code long, one long, two long, start int, end int, n int, b
 _KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
 
 
-def _key(shingles: np.ndarray) -> tuple[int, int]:
-    """The 128 bits of a set's digest as two numbers."""
-    one, two = np.frombuffer(digest(shingles), ">i8").tolist()
-    return one, two
-
-
 def _paragraph_sets(words: Words):
-    """(start, end, shingles) of each line of PARAGRAPH words or more."""
-    first = 0
-    for last in words.line_ends.tolist():
-        if last - first >= PARAGRAPH:
-            yield int(words.start[first]), int(words.end[last - 1]), np.unique(words.shingles[first : last - WORDS + 1])
-        first = last
-
-
-def _rows(batch: pa.RecordBatch):
-    """(doc, code, text) of each row."""
-    return zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), strict=True)
+    """(text, start, end, one, two) of each line of PARAGRAPH words or more, its shingles, which follow one
+    another in one array, and their bounds in it."""
+    first, last = np.r_[0, words.line_ends[:-1]], words.line_ends
+    long = last - first >= PARAGRAPH
+    first, last = first[long], last[long]
+    n = last - first - WORDS + 1
+    bounds = np.r_[0, np.cumsum(n)]
+    shingles = words.shingles[np.arange(bounds[-1]) + np.repeat(first - bounds[:-1], n)]
+    for a, b in pairwise(bounds.tolist()):
+        shingles[a:b].sort()
+    new = np.diff(shingles, prepend=np.uint64(0)) != 0
+    new[bounds[:-1]] = True
+    bounds, shingles = np.r_[0, np.cumsum(new)][bounds], shingles[new]
+    keys = b"".join([digest(shingles[a:b]) for a, b in pairwise(bounds.tolist())])
+    one, two = np.frombuffer(keys, ">i8").reshape(-1, 2).T.astype(np.int64)
+    places = words.start[first].astype(np.int32), words.end[last - 1].astype(np.int32)
+    return (words.text[first], *places, one, two), shingles, bounds
+
+
+def _chunks(batch: pa.RecordBatch):
+    """(rows, words) of the texts of a batch, up to CHUNK_BYTES of them at a time."""
+    found, size, first = [], 0, 0
+    for k, text in enumerate(texts(batch.column("text"))):
+        if found and size + len(text) > CHUNK_BYTES:
+            yield slice(first, k), Words(found)
+            found, size, first = [], 0, k
+        found.append(text)
+        size += len(text)
+    if found:
+        yield slice(first, first + len(found)), Words(found)
 
 
 def _stretches(bands: int):
     """Windows, without bands, and paragraphs of each text."""
+    names = ["doc", "code", "one", "two", "start", "end", "n", "bands"]
 
     def find(batches):
         for batch in batches:
-            found, rows, signatures = [], [], []
-            for doc, code, text in _rows(batch):
-                words = Words(text)
+            found, lines, keys = [], [], []
+            for rows, words in _chunks(batch):
+                doc, code = (batch.column(c).to_numpy()[rows] for c in ("doc", "code"))
                 at = anchors(words)
-                if len(at):
-                    one, two = window_keys(words.codes, at)
-                    start, end = words.start[at].astype(np.int32), words.end[at + WINDOW - 1].astype(np.int32)
-                    found.append((np.full(len(at), doc), np.full(len(at), code), one, two, start, end))
-                for start, end, s in _paragraph_sets(words):
-                    rows.append((doc, code, *_key(s), start, end, len(s)))
-                    signatures.append(signature(s, bands * BAND_ROWS))
-            names = ["doc", "code", "one", "two", "start", "end", "n", "bands"]
+                of, (one, two) = words.text[at], window_keys(words.codes, at)
+                start, end = words.start[at].astype(np.int32), words.end[at + WINDOW - 1].astype(np.int32)
+                found.append((doc[of], code[of], one, two, start, end))
+                (of, start, end, one, two), shingles, bounds = _paragraph_sets(words)
+                if len(of):
+                    lines.append((doc[of], code[of], one, two, start, end, np.diff(bounds).astype(np.int32)))
+                    keys.append(_band_keys(signatures(shingles, bounds[:-1], bands * BAND_ROWS), bands))
             if found:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
                 lacking = [pa.nulls(len(columns[0]), kind) for kind in _KINDS[6:]]
                 yield pa.record_batch([*columns, *lacking], names)
-            if rows:
-                columns = [*zip(*rows, strict=True), _band_keys(np.stack(signatures), bands)]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names)
+            if lines:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*lines, strict=True)]
+                ends = pa.array(np.arange(0, bands * len(columns[0]) + 1, bands, dtype=np.int32))
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).reshape(-1))))
+                yield pa.record_batch(columns, names)
 
     return find
 
 
-def _band_keys(signatures: np.ndarray, bands: int) -> list[list[int]]:
+def _band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     """The keys of the bands of each signature."""
     parts = signatures.astype(np.uint64).reshape(len(signatures), bands, BAND_ROWS)
     keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), parts.shape[:2])
     for k in range(BAND_ROWS):
         keys = mixed(keys ^ parts[:, :, k])
-    return keys.view(np.int64).tolist()
+    return keys.view(np.int64)
 
 
 def _node() -> Column:
@@ -173,28 +206,39 @@ def _node() -> Column:
     return F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("one", "two")]))
 
 
-def _set_rows(batches):
-    for batch in batches:
-        rows = [
-            (digest(s), s.tobytes())
-            for text in texts(batch.column(1))
-            for _, _, s in _paragraph_sets(Words(text))
-        ]
-        if rows:
-            yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*rows, strict=True)], ["node", "shingles"])
+def _set_rows(shared):
+    """The sets of paragraphs to compare. ``shared`` has the keys of their documents, and those xor the first
+    numbers of the paragraphs; a few others slip through."""
+
+    def find(batches):
+        marks = shared.value
+        for batch in batches:
+            part = batch.filter(pa.array(_among(batch.column("key").to_numpy(), marks)))
+            rows = []
+            for at, words in _chunks(part):
+                (of, _, _, one, two), shingles, bounds = _paragraph_sets(words)
+                for k in np.flatnonzero(_among(one ^ part.column("key").to_numpy()[at][of], marks)).tolist():
+                    rows.append((one[k], two[k], shingles[bounds[k] : bounds[k + 1]].tobytes()))
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.binary())
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.record_batch(columns, ["one", "two", "shingles"])
+
+    return find
 
 
 def _similar(source: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """(node, label) of paragraphs that are linked by similarity, through bands and exact comparison.
 
-    Only the sets of paragraphs that collide are made, from the texts of their first documents.
+    Only the sets of paragraphs that collide are made, from the texts of their first documents, which are
+    marked in a set of bits so that no text is shuffled.
     """
     kinds = stored(
         paragraphs.groupBy("one", "two").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-        .select(_node().alias("node"), "doc", "n", "bands"),
+        .select("one", "two", "doc", "n", "bands"),
         "paragraph-kinds",
     )
-    rows = kinds.select("node", "doc", "n", F.explode("bands").alias("band"))
+    rows = kinds.select("one", "two", "doc", "n", F.explode("bands").alias("band"))
     sizes = stored(
         rows.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1"),
         "bands",
@@ -202,21 +246,25 @@ def _similar(source: DataFrame, paragraphs: DataFrame) -> DataFrame:
     blocks = F.greatest(F.ceil(F.col("size") / SMALL), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long")
     placed = stored(rows.join(sizes.select("band", blocks.alias("blocks")), "band"), "collisions")
     dealt = (
-        placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        placed.withColumn("block", F.pmod(F.xxhash64("one", "two"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
             F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("pair"),
-            (F.col("block") > F.col("other")).cast("int").alias("side"), "node", F.lit(1).alias("n_texts"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"), "one", "two", F.lit(1).alias("n_texts"),
         )
     )
-    near = with_ids(source, placed.select("doc").distinct())
-    sets = near.select("doc", "text").mapInArrow(_set_rows, "node binary, shingles binary")
+    key = F.xxhash64("doc")
+    marks = _bit_set(placed.select(F.explode(F.array(key, key.bitwiseXOR(F.col("one")))).alias("key")))
+    shared = source.sparkSession.sparkContext.broadcast(marks)
     sets = stored(
-        sets.join(placed.select("node").distinct(), "node", "left_semi")
-        .groupBy("node").agg(F.first("shingles").alias("shingles")),
+        source.select("text", key.alias("key")).mapInArrow(_set_rows(shared), "one long, two long, shingles binary")
+        .groupBy("one", "two").agg(F.first("shingles").alias("shingles")),
         "paragraph-sets",
     )
-    found = stored(verified_pairs(dealt.join(sets, "node")), "paragraph-links")
+    found = stored(
+        verified_pairs(dealt.join(sets, ["one", "two"]).select("pair", "side", _node().alias("node"), "n_texts", "shingles")),
+        "paragraph-links",
+    )
     for table in (kinds, sizes, placed, sets):
         discard(table)
     edges = found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
@@ -245,6 +293,26 @@ def _across(stretches: DataFrame, keys: list[str], name: str) -> DataFrame:
     return stretches.join(repeated, keys).select(keys[0], "doc", "code", "start", "end", "first")
 
 
+def _likely(windows: DataFrame) -> DataFrame:
+    """``windows`` without nearly all whose key occurs in one document only.
+
+    The keys are counted by one of their numbers and a hash of the document, so that rows stay short, and
+    marked in a set of bits. What slips through is left to the exact comparison behind this.
+    """
+    several = (
+        windows.select("one", F.xxhash64("doc", "code").alias("who"))
+        .groupBy("one").agg(F.min("who").alias("low"), F.max("who").alias("high"))
+        .where("low < high").select(F.col("one").alias("key"))
+    )
+    shared = windows.sparkSession.sparkContext.broadcast(_bit_set(several))
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_among(batch.column("one").to_numpy(), shared.value)))
+
+    return windows.mapInArrow(keep, windows.schema)
+
+
 def _removal() -> Column:
     """The span of a stretch that goes, or null; it leaves alone a first one that it overlaps."""
     own = _document() == _document("first.")
@@ -307,25 +375,24 @@ def _beside(shared):
     def find(batches):
         marks, more = shared.value, np.arange(1, NEIGHBOURS)
         for batch in batches:
-            part = batch.filter(pa.array(_among(batch.column(3).to_numpy(), marks)))
+            part = batch.filter(pa.array(_among(batch.column("key").to_numpy(), marks)))
             found, lists = [], []
-            for doc, code, text in _rows(part):
-                words = Words(text)
+            for rows, words in _chunks(part):
+                doc, code = (part.column(c).to_numpy()[rows] for c in ("doc", "code"))
                 at = anchors(words)
-                if not len(at):
-                    continue
-                one, two = window_keys(words.codes, at)
+                text, (one, two) = words.text[at], window_keys(words.codes, at)
+                first, last = words.first[text], words.first[text + 1]
+                apart = at + text * (WINDOW + 1)  # so windows of different texts never touch
                 short = (words.codes >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 start, end = words.start[at], words.end[at + WINDOW - 1]
                 for left, key in ((True, one), (False, ~one)):
-                    of = np.flatnonzero(_among(key, marks) & ~_inside_runs(at, one, 1 if left else -1))
+                    of = np.flatnonzero(_among(key, marks) & ~_inside_runs(apart, one, 1 if left else -1))
                     beside = at[of, None] - more if left else at[of, None] + WINDOW - 1 + more
-                    inside = (beside >= 0) & (beside < len(short))
+                    inside = (beside >= first[of, None]) & (beside < last[of, None])
                     beside, owner = beside[inside], np.repeat(of, inside.sum(axis=1))
                     reach = start[owner] - words.start[beside] if left else words.end[beside] - end[owner]
-                    n = len(of)
                     found.append((
-                        np.full(n, doc), np.full(n, code), key[of], two[of], np.full(n, left),
+                        doc[text[of]], code[text[of]], key[of], two[of], np.full(len(of), left),
                         start[of].astype(np.int32), end[of].astype(np.int32),
                     ))
                     lists.append((inside.sum(axis=1), short[beside], reach.astype(np.int32)))
@@ -513,10 +580,10 @@ def repeats(docs: DataFrame, *, recall: float = RECALL, id_col: str = "doc_id",
     )
     kind = lambda df, n: df.select("doc", "code", "start", "end", "first", F.lit(n).alias("kind"))
     alike = stored(kind(_across(labelled, ["label"], "repeated-paragraphs"), 2), "paragraphs")
-    windows = stored(
-        _across(windows.select("doc", "code", "one", "two", "start", "end"), ["one", "two"], "repeated-windows"), "windows"
-    )
+    likely = stored(_likely(windows.select("doc", "code", "one", "two", "start", "end")), "likely-windows")
     discard(every)
+    windows = stored(_across(likely, ["one", "two"], "repeated-windows"), "windows")
+    discard(likely)
     found = alike.union(kind(windows, 1)).union(kind(_extended(source, windows), 0))
     links = (
         found.where("kind > 0").where(_document() != _document("first."))

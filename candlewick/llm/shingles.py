@@ -59,3 +59,9 @@ def signature(shingles: np.ndarray, coords: int = COORDS) -> np.ndarray:
         part = (shingles[None, at : at + 4096] * _FACTORS[:coords, None]) >> np.uint64(32)
         out = np.minimum(out, part.min(axis=1).astype(np.uint32))
     return out
+
+
+def signatures(shingles: np.ndarray, first: np.ndarray, coords: int = COORDS) -> np.ndarray:
+    """The signature of each of the sets, none of them empty, that follow one another from the places ``first`` on."""
+    least = [np.minimum.reduceat(shingles * factor, first) >> np.uint64(32) for factor in _FACTORS[:coords]]
+    return np.stack(least, axis=1).astype(np.uint32)

@@ -216,3 +216,39 @@ def test_spans_are_merged_as_one_by_one():
         assert [tuple(m.values()) for m in got["members"]] == members
     assert passages._merged(pa.array([], kind)).to_pylist() == []
     assert passages._merged(pa.array([[]], kind)).to_pylist() == [{"n_stretches": 0, "removed": [], "members": []}]
+
+
+def test_windows_of_one_document_do_not_reach_the_join(spark):
+    """Half of the keys are in two documents, some others twice in one."""
+    rows = [(doc, 7, key * 2**33 + key, key, 0, 9) for key in range(2000) for doc in ([key, key + 1] if key % 2 else [key])]
+    rows += [(key, 7, key * 2**33 + key, key, 20, 29) for key in range(0, 2000, 4)]
+    windows = spark.createDataFrame(rows, "doc long, code long, one long, two long, start int, end int")
+    left = {tuple(r) for r in passages._likely(windows).collect()}
+    assert left <= set(rows) and {r for r in rows if r[3] % 2} <= left
+    assert len(left) < 2000 + 200
+
+
+def test_texts_looked_at_together_give_what_each_gives_alone():
+    """Anchors by the plain definition; nulls of words, short, repeated and non-ASCII texts side by side."""
+    texts = [b"", run("a", 90).encode(), b"\n\n x", run("b", 31).encode(), run("b", 32).encode(), b" ".join([b"la", b"la", b"lu"] * 60),
+             f"{'é ü ' * 40}\n{'日本 語 ' * 30}\n".encode(), b"a b c", f"{run('c', 25)}\n{run('c', 25)}".encode()]
+    words = passages.Words(texts)
+    at = passages.anchors(words)
+    one, two = passages.window_keys(words.codes, at)
+    of, start, end, first, second = passages._paragraph_sets(words)[0]
+    for k, text in enumerate(texts):
+        alone = passages.Words([text])
+        n, by_definition = len(alone.codes), set()
+        for i in range(n - passages.NEIGHBOURS - passages.WORDS + 2 if n >= passages.WINDOW else 0):
+            by_definition.add(i + int(alone.shingles[i : i + passages.NEIGHBOURS].argmin()))
+        expected = sorted(i for i in by_definition if i + passages.WINDOW <= n)
+        own = words.text[at] == k
+        assert (at[own] - words.first[k]).tolist() == expected == passages.anchors(alone).tolist()
+        keys = passages.window_keys(alone.codes, np.array(expected, np.int64))
+        assert all((mine[own] == its).all() for mine, its in zip((one, two), keys, strict=True))
+        decoded, mine = text.decode(), words.text == k
+        spans = zip(words.start[mine].tolist(), words.end[mine].tolist(), strict=True)
+        assert [decoded[a:b] for a, b in spans] == decoded.split()
+        sets = passages._paragraph_sets(alone)[0]
+        for column, its in zip((start, end, first, second), sets[1:], strict=True):
+            assert column[of == k].tolist() == its.tolist()
